@@ -172,7 +172,7 @@ def match_terms_join(docs: DataFrame, id_col: str, text: Column,
     terms = terms_frame(spark, dictionary)
     lowered = docs.select(F.col(id_col).alias("__id"), F.lower(text).alias("__lt"))
     cond = F.when(F.col("kind") == "keyword", F.col("__lt").contains(F.col("term"))).otherwise(
-        F.forall("gate", lambda g: F.col("__lt").contains(g)) & F.col("__lt").rlike(F.col("rx")))
+        F.forall("gate", lambda g: F.col("__lt").contains(g)) & F.regexp_like(F.col("__lt"), F.col("rx")))
     return (lowered.join(F.broadcast(terms), cond, "inner")
             .select(F.col("__id").alias(id_col), "category", "cat_ord", "kind", "term_ord",
                     "term", "weight", "sev_rank"))

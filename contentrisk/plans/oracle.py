@@ -206,6 +206,40 @@ FROM images_enriched GROUP BY source ORDER BY total_images DESC""")
     return out
 
 
+def operator_sql() -> dict[str, str]:
+    out = {}
+    detect = """SELECT id, category,
+       coalesce(string_agg(term, '|' ORDER BY term_ord) FILTER (WHERE kind = 'keyword'), '') AS matched_keywords,
+       coalesce(string_agg(term, '|' ORDER BY term_ord) FILTER (WHERE kind = 'pattern'), '') AS matched_patterns,
+       CAST(sum(weight) AS FLOAT) AS threat_score
+FROM text_hits GROUP BY id, category"""
+    out["detect_threats"] = _with(f"x AS (SELECT 1)\n{detect}")
+    out["detect_threats_join"] = out["detect_threats"]
+    out["threat_score"] = _with("""s AS (SELECT id, sum(weight) AS score, count(DISTINCT category) AS n FROM text_hits GROUP BY id)
+SELECT r.id, CAST(coalesce(s.score, 0) AS DOUBLE) AS threat_score, CAST(coalesce(s.n, 0) AS INTEGER) AS n_categories
+FROM text_raw r LEFT JOIN s ON r.id = s.id""")
+    out["threat_severity"] = _with("""x AS (SELECT 1)
+SELECT id, threat_severity, is_threat FROM text_enriched""")
+    out["enrich_text"] = _with("""x AS (SELECT 1)
+SELECT id, source, content_hash, is_threat, threat_severity,
+       array_to_string(threat_categories, '|') AS threat_categories, enrichment_timestamp,
+       md5(concat_ws('||', id, content_hash, CAST(enrichment_timestamp AS VARCHAR))) AS enrichment_id
+FROM text_enriched""")
+    out["enrich_images"] = _with("""x AS (SELECT 1)
+SELECT id, source, filepath, image_hash, ocr_success, text_length, is_threat, threat_severity,
+       array_to_string(threat_categories, '|') AS threat_categories, enrichment_timestamp,
+       md5(concat_ws('||', id, image_hash, CAST(enrichment_timestamp AS VARCHAR))) AS enrichment_id
+FROM images_enriched""")
+    out["extract_text"] = _with("""x AS (SELECT 1)
+SELECT id, extracted_text, CAST(length(extracted_text) AS INTEGER) AS text_length FROM images_raw""")
+    out["content_hash"] = _with("""x AS (SELECT 1)
+SELECT id, content_hash FROM text_raw""")
+    out["image_hash"] = _with("""x AS (SELECT 1)
+SELECT id, filepath, image_hash FROM images_raw""")
+    return out
+
+
 def oracle_queries() -> dict[str, str]:
     out = analytics_sql()
+    out.update(operator_sql())
     return out

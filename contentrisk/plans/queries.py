@@ -15,11 +15,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contentrisk.functions.dictionary import analysis_dictionary
+from contentrisk.functions.matching import detect_threats_join, flatten_match_strings
 from contentrisk.operators.enrich import enrich_images, enrich_text
+from contentrisk.operators.extract import extract_text
+from contentrisk.operators.partitioning import spread_for_cpu
 from contentrisk.operators.tables import write_table
 from contentrisk.plans import analytics
 from contentrisk.session import pin_utc
@@ -79,3 +82,84 @@ def _analytic(name: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {name: _analytic(name) for name in analytics.ANALYTICS}
+
+
+# ---------------------------------------------------------------------------
+# Operator-level queries (detection, enrichment, extraction, hashing).
+# ---------------------------------------------------------------------------
+
+def _joined(col: str) -> Column:
+    return F.array_join(F.col(col), "|")
+
+
+def q_detect_threats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (document, matched category), expression form."""
+    te = text_enriched(spark, sf_dir)
+    # inline_outer + a filter on the generated column: the optimizer cannot turn the
+    # generator into a predicate on the (large) detection expression below it.
+    rows = te.select("id", F.inline_outer("detected_threats")).where(F.col("category").isNotNull())
+    return flatten_match_strings(rows)
+
+
+def q_detect_threats_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows via the broadcast term-table join."""
+    pin_utc(spark)
+    raw = spread_for_cpu(testdata.text_raw(spark, sf_dir))
+    text = F.concat_ws(" ", F.col("title"), F.col("text"))
+    out = detect_threats_join(raw, "id", text, analysis_dictionary())
+    return flatten_match_strings(out.drop("cat_ord", "sev_rank"))
+
+
+def q_threat_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    te = text_enriched(spark, sf_dir)
+    total = F.aggregate("detected_threats", F.lit(0.0).cast("double"),
+                        lambda acc, x: acc + x["threat_score"].cast("double"))
+    return te.select("id", total.alias("threat_score"),
+                     F.size("detected_threats").alias("n_categories"))
+
+
+def q_threat_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_enriched(spark, sf_dir).select("id", "threat_severity", "is_threat")
+
+
+def q_enrich_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    te = text_enriched(spark, sf_dir)
+    return te.select("id", "source", "content_hash", "is_threat", "threat_severity",
+                     _joined("threat_categories").alias("threat_categories"),
+                     "enrichment_timestamp", "enrichment_id")
+
+
+def q_enrich_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ie = images_enriched(spark, sf_dir)
+    return ie.select("id", "source", "filepath", "image_hash", "ocr_success", "text_length",
+                     "is_threat", "threat_severity",
+                     _joined("threat_categories").alias("threat_categories"),
+                     "enrichment_timestamp", "enrichment_id")
+
+
+def q_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    raw = spread_for_cpu(testdata.images_raw(spark, sf_dir))
+    out = extract_text(raw, "content", "html", "extracted_text")
+    return out.select("id", "extracted_text", F.length("extracted_text").alias("text_length"))
+
+
+def q_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testdata.text_raw(spark, sf_dir).select("id", "content_hash")
+
+
+def q_image_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testdata.images_raw(spark, sf_dir).select("id", "filepath", "image_hash")
+
+
+QUERIES.update({
+    "detect_threats": q_detect_threats,
+    "detect_threats_join": q_detect_threats_join,
+    "threat_score": q_threat_score,
+    "threat_severity": q_threat_severity,
+    "enrich_text": q_enrich_text,
+    "enrich_images": q_enrich_images,
+    "extract_text": q_extract_text,
+    "content_hash": q_content_hash,
+    "image_hash": q_image_hash,
+})
