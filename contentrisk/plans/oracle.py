@@ -17,6 +17,15 @@ from contentrisk.functions.text import (
     URL_HOST_RE,
     WHITESPACE_RE,
 )
+from contentrisk.operators.prepare import (
+    FALLBACK_A_CATEGORY,
+    FALLBACK_A_WORDS,
+    FALLBACK_B_CATEGORY,
+    FALLBACK_B_DETECTED,
+    FALLBACK_B_WORDS,
+    LEGACY_FILL_CATEGORY,
+    LEGACY_FILL_DETECTED,
+)
 from contentrisk.sources.testdata import SLOT_SECONDS, SLOTS, TEST_AS_OF
 
 
@@ -58,8 +67,9 @@ def base_ctes(d: ThreatDictionary | None = None) -> str:
     d = d or analysis_dictionary()
     return f"""{terms_cte(d)},
 text_raw AS (
-  SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS id, source, substring(text, 1, 60) AS title, text,
+  SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS id, source, substring(text, 1, 60) AS title, text, lang,
          NULL::VARCHAR AS url, {_ts('doc_id')} AS ts,
+         strftime({_ts('doc_id')}, '%Y-%m-%dT%H:%M:%S') AS timestamp,
          md5(concat_ws('||', 'doc_' || CAST(doc_id AS VARCHAR), text, source)) AS content_hash
   FROM documents),
 text_hits AS (
@@ -80,6 +90,7 @@ text_enriched AS (
 images_raw AS (
   SELECT 'page_' || CAST(page_id AS VARCHAR) AS id, regexp_extract(url, {q(URL_HOST_RE)}, 1) AS source,
          url, url AS filepath, CAST(strlen(html) AS BIGINT) AS file_size, {_ts('page_id')} AS ts,
+         strftime({_ts('page_id')}, '%Y-%m-%dT%H:%M:%S') AS timestamp,
          md5(concat_ws('||', 'page_' || CAST(page_id AS VARCHAR), url)) AS image_hash,
          coalesce({html_to_text_sql('html')}, '') AS extracted_text
   FROM pages),
@@ -239,7 +250,93 @@ SELECT id, filepath, image_hash FROM images_raw""")
     return out
 
 
+def _any_contains(col: str, words: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({col}, {q(w)})" for w in words) + ")"
+
+
+def prepare_sql() -> dict[str, str]:
+    out = {}
+    for variant, words, label, detected in (
+            ("a", FALLBACK_A_WORDS, FALLBACK_A_CATEGORY, None),
+            ("b", FALLBACK_B_WORDS, FALLBACK_B_CATEGORY, FALLBACK_B_DETECTED)):
+        det = f"CASE WHEN is_threat THEN {q(detected)} ELSE '' END" if detected else "''"
+        out[f"fallback_classifier_{variant}"] = _with(f"""fb AS (
+  SELECT id, CASE WHEN {_any_contains('text', words)} THEN true ELSE false END AS is_threat FROM text_raw)
+SELECT id, is_threat, CASE WHEN is_threat THEN 'medium' ELSE 'benign' END AS threat_severity,
+       CASE WHEN is_threat THEN {q(label)} ELSE '' END AS threat_categories,
+       {det} AS detected_threats
+FROM fb""")
+    out["harmonize_schema"] = _with(f"""fb AS (
+  SELECT id, CASE WHEN {_any_contains('text', FALLBACK_A_WORDS)} THEN true ELSE false END AS is_threat FROM text_raw)
+SELECT id, is_threat, CASE WHEN is_threat THEN 'medium' ELSE 'benign' END AS threat_severity,
+       CASE WHEN is_threat THEN {q(LEGACY_FILL_CATEGORY)} ELSE '' END AS threat_categories,
+       CASE WHEN is_threat THEN {q(LEGACY_FILL_DETECTED)} ELSE '' END AS detected_threats
+FROM fb""")
+    out["keyword_lookup_join"] = _with("""lk AS (SELECT DISTINCT category, term AS keyword FROM terms WHERE kind = 'keyword')
+SELECT lk.category, lk.keyword, COUNT(*) AS doc_count
+FROM (SELECT id, lower(concat_ws(' ', title, text)) AS lt FROM text_raw) d
+JOIN lk ON contains(d.lt, lk.keyword)
+GROUP BY lk.category, lk.keyword ORDER BY doc_count DESC, lk.category, lk.keyword""")
+    return out
+
+
+def ingest_sql() -> dict[str, str]:
+    out = {}
+    as_of = f"TIMESTAMP '{TEST_AS_OF} 00:00:00'"
+    out["ingest_text"] = _with(f"""x AS (SELECT 1)
+SELECT id, source, title, timestamp, {as_of} AS ingestion_timestamp, content_hash
+FROM text_raw WHERE id IS NOT NULL AND text IS NOT NULL AND source IS NOT NULL""")
+    out["ingest_images"] = _with(f"""x AS (SELECT 1)
+SELECT id, source, filepath, file_size, timestamp, {as_of} AS ingestion_timestamp, image_hash
+FROM images_raw WHERE id IS NOT NULL AND filepath IS NOT NULL AND source IS NOT NULL""")
+    out["merge_insert_only"] = _with("""tgt AS (SELECT id, source, content_hash FROM text_raw WHERE lang = 'en'),
+src AS (SELECT id, source, content_hash FROM text_raw UNION ALL SELECT id, source, content_hash FROM text_raw)
+SELECT * FROM tgt
+UNION ALL
+SELECT DISTINCT * FROM src WHERE content_hash NOT IN (SELECT content_hash FROM tgt)""")
+    out["merge_upsert"] = _with(f"""fb AS (
+  SELECT id, CASE WHEN {_any_contains('text', FALLBACK_A_WORDS)} THEN true ELSE false END AS hit FROM text_raw)
+SELECT r.id, r.content_hash,
+       CASE WHEN r.lang IN ('fr', 'de') THEN e.is_threat ELSE fb.hit END AS is_threat,
+       CASE WHEN r.lang IN ('fr', 'de') THEN e.threat_severity
+            WHEN fb.hit THEN 'medium' ELSE 'benign' END AS threat_severity,
+       CASE WHEN r.lang IN ('fr', 'de') THEN r.ts + INTERVAL 1 DAY ELSE r.ts END AS enrichment_timestamp
+FROM text_raw r JOIN text_enriched e ON r.id = e.id JOIN fb ON r.id = fb.id""")
+    out["ingest_stats_text"] = _with("""x AS (SELECT 1)
+SELECT COUNT(*) AS total_records, COUNT(DISTINCT source) AS unique_sources FROM text_raw""")
+    out["ingest_stats_images"] = _with("""x AS (SELECT 1)
+SELECT COUNT(*) AS total_images, COUNT(DISTINCT source) AS unique_sources,
+       CAST(SUM(file_size) AS DOUBLE) / (1024 * 1024) AS total_size_mb FROM images_raw""")
+    out["records_by_source"] = _with("""x AS (SELECT 1)
+SELECT source, COUNT(*) AS "count" FROM text_raw GROUP BY source ORDER BY "count" DESC, source""")
+    out["stream_stats_text"] = _with("""x AS (SELECT 1)
+SELECT COUNT(*) AS total_records,
+       CAST(SUM(CASE WHEN is_threat THEN 1 ELSE 0 END) AS BIGINT) AS threat_records,
+       CAST(SUM(CASE WHEN NOT is_threat THEN 1 ELSE 0 END) AS BIGINT) AS benign_records
+FROM text_enriched""")
+    out["stream_stats_images"] = _with("""x AS (SELECT 1)
+SELECT COUNT(*) AS total_images,
+       CAST(SUM(CASE WHEN is_threat THEN 1 ELSE 0 END) AS BIGINT) AS threat_images,
+       CAST(SUM(CASE WHEN NOT is_threat THEN 1 ELSE 0 END) AS BIGINT) AS benign_images,
+       CAST(SUM(CASE WHEN ocr_success THEN 1 ELSE 0 END) AS BIGINT) AS ocr_success_count,
+       AVG(CASE WHEN ocr_success THEN text_length END) AS avg_text_length
+FROM images_enriched""")
+    out["stats_category_distribution"] = _with("""x AS (SELECT 1)
+SELECT category, COUNT(*) AS "count", 'text' AS content_type
+FROM (SELECT unnest(threat_categories) AS category FROM text_enriched WHERE is_threat) GROUP BY category
+UNION ALL
+SELECT category, COUNT(*) AS "count", 'image' AS content_type
+FROM (SELECT unnest(threat_categories) AS category FROM images_enriched WHERE is_threat) GROUP BY category""")
+    out["stats_severity_distribution"] = _with("""x AS (SELECT 1)
+SELECT threat_severity, COUNT(*) AS "count", 'text' AS content_type FROM text_enriched GROUP BY threat_severity
+UNION ALL
+SELECT threat_severity, COUNT(*) AS "count", 'image' AS content_type FROM images_enriched GROUP BY threat_severity""")
+    return out
+
+
 def oracle_queries() -> dict[str, str]:
     out = analytics_sql()
     out.update(operator_sql())
+    out.update(prepare_sql())
+    out.update(ingest_sql())
     return out

@@ -22,7 +22,13 @@ from contentrisk.functions.dictionary import analysis_dictionary
 from contentrisk.functions.matching import detect_threats_join, flatten_match_strings
 from contentrisk.operators.enrich import enrich_images, enrich_text
 from contentrisk.operators.extract import extract_text
+from contentrisk.operators import stats
+from contentrisk.operators.ingest import ingest_images, ingest_text
 from contentrisk.operators.partitioning import spread_for_cpu
+from contentrisk.operators.prepare import fallback_enrich, harmonize_schema
+from contentrisk.operators.tables import merge_insert_only, merge_upsert
+from contentrisk.schemas import IMAGE_LANDING, TEXT_LANDING
+from contentrisk.sources.landing import dictionary_frame, keyword_lookup
 from contentrisk.operators.tables import write_table
 from contentrisk.plans import analytics
 from contentrisk.session import pin_utc
@@ -163,3 +169,137 @@ QUERIES.update({
     "content_hash": q_content_hash,
     "image_hash": q_image_hash,
 })
+
+
+# ---------------------------------------------------------------------------
+# Fallback classifiers, schema harmonisation, dictionary lookup join.
+# ---------------------------------------------------------------------------
+
+def q_fallback(variant: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = testdata.text_raw(spark, sf_dir)
+        out = fallback_enrich(raw, variant, enrichment_ts=F.col("ingestion_timestamp"))
+        return out.select("id", "is_threat", "threat_severity",
+                          _joined("threat_categories").alias("threat_categories"),
+                          _joined("detected_threats").alias("detected_threats"))
+    run.__name__ = f"fallback_classifier_{variant}"
+    return run
+
+
+def q_harmonize_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A legacy-shaped table (has_threat, threat_level, no arrays) brought to the current schema."""
+    raw = testdata.text_raw(spark, sf_dir)
+    legacy = (fallback_enrich(raw, "a", enrichment_ts=F.col("ingestion_timestamp"))
+              .select("id", "source", F.col("is_threat").alias("has_threat"), "enrichment_timestamp"))
+    out = harmonize_schema(legacy)
+    return out.select("id", "is_threat", "threat_severity",
+                      _joined("threat_categories").alias("threat_categories"),
+                      _joined("detected_threats").alias("detected_threats"))
+
+
+def q_keyword_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per (category, keyword): text x broadcast keyword lookup on substring."""
+    raw = spread_for_cpu(testdata.text_raw(spark, sf_dir))
+    lookup = keyword_lookup(dictionary_frame(spark, analysis_dictionary(), as_of=testdata.TEST_AS_OF))
+    docs = raw.select("id", F.lower(F.concat_ws(" ", "title", "text")).alias("lt"))
+    # The lookup side is bounded by the dictionary (checked in ThreatDictionary.terms).
+    hits = docs.join(F.broadcast(lookup.select("category", F.lower("keyword").alias("keyword"))),
+                     F.col("lt").contains(F.col("keyword")))
+    return (hits.groupBy("category", "keyword").agg(F.count(F.lit(1)).alias("doc_count"))
+            .orderBy(F.desc("doc_count"), "category", "keyword"))
+
+
+# ---------------------------------------------------------------------------
+# Ingest, merges, statistics.
+# ---------------------------------------------------------------------------
+
+def text_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed text records (the landing schema) derived from documents."""
+    return testdata.text_raw(spark, sf_dir).select(*TEXT_LANDING.fieldNames())
+
+
+def image_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testdata.images_raw(spark, sf_dir).select(*IMAGE_LANDING.fieldNames())
+
+
+def q_ingest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ingest_text(text_landing(spark, sf_dir), as_of=testdata.TEST_AS_OF)
+    return out.select("id", "source", "title", "timestamp", "ingestion_timestamp", "content_hash")
+
+
+def q_ingest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ingest_images(image_landing(spark, sf_dir), as_of=testdata.TEST_AS_OF)
+    return out.select("id", "source", "filepath", "file_size", "timestamp", "ingestion_timestamp",
+                      "image_hash")
+
+
+def q_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target holds the English records; the landing holds every record twice (a replay)."""
+    raw = testdata.text_raw(spark, sf_dir)
+    target = raw.where(F.col("metadata")["lang"] == "en")
+    replayed = raw.unionByName(raw)
+    merged = merge_insert_only(target, replayed, "content_hash")
+    return merged.select("id", "source", "content_hash")
+
+
+def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: fallback-classified rows; source: re-enriched fr/de rows one day later, replayed."""
+    raw = testdata.text_raw(spark, sf_dir)
+    cols = ["id", "content_hash", "is_threat", "threat_severity", "enrichment_timestamp"]
+    target = fallback_enrich(raw, "a", enrichment_ts=F.col("ingestion_timestamp")).select(cols)
+    later = F.col("ingestion_timestamp") + F.expr("INTERVAL 1 DAY")
+    batch = enrich_text(raw.where(F.col("metadata")["lang"].isin("fr", "de")),
+                        analysis_dictionary(), enrichment_ts=later).select(cols)
+    return merge_upsert(target, batch.unionByName(batch), "content_hash",
+                        [F.desc("enrichment_timestamp"), F.col("id")])
+
+
+def q_ingest_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.ingest_stats_text(testdata.text_raw(spark, sf_dir))
+
+
+def q_ingest_stats_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.ingest_stats_images(testdata.images_raw(spark, sf_dir))
+
+
+def q_records_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.records_by_source(testdata.text_raw(spark, sf_dir))
+
+
+def q_stream_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.stream_stats_text(enriched_tables(spark, sf_dir)[0])
+
+
+def q_stream_stats_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.stream_stats_images(enriched_tables(spark, sf_dir)[1])
+
+
+def q_stats_category_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text, images = enriched_tables(spark, sf_dir)
+    return (stats.category_distribution(text).withColumn("content_type", F.lit("text"))
+            .unionByName(stats.category_distribution(images).withColumn("content_type", F.lit("image"))))
+
+
+def q_stats_severity_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text, images = enriched_tables(spark, sf_dir)
+    return (stats.severity_counts(text).withColumn("content_type", F.lit("text"))
+            .unionByName(stats.severity_counts(images).withColumn("content_type", F.lit("image"))))
+
+
+QUERIES.update({
+    "fallback_classifier_a": q_fallback("a"),
+    "fallback_classifier_b": q_fallback("b"),
+    "harmonize_schema": q_harmonize_schema,
+    "keyword_lookup_join": q_keyword_lookup_join,
+    "ingest_text": q_ingest_text,
+    "ingest_images": q_ingest_images,
+    "merge_insert_only": q_merge_insert_only,
+    "merge_upsert": q_merge_upsert,
+    "ingest_stats_text": q_ingest_stats_text,
+    "ingest_stats_images": q_ingest_stats_images,
+    "records_by_source": q_records_by_source,
+    "stream_stats_text": q_stream_stats_text,
+    "stream_stats_images": q_stream_stats_images,
+    "stats_category_distribution": q_stats_category_distribution,
+    "stats_severity_distribution": q_stats_severity_distribution,
+})
