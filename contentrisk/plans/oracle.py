@@ -26,6 +26,15 @@ from contentrisk.operators.prepare import (
     LEGACY_FILL_CATEGORY,
     LEGACY_FILL_DETECTED,
 )
+from contentrisk.sources.normalize import (
+    HTML_OPENINGS,
+    IMAGE_FAMILIES,
+    NEWS_DEFAULT_CATEGORY,
+    SOCIAL_URL_PREFIX,
+    UNKNOWN_AUTHOR,
+    WIKI_AUTHOR,
+    WIKI_SOURCE,
+)
 from contentrisk.sources.testdata import SLOT_SECONDS, SLOTS, TEST_AS_OF
 
 
@@ -334,9 +343,79 @@ SELECT threat_severity, COUNT(*) AS "count", 'image' AS content_type FROM images
     return out
 
 
+def _collected_ctes() -> str:
+    conv_ts = "(TIMESTAMP '1970-01-01' + to_seconds(1704067200 + conv_id * 3600 + turn * 60))"
+    post = "CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR)"
+    body = "trim(regexp_replace(text, '[\\t\\n\\r ]+', ' ', 'g'))"
+    return f"""wiki AS (
+  SELECT 'wiki_' || CAST(doc_id AS VARCHAR) AS id, {q(WIKI_SOURCE)} AS source, substring(text, 1, 60) AS title,
+         text, 'https://wiki.example.org/' || CAST(doc_id AS VARCHAR) AS url,
+         '{TEST_AS_OF}T00:00:00' AS timestamp, {q(WIKI_AUTHOR)} AS author, lang AS description
+  FROM documents),
+social AS (
+  SELECT 'reddit_' || {post} AS id, 'reddit_r_' || role AS source, substring(text, 1, 80) AS title,
+         CASE WHEN role = 'assistant' AND text <> '' THEN text ELSE substring(text, 1, 80) END AS text,
+         {q(SOCIAL_URL_PREFIX)} || '/r/' || role || '/comments/' || {post} AS url,
+         strftime({conv_ts}, '%Y-%m-%dT%H:%M:%S') AS timestamp, role AS author,
+         CAST(turn AS VARCHAR) AS score, CAST(length(text) AS VARCHAR) AS num_comments,
+         CASE WHEN turn % 2 = 1 THEN 'true' ELSE 'false' END AS is_video
+  FROM conversations),
+rss AS (
+  SELECT 'news_' || md5(link) AS id, role || '.example.com' AS source, trim(substring(body, 1, 60)) AS title,
+         body AS text, link AS url,
+         CASE WHEN turn % 2 = 0 THEN strftime({conv_ts}, '%a, %d %b %Y %H:%M:%S GMT')
+              ELSE '{TEST_AS_OF}T00:00:00' END AS timestamp,
+         CASE WHEN role = 'user' THEN CAST(conv_id AS VARCHAR) ELSE {q(UNKNOWN_AUTHOR)} END AS author,
+         {q(NEWS_DEFAULT_CATEGORY)} AS category
+  FROM (SELECT *, {body} AS body,
+               'https://' || role || '.example.com/item/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS link
+        FROM conversations)),
+collected AS (
+  SELECT id, source, title, text FROM wiki UNION ALL SELECT id, source, title, text FROM rss
+  UNION ALL SELECT id, source, title, text FROM social),
+catalog AS (
+  SELECT source || '_' || substring(md5(html), 1, 8) AS id, source, url AS filepath,
+         CAST(strlen(html) AS BIGINT) AS file_size, md5(html) AS content_md5
+  FROM (SELECT *, regexp_extract(url, {q(URL_HOST_RE)}, 1) AS source FROM pages))"""
+
+
+def collect_sql() -> dict[str, str]:
+    out = {}
+    c = _collected_ctes()
+    out["normalize_wiki"] = _with(f"{c}\nSELECT * FROM wiki")
+    out["normalize_social"] = _with(f"{c}\nSELECT * FROM social")
+    out["normalize_rss"] = _with(f"{c}\nSELECT * FROM rss")
+    out["union_sources"] = _with(f"{c}\nSELECT * FROM collected")
+    out["collection_stats_text"] = _with(f"""{c}
+SELECT COUNT(*) AS total_samples,
+       CAST(SUM(CASE WHEN source = {q(WIKI_SOURCE)} THEN 1 ELSE 0 END) AS BIGINT) AS wikipedia,
+       CAST(SUM(CASE WHEN contains(id, 'news') THEN 1 ELSE 0 END) AS BIGINT) AS news,
+       CAST(SUM(CASE WHEN contains(id, 'reddit') THEN 1 ELSE 0 END) AS BIGINT) AS reddit
+FROM collected""")
+    out["image_catalog"] = _with(f"{c}\nSELECT * FROM catalog")
+    fams = ",\n       ".join(
+        f"CAST(SUM(CASE WHEN source = {q(f)} THEN 1 ELSE 0 END) AS BIGINT) AS {f}" for f in IMAGE_FAMILIES)
+    out["collection_stats_images"] = _with(f"""{c}
+SELECT COUNT(*) AS total_images,
+       {fams},
+       CAST(coalesce(SUM(file_size), 0) AS DOUBLE) / (1024 * 1024) AS total_size_mb
+FROM catalog""")
+    kinds = " OR ".join(f"starts_with(head, {q(o)})" for o in HTML_OPENINGS)
+    out["image_valid_filter"] = _with(f"""x AS (SELECT 1)
+SELECT id, 'html' AS content_kind
+FROM (SELECT 'page_' || CAST(page_id AS VARCHAR) AS id, lower(ltrim(substring(html, 1, 64))) AS head FROM pages)
+WHERE {kinds}""")
+    out["scan_text_json"] = _with("""x AS (SELECT 1)
+SELECT id, source, title, timestamp, NULL::VARCHAR AS author, lang FROM text_raw""")
+    out["scan_image_json"] = _with("""x AS (SELECT 1)
+SELECT id, source, filepath, file_size, timestamp FROM images_raw""")
+    return out
+
+
 def oracle_queries() -> dict[str, str]:
     out = analytics_sql()
     out.update(operator_sql())
     out.update(prepare_sql())
     out.update(ingest_sql())
+    out.update(collect_sql())
     return out

@@ -28,7 +28,19 @@ from contentrisk.operators.partitioning import spread_for_cpu
 from contentrisk.operators.prepare import fallback_enrich, harmonize_schema
 from contentrisk.operators.tables import merge_insert_only, merge_upsert
 from contentrisk.schemas import IMAGE_LANDING, TEXT_LANDING
-from contentrisk.sources.landing import dictionary_frame, keyword_lookup
+from contentrisk.functions.text import url_host
+from contentrisk.session import scratch_path
+from contentrisk.sources.landing import dictionary_frame, keyword_lookup, scan_image_json, scan_text_json
+from contentrisk.sources.normalize import (
+    collection_stats_images,
+    collection_stats_text,
+    image_catalog,
+    normalize_rss,
+    normalize_social,
+    normalize_wiki,
+    union_sources,
+    valid_content,
+)
 from contentrisk.operators.tables import write_table
 from contentrisk.plans import analytics
 from contentrisk.session import pin_utc
@@ -303,3 +315,146 @@ QUERIES.update({
     "stats_category_distribution": q_stats_category_distribution,
     "stats_severity_distribution": q_stats_severity_distribution,
 })
+
+
+# ---------------------------------------------------------------------------
+# Collector payloads (derived from the driver tables), catalog, landing scans.
+# ---------------------------------------------------------------------------
+
+def _s(c: str) -> Column:
+    return F.col(c).cast("string")
+
+
+def wiki_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = testdata.table(spark, sf_dir, "documents")
+    page = F.concat(F.lit("https://wiki.example.org/"), _s("doc_id"))
+    return d.select(F.to_json(F.struct(
+        F.col("doc_id").alias("pageid"), F.substring("text", 1, 60).alias("title"),
+        F.col("text").alias("extract"), F.col("lang").alias("description"),
+        F.struct(F.struct(page.alias("page")).alias("desktop")).alias("content_urls"))).alias("payload"))
+
+
+def social_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = testdata.table(spark, sf_dir, "conversations")
+    post = F.concat_ws("_", _s("conv_id"), _s("turn"))
+    child = F.struct(
+        post.alias("id"), F.substring("text", 1, 80).alias("title"),
+        F.when(F.col("role") == "assistant", F.col("text")).otherwise(F.lit("")).alias("selftext"),
+        F.concat(F.lit("/r/"), F.col("role"), F.lit("/comments/"), post).alias("permalink"),
+        (F.lit(1704067200) + F.col("conv_id") * 3600 + F.col("turn") * 60).cast("double").alias("created_utc"),
+        F.col("role").alias("author"), F.col("turn").alias("score"),
+        F.length("text").cast("bigint").alias("num_comments"),
+        (F.col("turn") % 2 == 1).alias("is_video"))
+    listing = F.struct(F.struct(F.array(F.struct(child.alias("data"))).alias("children")).alias("data"))
+    return c.select(F.to_json(listing).alias("payload"), F.col("role").alias("subreddit"))
+
+
+def _xml_escape(col: Column) -> Column:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        col = F.replace(col, F.lit(a), F.lit(b))
+    return col
+
+
+def _xml_elem(tag: str, value: Column) -> Column:
+    return F.concat(F.lit(f"<{tag}>"), _xml_escape(value), F.lit(f"</{tag}>"))
+
+
+def rss_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = testdata.table(spark, sf_dir, "conversations")
+    body = F.trim(F.regexp_replace("text", r"[\t\n\r ]+", " "))
+    link = F.concat(F.lit("https://"), F.col("role"), F.lit(".example.com/item/"),
+                    _s("conv_id"), F.lit("/"), _s("turn"))
+    pub = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id") * 3600 + F.col("turn") * 60),
+                        "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    item = F.concat_ws(
+        "", F.lit("<item>"), _xml_elem("title", F.trim(F.substring(body, 1, 60))),
+        _xml_elem("description", body), _xml_elem("link", link),
+        F.when(F.col("turn") % 2 == 0, _xml_elem("pubDate", pub)),
+        F.when(F.col("role") == "user", _xml_elem("author", _s("conv_id"))),
+        F.lit("</item>"))
+    feed = F.concat(F.lit('<rss version="2.0"><channel><title>feed</title>'), item, F.lit("</channel></rss>"))
+    return c.select(feed.alias("payload"),
+                    F.concat(F.lit("https://"), F.col("role"), F.lit(".example.com/rss.xml")).alias("feed_url"))
+
+
+def q_normalize_wiki(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = normalize_wiki(wiki_payloads(spark, sf_dir), collected_at=testdata.TEST_AS_OF)
+    return out.select("id", "source", "title", "text", "url", "timestamp", "author",
+                      F.col("metadata")["description"].alias("description"))
+
+
+def q_normalize_social(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = normalize_social(social_listings(spark, sf_dir))
+    m = F.col("metadata")
+    return out.select("id", "source", "title", "text", "url", "timestamp", "author",
+                      m["score"].alias("score"), m["num_comments"].alias("num_comments"),
+                      m["is_video"].alias("is_video"))
+
+
+def q_normalize_rss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = normalize_rss(rss_feeds(spark, sf_dir), collected_at=testdata.TEST_AS_OF)
+    return out.select("id", "source", "title", "text", "url", "timestamp", "author",
+                      F.col("metadata")["category"].alias("category"))
+
+
+def collected_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return union_sources(
+        normalize_wiki(wiki_payloads(spark, sf_dir), collected_at=testdata.TEST_AS_OF),
+        normalize_rss(rss_feeds(spark, sf_dir), collected_at=testdata.TEST_AS_OF),
+        normalize_social(social_listings(spark, sf_dir)))
+
+
+def q_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collected_text(spark, sf_dir).select("id", "source", "title", "text")
+
+
+def q_collection_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collection_stats_text(collected_text(spark, sf_dir))
+
+
+def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page bytes as a binaryFile-like frame (path, source, content)."""
+    p = testdata.table(spark, sf_dir, "pages")
+    return p.select(F.col("url").alias("path"), url_host(F.col("url")).alias("source"),
+                    F.encode("html", "UTF-8").alias("content"), F.col("page_id"))
+
+
+def q_image_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return image_catalog(page_files(spark, sf_dir))
+
+
+def q_image_valid_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ok = valid_content(page_files(spark, sf_dir), kinds=("jpeg", "png", "gif", "html"))
+    return ok.select(F.concat(F.lit("page_"), _s("page_id")).alias("id"), "content_kind")
+
+
+def q_collection_stats_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collection_stats_images(image_catalog(page_files(spark, sf_dir)))
+
+
+def q_scan_text_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land text records as JSON files (shared scratch folder), scan them back with the schema."""
+    path = scratch_path(spark, "landing_text")
+    text_landing(spark, sf_dir).write.mode("overwrite").json(path)
+    return scan_text_json(spark, path).select("id", "source", "title", "timestamp", "author",
+                                              F.col("metadata")["lang"].alias("lang"))
+
+
+def q_scan_image_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "landing_images")
+    image_landing(spark, sf_dir).write.mode("overwrite").json(path)
+    return scan_image_json(spark, path).select("id", "source", "filepath", "file_size", "timestamp")
+
+
+QUERIES.update({
+    "normalize_wiki": q_normalize_wiki,
+    "normalize_social": q_normalize_social,
+    "normalize_rss": q_normalize_rss,
+    "union_sources": q_union_sources,
+    "collection_stats_text": q_collection_stats_text,
+    "image_catalog": q_image_catalog,
+    "image_valid_filter": q_image_valid_filter,
+    "collection_stats_images": q_collection_stats_images,
+    "scan_text_json": q_scan_text_json,
+    "scan_image_json": q_scan_image_json,
+})
