@@ -249,6 +249,14 @@ FROM text_enriched""")
 SELECT id, source, filepath, image_hash, ocr_success, text_length, is_threat, threat_severity,
        array_to_string(threat_categories, '|') AS threat_categories, enrichment_timestamp,
        md5(concat_ws('||', id, image_hash, CAST(enrichment_timestamp AS VARCHAR))) AS enrichment_id
+FROM images_enriched""")
+    out["stream_enrich_text"] = _with("""x AS (SELECT 1)
+SELECT id, source, content_hash, is_threat, threat_severity,
+       array_to_string(threat_categories, '|') AS threat_categories
+FROM text_enriched""")
+    out["stream_enrich_images"] = _with("""x AS (SELECT 1)
+SELECT id, source, image_hash, ocr_success, text_length, is_threat, threat_severity,
+       array_to_string(threat_categories, '|') AS threat_categories
 FROM images_enriched""")
     out["extract_text"] = _with("""x AS (SELECT 1)
 SELECT id, extracted_text, CAST(length(extracted_text) AS INTEGER) AS text_length FROM images_raw""")
