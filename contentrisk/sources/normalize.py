@@ -198,3 +198,15 @@ def collection_stats_images(catalog: DataFrame) -> DataFrame:
         *[F.count_if(F.col("source") == fam).alias(fam) for fam in IMAGE_FAMILIES],
         (F.coalesce(F.sum("file_size"), F.lit(0)) / F.lit(1024 * 1024)).cast("double").alias("total_size_mb"),
     )
+
+
+def parse_event_ts(col: Column) -> Column:
+    """Timestamp from the mixed landing formats: ISO-8601 or RFC-822 (weekday optional).
+
+    The raw string is kept as landed; this gives the UTC instant next to it.
+    """
+    iso = F.try_to_timestamp(col)
+    rfc = F.regexp_replace(col, r"^\s*[A-Za-z]{3},\s*", "")
+    return F.coalesce(iso,
+                      F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss z")),
+                      F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss Z")))
