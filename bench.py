@@ -26,8 +26,8 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
-OPERATOR_QUERIES = ["detect_threats", "detect_threats_join", "keyword_lookup_join", "merge_upsert",
-                    "merge_insert_only", "fallback_classifier_a", "normalize_wiki", "normalize_rss",
+OPERATOR_QUERIES = ["detect_threats", "detect_threats_arrow", "detect_threats_join",
+                    "keyword_lookup_join", "merge_upsert", "merge_insert_only", "fallback_classifier_a", "normalize_wiki", "normalize_rss",
                     "image_catalog", "extract_text"]
 
 

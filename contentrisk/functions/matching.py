@@ -86,8 +86,18 @@ def _matched_terms(lt: Column, terms: list[Term]) -> Column:
 
 def add_threat_columns(df: DataFrame, text: Column, dictionary: ThreatDictionary,
                        threats_col: str = "detected_threats",
-                       severity_col: str | None = "threat_severity") -> DataFrame:
-    """Append ``detected_threats`` (array<struct>) and ``threat_severity`` to ``df``."""
+                       severity_col: str | None = "threat_severity",
+                       engine: str = "native") -> DataFrame:
+    """Append ``detected_threats`` (array<struct>) and ``threat_severity`` to ``df``.
+
+    ``engine="native"`` (default): column expressions, whole-stage codegen.
+    ``engine="arrow"``: the Arrow-batched one-pass matcher of ``matching_arrow``.
+    """
+    if engine == "arrow":
+        from contentrisk.functions.matching_arrow import add_threat_columns_arrow
+        return add_threat_columns_arrow(df, text, dictionary, threats_col, severity_col)
+    if engine != "native":
+        raise ValueError(f"unknown engine {engine!r}")
     terms = dictionary.terms()
     cats = dictionary.categories
     lt_name = "__cr_lt"

@@ -235,6 +235,7 @@ def operator_sql() -> dict[str, str]:
 FROM text_hits GROUP BY id, category"""
     out["detect_threats"] = _with(f"x AS (SELECT 1)\n{detect}")
     out["detect_threats_join"] = out["detect_threats"]
+    out["detect_threats_arrow"] = out["detect_threats"]
     out["threat_score"] = _with("""s AS (SELECT id, sum(weight) AS score, count(DISTINCT category) AS n FROM text_hits GROUP BY id)
 SELECT r.id, CAST(coalesce(s.score, 0) AS DOUBLE) AS threat_score, CAST(coalesce(s.n, 0) AS INTEGER) AS n_categories
 FROM text_raw r LEFT JOIN s ON r.id = s.id""")

@@ -120,6 +120,15 @@ def q_detect_threats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_match_strings(rows)
 
 
+def q_detect_threats_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows via the Arrow-batched engine."""
+    pin_utc(spark)
+    te = enrich_text(testdata.text_raw(spark, sf_dir), analysis_dictionary(),
+                     enrichment_ts=F.col("ingestion_timestamp"), engine="arrow")
+    rows = te.select("id", F.inline_outer("detected_threats")).where(F.col("category").isNotNull())
+    return flatten_match_strings(rows)
+
+
 def q_detect_threats_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows via the broadcast term-table join."""
     pin_utc(spark)
@@ -174,6 +183,7 @@ def q_image_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES.update({
     "detect_threats": q_detect_threats,
     "detect_threats_join": q_detect_threats_join,
+    "detect_threats_arrow": q_detect_threats_arrow,
     "threat_score": q_threat_score,
     "threat_severity": q_threat_severity,
     "enrich_text": q_enrich_text,

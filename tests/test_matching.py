@@ -101,3 +101,13 @@ def test_case_insensitive_match(spark, text, expected):
     got = native(spark, [text], analysis_dictionary())[0][0]
     cats = [c for c, *_ in got]
     assert (expected in cats) if expected else cats == []
+
+
+def test_arrow_engine_equals_native(spark):
+    d = analysis_dictionary()
+    texts = _random_texts(300, seed=5) + [None, "", "Plan the\nattack", "plan the\rattack", "ÉCOLE 10.0.0.1"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    a = add_threat_columns(df, F.col("text"), d, engine="arrow").orderBy("id").collect()
+    n = add_threat_columns(df, F.col("text"), d).orderBy("id").collect()
+    assert [(r.detected_threats, r.threat_severity) for r in a] == \
+        [(r.detected_threats, r.threat_severity) for r in n]
