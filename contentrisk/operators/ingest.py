@@ -41,5 +41,5 @@ def load_raw(new: DataFrame, table_path: str, key: str, partition_by: str = "sou
         existing = spark.read.parquet(table_path)
     except AnalysisException:   # no table yet
         existing = None
-    rows = dedupe_latest(new, key, [F.col(key)]) if existing is None else new_rows_only(existing, new, key)
+    rows = dedupe_latest(new, key) if existing is None else new_rows_only(existing, new, key)
     rows.write.mode("append").partitionBy(partition_by).parquet(table_path)

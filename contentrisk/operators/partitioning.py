@@ -2,22 +2,27 @@
 
 Dictionary matching and text extraction cost CPU per byte but need no
 co-location. When the input arrives in fewer splits than the cluster has
-cores (one large file, one row group), hash-spread the rows on their id so
-every core works; when it already has enough splits (the normal case at
+cores (one large file, one row group), hash-spread the rows so every core
+works; when it already has enough splits (the normal case at
 scale) leave the plan alone: no shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def spread_for_cpu(df: DataFrame, key: str = "id", min_partitions: int | None = None) -> DataFrame:
+def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.isStreaming:
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     current = df.rdd.getNumPartitions()   # planning only, no job
     if current >= target:
         return df
+    # Spread on the row's position, not on a data key: copies sharing an id or a
+    # hash would all hash to one partition. The position is fixed by the input
+    # split and row order, so a retried task sends every row to the same place.
     # Explicit count: AQE keeps it (a count-based repartition is never coalesced).
-    return df.repartition(target, key)
+    pos = "__cr_pos"
+    return df.withColumn(pos, F.monotonically_increasing_id()).repartition(target, pos).drop(pos)

@@ -9,8 +9,9 @@ and a lost executor re-reads files instead of recomputing the whole lineage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contentrisk.session import scratch_path
 
@@ -26,37 +27,62 @@ def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
     return spark.read.parquet(path)
 
 
-def dedupe_latest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """One row per key: the first by ``order`` (latest-wins when ordered by time desc).
-
-    A window ranked per key: rows of one key meet in one task, but keys are
-    content hashes, so no key is hot; a duplicated key has a handful of copies.
+Order = list[tuple[str, bool]]   # (column, ascending)
+
+
+def _order_key(df: DataFrame, key: str, order: Order) -> Column:
+    """A struct whose minimum is the wanted row: the given order, then the row itself."""
+    parts = []
+    for i, (name, ascending) in enumerate(order):
+        c, dtype = F.col(name), df.schema[name].dataType
+        if not ascending:
+            if isinstance(dtype, T.TimestampType):
+                c = -F.unix_micros(c)
+            elif isinstance(dtype, T.NumericType):
+                c = -c
+            else:
+                raise ValueError(f"descending order needs a numeric or timestamp column: {name}")
+        parts.append(c.alias(f"o{i}"))
+    # Deterministic final tie-break on the row's orderable columns (maps are not orderable).
+    rest = [F.col(f.name) for f in df.schema.fields
+            if f.name != key and not isinstance(f.dataType, T.MapType)]
+    if rest:
+        parts.append(F.struct(*rest).alias("row"))
+    return F.struct(*parts) if parts else F.lit(0)
+
+
+def dedupe_latest(df: DataFrame, key: str, order: Order | None = None) -> DataFrame:
+    """One row per key: the first by ``order`` (latest-wins when ordered by time descending).
+
+    An aggregate, not a window: ``min_by`` combines map-side, so a key with a huge
+    group of copies (a file replayed many times) reaches the shuffle as at most one
+    row per task instead of landing whole on one task.
     """
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    best = F.min_by(F.struct(*[F.col(c) for c in df.columns]), _order_key(df, key, order or []))
+    return df.groupBy(key).agg(best.alias("__best")).select("__best.*")
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str,
-                      order: list[Column] | None = None) -> DataFrame:
+                      order: Order | None = None) -> DataFrame:
     """Rows of ``source`` whose key is new to ``target`` (one per key), appended to ``target``.
 
     The MERGE ... WHEN NOT MATCHED INSERT of a table format, as a left-anti join on
     the key (AQE picks broadcast or sort-merge from runtime sizes).
     """
-    src = dedupe_latest(source, key, order or [F.col(key)])
+    src = dedupe_latest(source, key, order)
     new_rows = src.join(target.select(key), on=key, how="left_anti")
     return target.unionByName(new_rows.select(*target.columns))
 
 
 def new_rows_only(target: DataFrame, source: DataFrame, key: str,
-                  order: list[Column] | None = None) -> DataFrame:
+                  order: Order | None = None) -> DataFrame:
     """Just the rows an insert-only merge would append (what an append job writes)."""
-    src = dedupe_latest(source, key, order or [F.col(key)])
+    src = dedupe_latest(source, key, order)
     return src.join(target.select(key), on=key, how="left_anti")
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str,
-                 order: list[Column]) -> DataFrame:
+                 order: Order) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL, as a DataFrame.
 
     Source rows are first reduced to one per key (latest by ``order``); target rows

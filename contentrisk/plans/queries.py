@@ -274,7 +274,7 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = enrich_text(raw.where(F.col("metadata")["lang"].isin("fr", "de")),
                         analysis_dictionary(), enrichment_ts=later).select(cols)
     return merge_upsert(target, batch.unionByName(batch), "content_hash",
-                        [F.desc("enrichment_timestamp"), F.col("id")])
+                        [("enrichment_timestamp", False), ("id", True)])
 
 
 def q_ingest_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:

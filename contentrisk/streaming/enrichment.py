@@ -29,9 +29,8 @@ from contentrisk.operators.tables import dedupe_latest
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 from contentrisk.session import scratch_path
 
-
-def order_latest():
-    return [F.desc("enrichment_timestamp"), F.desc("batch_id"), F.col("id")]
+# Latest-wins order: newest enrichment, then the later batch, then id.
+ORDER_LATEST = [("enrichment_timestamp", False), ("batch_id", False), ("id", True)]
 
 
 def stream_token(checkpoint: str) -> str:
@@ -46,7 +45,7 @@ def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | N
         try:
             if batch.isEmpty():
                 return
-            one_per_key = dedupe_latest(batch, key, [F.desc("enrichment_timestamp"), F.col("id")])
+            one_per_key = dedupe_latest(batch, key, [("enrichment_timestamp", False), ("id", True)])
             (one_per_key.write.mode("overwrite")
              .partitionBy("threat_severity", "source")
              .parquet(f"{target}/stream={token}/batch_id={batch_id}"))
@@ -101,7 +100,7 @@ def start_image_enrichment(spark: SparkSession, source: str, target: str, dictio
 def read_latest(spark: SparkSession, target: str, key: str) -> DataFrame:
     """The upserted table: the latest row per key over every batch folder."""
     all_rows = spark.read.parquet(target)
-    return dedupe_latest(all_rows, key, order_latest()).drop("stream", "batch_id")
+    return dedupe_latest(all_rows, key, ORDER_LATEST).drop("stream", "batch_id")
 
 
 def compact(spark: SparkSession, target: str, key: str, snapshot: str) -> DataFrame:

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from contentrisk.operators.ingest import ingest_text, load_raw
 from contentrisk.operators.tables import merge_insert_only, merge_upsert
 from contentrisk.session import scratch_path
@@ -20,8 +18,8 @@ def test_insert_only_dedupes_inside_batch(spark):
 def test_upsert_latest_wins_and_is_idempotent(spark):
     tgt = spark.createDataFrame([("a", "old", T1), ("c", "keep", T1)], S)
     src = spark.createDataFrame([("a", "mid", T1), ("a", "new", T2), ("b", "ins", T2)], S)
-    once = merge_upsert(tgt, src, "k", [F.desc("ts"), F.col("v")])
-    twice = merge_upsert(once, src, "k", [F.desc("ts"), F.col("v")])
+    once = merge_upsert(tgt, src, "k", [("ts", False), ("v", True)])
+    twice = merge_upsert(once, src, "k", [("ts", False), ("v", True)])
     exp = [("a", "new", T2), ("b", "ins", T2), ("c", "keep", T1)]
     assert sorted(tuple(r) for r in once.collect()) == exp
     assert sorted(tuple(r) for r in twice.collect()) == exp
