@@ -60,6 +60,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
     path = f"{root}/contentrisk/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    local_root = root[len("file:"):] if root.startswith("file:") else root
+    if "://" not in local_root and os.path.isdir(local_root):
+        # A folder on this machine (tests, local runs): create it so plain file
+        # writes work too. Cluster storage is created by the Spark writers.
+        os.makedirs(f"{local_root}/contentrisk/{path.rsplit('/', 1)[1]}", exist_ok=True)
     return path

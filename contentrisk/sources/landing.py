@@ -23,6 +23,19 @@ def scan_image_json(spark: SparkSession, path: str, multi_line: bool = False) ->
     return spark.read.schema(IMAGE_LANDING).option("multiLine", multi_line).json(path)
 
 
+def scan_binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Landed binary items (images, pages): path, modificationTime, length, content."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.option("recursiveFileLookup", True).load(path)
+
+
+def land_json(df: DataFrame, path: str) -> None:
+    """Write records as JSON (one object per line, non-ASCII kept); order carries no meaning."""
+    df.write.mode("append").json(path)
+
+
 def load_dictionary(spark: SparkSession, path: str, as_of=None) -> DataFrame:
     """Dictionary file -> one row per category (patterns default to [])."""
     raw = spark.read.schema(DICTIONARY_FILE).option("multiLine", True).json(path)

@@ -63,3 +63,12 @@ def test_ocr_rates(spark):
     assert (r.total_images, r.ocr_success_count, r.ocr_success_rate) == (2, 1, 50.0)
     d = A.ocr_success_daily(images).collect()[0]
     assert d.avg_extracted_text_length == 5.0
+
+
+def test_ocr_rates_on_mock_images(spark, mock_images_enriched):
+    rows = {r.source: (r.total_images, r.ocr_success_count, r.ocr_success_rate)
+            for r in A.ocr_success_by_source(mock_images_enriched).collect()}
+    assert rows == {"unsplash": (1, 0, 0.0), "picsum": (1, 1, 100.0), "placeholder": (1, 0, 0.0)}
+    daily = A.ocr_success_daily(mock_images_enriched).collect()
+    assert sorted((r.source, r.avg_extracted_text_length) for r in daily) == [
+        ("picsum", 10.0), ("placeholder", 0.0), ("unsplash", 0.0)]

@@ -98,3 +98,29 @@ def test_content_validity_and_pluggable_extractor(spark):
     assert out["b"] == "" and out["a"] == "text from 89504e"
     html = {r.id: r.extracted_text for r in extract_text(df.where("id = 'c'"), "content", "html").collect()}
     assert html["c"] == "x"
+
+
+def test_binary_scan_catalog_and_json_landing(spark):
+    import hashlib
+    import os
+
+    from contentrisk.sources.landing import land_json, scan_binary_files
+    from contentrisk.sources.normalize import collection_stats_images, image_catalog
+
+    path = scratch_path(spark, "bin")
+    gif = b"GIF89a" + b"\x00" * 10
+    for name, data in (("a.gif", gif), ("b.txt", b"hello")):
+        with open(os.path.join(path, name), "wb") as f:
+            f.write(data)
+    files = scan_binary_files(spark, path, glob="*.gif").withColumn("source", F.lit("picsum"))
+    cat = image_catalog(files).collect()
+    md5 = hashlib.md5(gif).hexdigest()
+    assert [(r.id, r.file_size, r.content_md5) for r in cat] == [(f"picsum_{md5[:8]}", 16, md5)]
+    stats = collection_stats_images(image_catalog(files)).first()
+    assert stats.total_images == 1 and stats.picsum == 1 and stats.placeimg == 0
+
+    out = scratch_path(spark, "land")
+    recs = spark.createDataFrame([("1", "s", "t", "ü text")], "id string, source string, title string, text string")
+    land_json(recs, out)
+    back = scan_text_json(spark, out).first()
+    assert back.text == "ü text" and back.url is None
