@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from contentrisk.functions.text import content_hash, image_hash
 from contentrisk.operators.enrich import TsSpec, ts_column
-from contentrisk.operators.tables import dedupe_latest, new_rows_only
+from contentrisk.operators.tables import dedupe_latest, new_rows_only, rebalance_for_write
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 
 
@@ -42,4 +42,4 @@ def load_raw(new: DataFrame, table_path: str, key: str, partition_by: str = "sou
     except AnalysisException:   # no table yet
         existing = None
     rows = dedupe_latest(new, key) if existing is None else new_rows_only(existing, new, key)
-    rows.write.mode("append").partitionBy(partition_by).parquet(table_path)
+    rebalance_for_write(rows, [partition_by]).write.mode("append").partitionBy(partition_by).parquet(table_path)

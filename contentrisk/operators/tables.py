@@ -20,6 +20,8 @@ def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
                 path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
+    if partition_by:
+        df = rebalance_for_write(df, partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -27,6 +29,17 @@ def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
     return spark.read.parquet(path)
 
 
+def rebalance_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Group rows by the output partition before a partitioned write.
+
+    Without it every task writes one file per partition value it meets (files =
+    tasks x values). The REBALANCE hint shuffles by the partition columns and lets
+    AQE coalesce small partitions and split skewed ones (a source holding a third
+    of all rows is written by many tasks, not one).
+    """
+    return df.hint("rebalance", *partition_by)
+
+
 Order = list[tuple[str, bool]]   # (column, ascending)
 
 

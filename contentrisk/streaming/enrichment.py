@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from contentrisk.functions.dictionary import ThreatDictionary
 from contentrisk.operators.enrich import enrich_images, enrich_text
 from contentrisk.operators.stats import batch_metrics
-from contentrisk.operators.tables import dedupe_latest
+from contentrisk.operators.tables import dedupe_latest, rebalance_for_write
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 from contentrisk.session import scratch_path
 
@@ -45,7 +45,7 @@ def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | N
             if batch.isEmpty():
                 return
             one_per_key = dedupe_latest(batch, key, [("enrichment_timestamp", False), ("id", True)])
-            (one_per_key.write.mode("overwrite")
+            (rebalance_for_write(one_per_key, ["threat_severity", "source"]).write.mode("overwrite")
              .partitionBy("threat_severity", "source")
              .parquet(f"{target}/stream={token}/batch_id={batch_id}"))
             if metrics_path:
@@ -104,6 +104,7 @@ def read_latest(spark: SparkSession, target: str, key: str) -> DataFrame:
 
 def compact(spark: SparkSession, target: str, key: str, snapshot: str) -> DataFrame:
     """Fold all batches into one snapshot folder (a new folder; the target is untouched)."""
-    (read_latest(spark, target, key).write.mode("overwrite")
+    (rebalance_for_write(read_latest(spark, target, key), ["threat_severity", "source"])
+     .write.mode("overwrite")
      .partitionBy("threat_severity", "source").parquet(snapshot))
     return spark.read.parquet(snapshot)
