@@ -10,6 +10,18 @@ Layers:
   streaming/  Structured Streaming enrichment with replay-safe upserts
 """
 
-from contentrisk.session import get_session, scratch_path  # noqa: F401
+import sys as _sys
+
+# Functions of this package that run inside tasks (the pandas UDFs of the Arrow
+# matcher and the pluggable extractor) are pickled by value, so executors need
+# no copy of the package on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: ship the package with --py-files
+    pass
+
+from contentrisk.session import get_session, scratch_path  # noqa: E402,F401
 
 __all__ = ["get_session", "scratch_path"]
