@@ -68,3 +68,32 @@ def test_retried_batch_replaces_itself(spark):
     writer(rows, 0)
     writer(rows, 0)                                           # the same batch, retried
     assert spark.read.parquet(target).count() == 2            # one row per key, no duplicates
+
+
+def test_crash_after_write_before_commit(spark):
+    """The batch function writes, then the job dies before the offset commit; a restart
+    re-runs that batch id, which overwrites its own folder: the result equals batch enrichment."""
+    from contentrisk.streaming.enrichment import stream_token
+
+    source, target, ckpt = (scratch_path(spark, n) for n in ("csrc", "ctgt", "cckpt"))
+    rows = raw_rows(spark, [("1", "s", "you idiot"), ("2", "s", "plan the attack"), ("3", "s", "calm")])
+    rows.coalesce(1).write.mode("append").parquet(source)
+    d = analysis_dictionary()
+    writer = upsert_batch_writer(target, stream_token(ckpt), "content_hash")
+
+    def crash_after_write(batch, batch_id):
+        writer(batch, batch_id)
+        raise RuntimeError("simulated crash before commit")
+
+    enriched = enrich_text(spark.readStream.schema(rows.schema).parquet(source), d).drop("combined_text")
+    q = (enriched.writeStream.foreachBatch(crash_after_write).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    try:
+        q.awaitTermination()
+    except Exception:
+        pass
+    assert q.exception() is not None
+    run(spark, source, target, ckpt)                       # restart: batch 0 runs again
+    latest = read_latest(spark, target, "content_hash")
+    assert summary(latest) == summary(enrich_text(rows, d))
+    assert {r.batch_id for r in spark.read.parquet(target).select("batch_id").collect()} == {0}
