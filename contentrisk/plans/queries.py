@@ -50,11 +50,11 @@ from contentrisk.sources import testdata
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def text_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_enriched(spark: SparkSession, sf_dir: str, engine: str = "native") -> DataFrame:
     """The enrichment plan (not materialised): text_raw -> text_enriched."""
     pin_utc(spark)
     raw = testdata.text_raw(spark, sf_dir)
-    return enrich_text(raw, analysis_dictionary(), enrichment_ts=F.col("ingestion_timestamp"))
+    return enrich_text(raw, analysis_dictionary(), enrichment_ts=F.col("ingestion_timestamp"), engine=engine)
 
 
 def images_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,8 +123,7 @@ def q_detect_threats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_detect_threats_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows via the Arrow-batched engine."""
     pin_utc(spark)
-    te = enrich_text(testdata.text_raw(spark, sf_dir), analysis_dictionary(),
-                     enrichment_ts=F.col("ingestion_timestamp"), engine="arrow")
+    te = text_enriched(spark, sf_dir, engine="arrow")
     rows = te.select("id", F.inline_outer("detected_threats")).where(F.col("category").isNotNull())
     return flatten_match_strings(rows)
 
