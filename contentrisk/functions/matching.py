@@ -104,16 +104,19 @@ def add_threat_columns(df: DataFrame, text: Column, dictionary: ThreatDictionary
     base = df.withColumn(lt_name, F.lower(text))
     lt = F.col(lt_name)
 
+    by_cat: dict[tuple[int, str], list[Term]] = {}
+    for t in terms:
+        by_cat.setdefault((t.cat_ord, t.kind), []).append(t)
+
     helper_cols, arrays = [], {}
     # Large dictionaries are compiled in chunks so each projection stays codegen-sized.
-    for start in range(0, len(cats), max(1, _cats_per_chunk(terms, len(cats)))):
+    step = _cats_per_chunk(terms, len(cats))
+    for start in range(0, len(cats), step):
         chunk = []
-        for ci in range(start, min(len(cats), start + _cats_per_chunk(terms, len(cats)))):
-            kws = [t for t in terms if t.cat_ord == ci and t.kind == "keyword"]
-            pts = [t for t in terms if t.cat_ord == ci and t.kind == "pattern"]
+        for ci in range(start, min(len(cats), start + step)):
             k_name, p_name = f"__cr_k{ci}", f"__cr_p{ci}"
-            k_expr = _matched_terms(lt, kws)
-            p_expr = _matched_terms(lt, pts)
+            k_expr = _matched_terms(lt, by_cat.get((ci, "keyword"), []))
+            p_expr = _matched_terms(lt, by_cat.get((ci, "pattern"), []))
             chunk += [k_expr.alias(k_name), p_expr.alias(p_name)]
             arrays[ci] = (k_name, p_name)
             helper_cols += [k_name, p_name]
