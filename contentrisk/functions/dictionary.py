@@ -167,6 +167,9 @@ CORPUS_DICTIONARY = {
 # A dictionary is compiled into per-row column expressions; above this many
 # terms the expression form is split into chunks (see functions.matching).
 MAX_TERMS_PER_PROJECTION = 500
+# engine="auto": largest dictionary matched with native expressions; larger
+# ones use the one-pass Arrow matcher (see functions.matching.add_threat_columns).
+NATIVE_MAX_TERMS = 256
 
 
 @dataclass(frozen=True)

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from contentrisk.functions.dictionary import (
     MAX_TERMS_PER_PROJECTION,
+    NATIVE_MAX_TERMS,
     SEVERITY_NAMES,
     Term,
     ThreatDictionary,
@@ -87,12 +88,18 @@ def _matched_terms(lt: Column, terms: list[Term]) -> Column:
 def add_threat_columns(df: DataFrame, text: Column, dictionary: ThreatDictionary,
                        threats_col: str = "detected_threats",
                        severity_col: str | None = "threat_severity",
-                       engine: str = "native") -> DataFrame:
+                       engine: str = "auto") -> DataFrame:
     """Append ``detected_threats`` (array<struct>) and ``threat_severity`` to ``df``.
 
-    ``engine="native"`` (default): column expressions, whole-stage codegen.
+    ``engine="native"``: column expressions, whole-stage codegen.
     ``engine="arrow"``: the Arrow-batched one-pass matcher of ``matching_arrow``.
+    ``engine="auto"`` (default): native up to ``NATIVE_MAX_TERMS`` terms; above it the
+    expression tree outgrows code generation (measured: 2,000 keywords disable
+    whole-stage codegen and planning alone takes ~20 s) and costs O(terms x bytes),
+    so the one-pass matcher takes over.
     """
+    if engine == "auto":
+        engine = "native" if len(dictionary.terms()) <= NATIVE_MAX_TERMS else "arrow"
     if engine == "arrow":
         from contentrisk.functions.matching_arrow import add_threat_columns_arrow
         return add_threat_columns_arrow(df, text, dictionary, threats_col, severity_col)

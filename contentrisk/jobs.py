@@ -69,7 +69,7 @@ def run_dictionary_ingestion(spark: SparkSession, cfg: PipelineConfig, as_of=Non
 
 
 def run_batch_enrichment(spark: SparkSession, cfg: PipelineConfig, dictionary: ThreatDictionary,
-                         engine: str = "native") -> tuple[DataFrame, DataFrame]:
+                         engine: str = "auto") -> tuple[DataFrame, DataFrame]:
     """Batch twin of the streams: enrich both raw tables and write the enriched tables."""
     text = write_table(enrich_text(spark.read.parquet(cfg.table("text_raw")), dictionary, engine=engine)
                        .drop("combined_text"), "text_enriched", ["threat_severity", "source"],

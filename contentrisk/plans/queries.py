@@ -50,7 +50,7 @@ from contentrisk.sources import testdata
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def text_enriched(spark: SparkSession, sf_dir: str, engine: str = "native") -> DataFrame:
+def text_enriched(spark: SparkSession, sf_dir: str, engine: str = "auto") -> DataFrame:
     """The enrichment plan (not materialised): text_raw -> text_enriched."""
     pin_utc(spark)
     raw = testdata.text_raw(spark, sf_dir)

@@ -111,3 +111,18 @@ def test_arrow_engine_equals_native(spark):
     n = add_threat_columns(df, F.col("text"), d).orderBy("id").collect()
     assert [(r.detected_threats, r.threat_severity) for r in a] == \
         [(r.detected_threats, r.threat_severity) for r in n]
+
+
+def test_auto_engine_switches_for_large_dictionaries(spark):
+    small = analysis_dictionary()
+    big = ThreatDictionary.from_obj({"threat_categories": {
+        f"c{i}": {"keywords": [f"w{i}x{j}" for j in range(30)], "patterns": []} for i in range(10)}})
+    df = spark.createDataFrame([(1, "zz w3x7 zz")], "id int, text string")
+
+    def plan(d):
+        return add_threat_columns(df, F.col("text"), d)._jdf.queryExecution().executedPlan().toString()
+
+    assert "ArrowEvalPython" not in plan(small)          # 150 terms: native expressions
+    assert "ArrowEvalPython" in plan(big)                # 300 terms: one-pass matcher
+    row = add_threat_columns(df, F.col("text"), big).first()
+    assert [(s.category, list(s.matched_keywords)) for s in row.detected_threats] == [("c3", ["w3x7"])]
