@@ -32,9 +32,12 @@ RESULT_TYPE = T.StructType([T.StructField("detected", THREATS_TYPE),
 
 def _plan(dictionary: ThreatDictionary):
     """Per category: [(keyword, rank)], [(pattern, flags, gate pieces, rank)] (small, picklable)."""
+    by_cat: dict[int, list] = {}
+    for t in dictionary.terms():
+        by_cat.setdefault(t.cat_ord, []).append(t)
     cats = []
     for ci, c in enumerate(dictionary.categories):
-        terms = [t for t in dictionary.terms() if t.cat_ord == ci]
+        terms = by_cat.get(ci, [])
         kws = [(t.term, t.sev_rank) for t in terms if t.kind == "keyword"]
         pts = [(t.term, re.ASCII | (re.IGNORECASE if any(ch.isupper() for ch in t.term) else 0),
                 literal_gate(t.term), t.sev_rank) for t in terms if t.kind == "pattern"]
@@ -84,10 +87,13 @@ def add_threat_columns_arrow(df: DataFrame, text: Column, dictionary: ThreatDict
                              threats_col: str = "detected_threats",
                              severity_col: str | None = "threat_severity") -> DataFrame:
     cats = _plan(dictionary)
+    built: dict = {}   # per task: the automaton is built once, not per Arrow batch
 
     @pandas_udf(RESULT_TYPE)
     def detect(lt: pd.Series) -> pd.DataFrame:
-        match = _matcher(cats)
+        if "match" not in built:
+            built["match"] = _matcher(cats)
+        match = built["match"]
         rows = [match(x) for x in lt]
         return pd.DataFrame({"detected": [r["detected"] for r in rows],
                              "severity": [r["severity"] for r in rows]})
