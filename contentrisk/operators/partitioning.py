@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()   # planning only, no job
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()   # planning only, no job
+    except Exception:   # no RDD view of the plan (e.g. a remote session): leave the plan alone
+        return df
     if current >= target:
         return df
     # Spread on the row's position, not on a data key: copies sharing an id or a

@@ -72,3 +72,13 @@ def test_ocr_rates_on_mock_images(spark, mock_images_enriched):
     daily = A.ocr_success_daily(mock_images_enriched).collect()
     assert sorted((r.source, r.avg_extracted_text_length) for r in daily) == [
         ("picsum", 10.0), ("placeholder", 0.0), ("unsplash", 0.0)]
+
+
+def test_null_and_empty_category_arrays(spark):
+    text = frame(spark, [row("a", "s", True, "low", ["x"]), ("n", "s", "t", "b", "/p", "", True, "low", None,
+                                                             T0, False, 0),
+                         row("e", "s", True, "low", [])])
+    images = frame(spark, [])
+    got = [(r.threat_category, r.threat_count) for r in A.daily_threat_categories(text, images).collect()]
+    assert got == [("x", 1)]
+    assert A.top_sources(text, images).count() == 1
