@@ -20,17 +20,18 @@ from pyspark.sql import functions as F
 
 from contentrisk.functions.dictionary import analysis_dictionary
 from contentrisk.functions.matching import detect_threats_join, flatten_match_strings
+from contentrisk.functions.text import url_host
+from contentrisk.operators import stats
 from contentrisk.operators.enrich import enrich_images, enrich_text
 from contentrisk.operators.extract import extract_text
-from contentrisk.operators import stats
 from contentrisk.operators.ingest import ingest_images, ingest_text
 from contentrisk.operators.partitioning import spread_for_cpu
 from contentrisk.operators.prepare import fallback_enrich, harmonize_schema
-from contentrisk.operators.tables import merge_insert_only, merge_upsert
+from contentrisk.operators.tables import merge_insert_only, merge_upsert, write_table
+from contentrisk.plans import analytics
 from contentrisk.schemas import IMAGE_LANDING, TEXT_LANDING
-from contentrisk.functions.text import url_host
-from contentrisk.streaming.enrichment import read_latest, start_image_enrichment, start_text_enrichment
-from contentrisk.session import scratch_path
+from contentrisk.session import pin_utc, scratch_path
+from contentrisk.sources import testdata
 from contentrisk.sources.landing import dictionary_frame, keyword_lookup, scan_image_json, scan_text_json
 from contentrisk.sources.normalize import (
     collection_stats_images,
@@ -42,10 +43,7 @@ from contentrisk.sources.normalize import (
     union_sources,
     valid_content,
 )
-from contentrisk.operators.tables import write_table
-from contentrisk.plans import analytics
-from contentrisk.session import pin_utc
-from contentrisk.sources import testdata
+from contentrisk.streaming.enrichment import read_latest, start_image_enrichment, start_text_enrichment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
