@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from contentrisk.functions.dictionary import ThreatDictionary
 from contentrisk.operators import stats
 from contentrisk.operators.enrich import enrich_images, enrich_text
+from contentrisk.operators.extract import attach_content
 from contentrisk.operators.ingest import ingest_images, ingest_text, load_raw
 from contentrisk.operators.tables import write_table
 from contentrisk.plans.catalog import register_views, run_all, save_results
@@ -23,6 +24,7 @@ from contentrisk.sources.landing import (
     collect_dictionary,
     keyword_lookup,
     load_dictionary,
+    scan_binary_files,
     scan_image_json,
     scan_text_json,
 )
@@ -39,6 +41,7 @@ class PipelineConfig:
     checkpoints: str                              # base folder of stream checkpoints
     trigger_seconds: int = 10
     multi_line_json: bool = True
+    image_files: str | None = None                # landed image bytes (binaryFile), joined on filepath
     table_names: dict = field(default_factory=lambda: {
         "text_raw": "text_raw", "images_raw": "images_raw", "threat_mappings": "threat_mappings",
         "threat_keywords_lookup": "threat_keywords_lookup",
@@ -69,17 +72,18 @@ def run_dictionary_ingestion(spark: SparkSession, cfg: PipelineConfig, as_of=Non
 
 
 def run_batch_enrichment(spark: SparkSession, cfg: PipelineConfig, dictionary: ThreatDictionary,
-                         engine: str = "auto") -> tuple[DataFrame, DataFrame]:
+                         engine: str = "auto", extractor="html") -> tuple[DataFrame, DataFrame]:
     """Batch twin of the streams: enrich both raw tables and write the enriched tables."""
     text = write_table(enrich_text(spark.read.parquet(cfg.table("text_raw")), dictionary, engine=engine)
                        .drop("combined_text"), "text_enriched", ["threat_severity", "source"],
                        path=cfg.table("text_enriched"))
     images_raw = spark.read.parquet(cfg.table("images_raw"))
-    if "content" in images_raw.columns:
-        images = enrich_images(images_raw, dictionary, engine=engine)
-    else:   # metadata only: no bytes to extract from
-        images = enrich_images(images_raw.withColumn("content", F.lit(None).cast("string")),
-                               dictionary, engine=engine)
+    if "content" not in images_raw.columns:
+        if cfg.image_files:
+            images_raw = attach_content(images_raw, scan_binary_files(spark, cfg.image_files))
+        else:   # metadata only: no bytes to extract from
+            images_raw = images_raw.withColumn("content", F.lit(None).cast("binary"))
+    images = enrich_images(images_raw, dictionary, extractor=extractor, engine=engine)
     images = write_table(images, "images_enriched", ["threat_severity", "source"],
                          path=cfg.table("images_enriched"))
     return text, images

@@ -58,3 +58,22 @@ def extract_text(df: DataFrame, content_col: str = "content",
     else:
         raise ValueError(f"unknown extractor {extractor!r}")
     return df.withColumn(out_col, F.coalesce(expr, F.lit("")))
+
+
+def _norm_path(col: Column) -> Column:
+    """Compare paths without the ``file:`` scheme and duplicate leading slashes."""
+    return F.regexp_replace(F.regexp_replace(col, r"^file:", ""), r"^/+", "/")
+
+
+def attach_content(meta: DataFrame, files: DataFrame, path_col: str = "filepath",
+                   content_col: str = "content") -> DataFrame:
+    """Bring the landed bytes to each metadata row: an equi-join on the normalised path.
+
+    ``files`` is a ``binaryFile`` scan (path, content, ...). Metadata rows without
+    a landed file keep a null content (extraction gives ''). Both sides are large,
+    so this is a plain shuffle join on the path, which AQE may turn into a broadcast
+    when the file listing is small.
+    """
+    right = files.select(_norm_path(F.col("path")).alias("__path"), F.col("content").alias(content_col))
+    left = meta.withColumn("__path", _norm_path(F.col(path_col)))
+    return left.join(right, on="__path", how="left").drop("__path")

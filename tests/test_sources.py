@@ -124,3 +124,25 @@ def test_binary_scan_catalog_and_json_landing(spark):
     land_json(recs, out)
     back = scan_text_json(spark, out).first()
     assert back.text == "ü text" and back.url is None
+
+
+def test_attach_content_then_extract(spark):
+    import os
+
+    from contentrisk.functions.dictionary import analysis_dictionary
+    from contentrisk.operators.enrich import enrich_images
+    from contentrisk.operators.extract import attach_content
+    from contentrisk.sources.landing import scan_binary_files
+
+    folder = scratch_path(spark, "imgs")
+    local = folder[len("file:"):] if folder.startswith("file:") else folder
+    with open(os.path.join(local, "a.bin"), "wb") as f:
+        f.write(b"TXT:you idiot")
+    meta = spark.createDataFrame(
+        [("a", "s", f"{local}/a.bin", "h1"), ("b", "s", f"{local}/missing.bin", "h2")],
+        "id string, source string, filepath string, image_hash string")
+    joined = attach_content(meta, scan_binary_files(spark, local))
+    ocr = lambda b: b[4:].decode("utf-8") if b.startswith(b"TXT:") else ""
+    out = {r.id: (r.extracted_text, r.ocr_success, r.threat_severity)
+           for r in enrich_images(joined, analysis_dictionary(), extractor=ocr).collect()}
+    assert out == {"a": ("you idiot", True, "medium"), "b": ("", False, "benign")}
