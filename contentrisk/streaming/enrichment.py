@@ -23,10 +23,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from contentrisk.functions.dictionary import ThreatDictionary
 from contentrisk.operators.enrich import enrich_images, enrich_text
+from contentrisk.operators.extract import attach_content
 from contentrisk.operators.stats import batch_metrics
 from contentrisk.operators.tables import dedupe_latest, rebalance_for_write
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 from contentrisk.session import scratch_path
+from contentrisk.sources.landing import scan_binary_files
 
 # Latest-wins order: newest enrichment, then the later batch, then id.
 ORDER_LATEST = [("enrichment_timestamp", False), ("batch_id", False), ("id", True)]
@@ -84,14 +86,21 @@ def start_image_enrichment(spark: SparkSession, source: str, target: str, dictio
                            checkpoint: str | None = None, trigger: dict | None = None,
                            extractor="html", content_col: str = "content",
                            metrics_path: str | None = None,
-                           max_files_per_trigger: int | None = None) -> StreamingQuery:
-    schema = IMAGE_RAW
-    if content_col not in IMAGE_RAW.fieldNames():
+                           max_files_per_trigger: int | None = None,
+                           image_files: str | None = None) -> StreamingQuery:
+    """Image stream. Content comes from the raw table's ``content`` column or, when
+    ``image_files`` is given, from landed bytes joined on the path (stream-static join)."""
+    if image_files:
+        schema = IMAGE_RAW
+    else:
         schema = T.StructType(IMAGE_RAW.fields + [T.StructField(content_col, T.StringType())])
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    enriched = enrich_images(reader.parquet(source), dictionary, extractor=extractor, content_col=content_col)
+    stream = reader.parquet(source)
+    if image_files:
+        stream = attach_content(stream, scan_binary_files(spark, image_files), content_col=content_col)
+    enriched = enrich_images(stream, dictionary, extractor=extractor, content_col=content_col)
     return _start(enriched, target, checkpoint or scratch_path(spark, "ckpt_images"), "image_hash",
                   trigger or {"processingTime": "10 seconds"}, metrics_path, "image_enrichment")
 

@@ -97,3 +97,28 @@ def test_crash_after_write_before_commit(spark):
     latest = read_latest(spark, target, "content_hash")
     assert summary(latest) == summary(enrich_text(rows, d))
     assert {r.batch_id for r in spark.read.parquet(target).select("batch_id").collect()} == {0}
+
+
+def test_image_stream_joins_landed_bytes(spark):
+    import os
+
+    from contentrisk.operators.ingest import ingest_images
+    from contentrisk.streaming.enrichment import start_image_enrichment
+
+    files = scratch_path(spark, "img_files")
+    local = files[len("file:"):] if files.startswith("file:") else files
+    for name, body in (("p1.html", b"<html><p>worthless trash</p></html>"), ("p2.html", b"<p>fine</p>")):
+        with open(os.path.join(local, name), "wb") as f:
+            f.write(body)
+    meta = spark.createDataFrame(
+        [(f"img{i}", "s", None, f"{local}/p{i}.html", 10, "2024-01-01T00:00:00", None, None, None) for i in (1, 2)],
+        "id string, source string, url string, filepath string, file_size bigint, timestamp string, "
+        "metadata map<string,string>, dimensions string, category string")
+    source, target = scratch_path(spark, "img_src"), scratch_path(spark, "img_tgt")
+    ingest_images(meta, as_of="2024-01-01").write.mode("append").parquet(source)
+    q = start_image_enrichment(spark, source, target, analysis_dictionary(), checkpoint=scratch_path(spark, "ick"),
+                               trigger={"availableNow": True}, image_files=local)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = {r.id: (r.extracted_text, r.threat_severity) for r in read_latest(spark, target, "image_hash").collect()}
+    assert got == {"img1": ("worthless trash", "high"), "img2": ("fine", "benign")}
