@@ -268,8 +268,9 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["id", "content_hash", "is_threat", "threat_severity", "enrichment_timestamp"]
     target = fallback_enrich(raw, "a", enrichment_ts=F.col("ingestion_timestamp")).select(cols)
     later = F.col("ingestion_timestamp") + F.expr("INTERVAL 1 DAY")
-    batch = enrich_text(raw.where(F.col("metadata")["lang"].isin("fr", "de")),
-                        analysis_dictionary(), enrichment_ts=later).select(cols)
+    # The enrichment job writes its batch; the merge reads it (here: landed twice, a replay).
+    batch = write_table(enrich_text(raw.where(F.col("metadata")["lang"].isin("fr", "de")),
+                                    analysis_dictionary(), enrichment_ts=later).select(cols), "upsert_batch")
     return merge_upsert(target, batch.unionByName(batch), "content_hash",
                         [("enrichment_timestamp", False), ("id", True)])
 
