@@ -1,7 +1,7 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints ONE JSON line: {"metric", "value", "unit", "queries": {...}, "sf"}.
-Timings are best-of-$BENCH_RUNS (default 2) wall-clock seconds per query,
+Timings are best-of-$BENCH_RUNS (default 3) wall-clock seconds per query,
 each fully executed into a no-op sink, after one warm-up pass of every query
 over $BENCH_WARMUP_DIR (default sf0.01; the same plans, so code generation and
 the JIT are warm; set it empty to skip). Enrichment (the dictionary matching
@@ -26,7 +26,7 @@ from contentrisk.session import get_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 WARMUP_DIR = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
 
 OPERATOR_QUERIES = ["detect_threats", "detect_threats_arrow", "detect_threats_join",
