@@ -28,12 +28,13 @@ def ts_column(spec: TsSpec) -> Column:
 
 def _finish(df: DataFrame, hash_col: str, enrichment_ts: TsSpec) -> DataFrame:
     ts = ts_column(enrichment_ts)
-    return (df
-            .withColumn("is_threat", F.size("detected_threats") > 0)
-            .withColumn("enrichment_timestamp", ts)
-            .withColumn("enrichment_id", F.md5(F.concat_ws(
-                "||", F.col("id"), F.col(hash_col), F.col("enrichment_timestamp").cast("string"))))
-            .withColumn("threat_categories", F.col("detected_threats.category")))
+    out = df.withColumns({
+        "is_threat": F.size("detected_threats") > 0,
+        "enrichment_timestamp": ts,
+        "threat_categories": F.col("detected_threats.category"),
+    })
+    return out.withColumn("enrichment_id", F.md5(F.concat_ws(
+        "||", F.col("id"), F.col(hash_col), F.col("enrichment_timestamp").cast("string"))))
 
 
 def enrich_text(df: DataFrame, dictionary: ThreatDictionary,
