@@ -155,11 +155,10 @@ def add_threat_columns(df: DataFrame, text: Column, dictionary: ThreatDictionary
         structs.append((F.size(k) + F.size(p) > 0, F.struct(
             F.lit(c.name).alias("category"), k.alias("matched_keywords"),
             p.alias("matched_patterns"), score.alias("threat_score")).cast(THREAT_STRUCT)))
-    out = base.withColumn(threats_col, _concat_present(structs, F.array().cast(THREATS_TYPE)))
-
+    new_cols = {threats_col: _concat_present(structs, F.array().cast(THREATS_TYPE))}
     if severity_col:
-        out = out.withColumn(severity_col, severity_expr(F.col(threats_col), terms, arrays))
-    return out.drop(lt_name, *helper_cols)
+        new_cols[severity_col] = severity_expr(terms, arrays)
+    return base.withColumns(new_cols).drop(lt_name, *helper_cols)
 
 
 def _cats_per_chunk(terms: list[Term], n_cats: int) -> int:
@@ -169,14 +168,19 @@ def _cats_per_chunk(terms: list[Term], n_cats: int) -> int:
     return max(1, MAX_TERMS_PER_PROJECTION // per_cat)
 
 
-def severity_expr(threats: Column, terms: list[Term], arrays: dict[int, tuple[str, str]]) -> Column:
+def severity_expr(terms: list[Term], arrays: dict[int, tuple[str, str]]) -> Column:
+    """Severity from the per-category match arrays (so it shares one projection with the structs)."""
     by_rank: dict[int, list[Column]] = {2: [], 3: []}
     for t in terms:
         if t.sev_rank >= 2:
             k_name, p_name = arrays[t.cat_ord]
             arr = F.col(k_name if t.kind == "keyword" else p_name)
             by_rank[t.sev_rank].append(F.array_contains(arr, t.term))
-    expr = F.when(F.size(threats) == 0, F.lit("benign"))
+    total = None
+    for k_name, p_name in arrays.values():
+        n = F.size(k_name) + F.size(p_name)
+        total = n if total is None else total + n
+    expr = F.when(total == 0 if total is not None else F.lit(True), F.lit("benign"))
     for rank in (3, 2):
         if by_rank[rank]:
             cond = by_rank[rank][0]
