@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -105,15 +106,39 @@ def start_image_enrichment(spark: SparkSession, source: str, target: str, dictio
                   trigger or {"processingTime": "10 seconds"}, metrics_path, "image_enrichment")
 
 
-def read_latest(spark: SparkSession, target: str, key: str) -> DataFrame:
-    """The upserted table: the latest row per key over every batch folder."""
-    all_rows = spark.read.parquet(target)
-    return dedupe_latest(all_rows, key, ORDER_LATEST).drop("stream", "batch_id")
+def read_latest(spark: SparkSession, target: str, key: str, snapshot: str | None = None) -> DataFrame:
+    """The upserted table: the latest row per key over every batch folder.
+
+    With ``snapshot`` (written by ``compact``), only batch folders newer than the
+    snapshot are read (a filter on the partition columns, so older folders are pruned)
+    and combined with it.
+    """
+    if snapshot is None:
+        return dedupe_latest(spark.read.parquet(target), key, ORDER_LATEST).drop("stream", "batch_id")
+    snap = spark.read.parquet(f"{snapshot}/rows")
+    # One row per stream token folded into the snapshot: bounded by the number of streams.
+    through = {r["stream"]: r["batch_id"] for r in spark.read.parquet(f"{snapshot}/through").collect()}
+    newer = F.lit(True)
+    if through:
+        newer = ~F.col("stream").isin(list(through))
+        for token, last in through.items():
+            newer = newer | ((F.col("stream") == token) & (F.col("batch_id") > last))
+    recent = spark.read.parquet(target).where(newer)
+    both = snap.unionByName(recent.select(*snap.columns))
+    return dedupe_latest(both, key, ORDER_LATEST).drop("stream", "batch_id")
 
 
 def compact(spark: SparkSession, target: str, key: str, snapshot: str) -> DataFrame:
-    """Fold all batches into one snapshot folder (a new folder; the target is untouched)."""
-    (rebalance_for_write(read_latest(spark, target, key), ["threat_severity", "source"])
-     .write.mode("overwrite")
-     .partitionBy("threat_severity", "source").parquet(snapshot))
-    return spark.read.parquet(snapshot)
+    """Fold all batches into a snapshot folder (new folder; the batch folders stay as they are).
+
+    Writes ``<snapshot>/rows`` (latest row per key, keeping its stream / batch_id) and
+    ``<snapshot>/through`` (the last batch folded per stream token), so that
+    ``read_latest(..., snapshot=...)`` only has to read newer batches.
+    """
+    all_rows = spark.read.parquet(target)
+    latest = dedupe_latest(all_rows, key, ORDER_LATEST)
+    rebalance_for_write(latest, ["threat_severity", "source"]).write.mode("overwrite") \
+        .partitionBy("threat_severity", "source").parquet(f"{snapshot}/rows")
+    all_rows.groupBy("stream").agg(F.max("batch_id").alias("batch_id")) \
+        .write.mode("overwrite").parquet(f"{snapshot}/through")
+    return spark.read.parquet(f"{snapshot}/rows").drop("stream", "batch_id")

@@ -56,9 +56,23 @@ def test_stream_replay_restart_and_change(spark):
     batches = {r.batch_id for r in spark.read.parquet(target).select("batch_id").distinct().collect()}
     assert len(batches) >= 3          # one folder per non-empty micro-batch (one file each)
 
-    snap = compact(spark, target, "content_hash", scratch_path(spark, "snap"))
+    snap_path = scratch_path(spark, "snap")
+    snap = compact(spark, target, "content_hash", snap_path)
     assert summary(snap) == summary(latest)
 
+    # newer batches after the snapshot: read = snapshot + only the newer folders
+    third = raw_rows(spark, [("5", "t", "hate"), ("2", "s", "nice day")])    # '2' is a replayed key
+    third.write.mode("append").parquet(source)
+    run(spark, source, target, ckpt)
+    full = read_latest(spark, target, "content_hash")
+    incremental = read_latest(spark, target, "content_hash", snapshot=snap_path)
+    assert full.count() == 6 and summary(incremental) == summary(full)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = incremental._jdf.queryExecution().executedPlan().toString()
+    import re
+    pruned = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert any("batch_id" in f for f in pruned)        # older batch folders are pruned, not read
+
 
 def test_retried_batch_replaces_itself(spark):
     target = scratch_path(spark, "retry")
