@@ -124,7 +124,21 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iter
         start, done = end, int(size[end - 1])
 
 
-def split_words(texts: pa.Array, pattern: str = " ") -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+def raw(texts: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The bytes of a string array without nulls, and where each text begins (and the end)."""
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    if not len(texts) or bounds[0] == bounds[-1]:
+        return b"", np.zeros(len(texts) + 1, np.int64)
+    return texts.buffers()[2][int(bounds[0]):int(bounds[-1])].to_pybytes(), bounds - bounds[0]
+
+
+def translated(texts: pa.Array, table: bytes) -> pa.Array:
+    """Texts with every byte replaced by ``table`` (ASCII by ASCII)."""
+    data, bounds = raw(texts)
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data.translate(table)))
+
+
+def split_words(texts: pa.Array, pattern: str = " ") -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Texts cut at each space: row starts in the words, each word's number, the distinct words,
     and each word's length in characters. Cutting, hashing and numbering run inside Arrow."""
     cut = pc.split_pattern(texts, pattern)
@@ -132,24 +146,44 @@ def split_words(texts: pa.Array, pattern: str = " ") -> tuple[np.ndarray, np.nda
     starts = np.asarray(cut.offsets, dtype=np.int64)
     starts = starts - starts[0]
     coded = words.dictionary_encode()
-    return starts, coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist(), pc.utf8_length(words).to_numpy(zero_copy_only=False)
-
-
-class Remembered:
-    """A function of a word whose results are kept, up to a number of words (then it starts anew)."""
-
-    def __init__(self, fn: Callable, most: int = 300_000):
-        self.fn, self.most, self.kept = fn, most, {}
-
-    def __call__(self, words: list[str]) -> list:
-        kept, fn = self.kept, self.fn
-        if len(kept) + len(words) > self.most:
-            kept.clear()
-        out = [kept.get(w) for w in words]
-        for i, v in enumerate(out):
-            if v is None:
-                out[i] = kept[words[i]] = fn(words[i])
-        return out
+    return starts, coded.indices.to_numpy(zero_copy_only=False), coded.dictionary, pc.utf8_length(words).to_numpy(zero_copy_only=False)
+
+
+class KnownWords:
+    """What a function makes of words, kept for words that came more than once in a batch, up to
+    ``most`` of them. ``fn`` maps a list of words to (values, number of values of each word)."""
+
+    def __init__(self, fn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 400_000):
+        self.fn, self.most = fn, most
+        self.words, self.values, self.ptr = pa.array([], pa.string()), None, np.zeros(1, np.int64)
+
+    def __call__(self, words: pa.Array, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Values of the distinct ``words`` that came ``times`` each: all values, and where each
+        word's begin and how many there are."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        fresh = words.take(pa.array(new))
+        values, size = self.fn(fresh.to_pylist())
+        ends = np.cumsum(size)
+        kept = self.values if self.values is not None else values[:0]
+        begin, count = self.ptr[np.maximum(at, 0)], np.zeros(len(at), np.int64)
+        old = at >= 0
+        count[old] = self.ptr[at[old] + 1] - self.ptr[at[old]]
+        begin[new], count[new] = ends - size + len(kept), size
+        out = np.concatenate([kept, values])
+        keep = np.flatnonzero(times[new] > 1)[:max(0, self.most - len(self.words))]
+        if len(keep):
+            more = gather(values, (ends - size)[keep], size[keep])
+            self.words = pa.concat_arrays([self.words, fresh.take(pa.array(keep))])
+            self.values = np.concatenate([kept, more])
+            self.ptr = np.concatenate([self.ptr, self.ptr[-1] + np.cumsum(size[keep])])
+        return out, begin, count
+
+
+def gather(values: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that start at ``begin``, one after the other."""
+    ends = np.cumsum(count)
+    return values[np.repeat(begin - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 def map_texts(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[], Callable]) -> DataFrame:

@@ -21,10 +21,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from contentrisk.llm.common import Remembered, labelled_sample, map_texts, split_words
+from contentrisk.llm.common import KnownWords, labelled_sample, map_texts, split_words, translated
 
 LETTERS = re.compile(r"[^\W\d_]+")
-ENDS = re.compile(r"[.!?]\W*$")
+ENDS = r"[.!?][^\pL\pN]*$"
+SPACES = bytes.maketrans(b"\n\t\r", b"   ")
 PREFIXES = range(4, 9)
 #: A sentence of more words is read as several sequences.
 MAX_SEQUENCE = 64
@@ -52,18 +53,16 @@ def features(w: str) -> list[str]:
 class Tokens:
     starts: np.ndarray   # of documents in the tokens
     word: np.ndarray     # number of each token's word
-    words: list[str]
+    words: pa.Array      # the distinct ones
     begin: np.ndarray    # characters from the document's start
     length: np.ndarray
     seq: np.ndarray      # starts of sequences in the tokens, and the end
 
 
 def tokens(texts: pa.Array) -> Tokens:
-    for c in "\n\t\r":
-        texts = pc.replace_substring(texts, c, " ")
-    starts, word, words, length = split_words(texts)
+    starts, word, words, length = split_words(translated(texts, SPACES))
     n = len(word)
-    ends = np.fromiter((bool(ENDS.search(w)) for w in words), bool, len(words))
+    ends = pc.match_substring_regex(words, ENDS).to_numpy(zero_copy_only=False)
     after = np.cumsum(length + 1)
     begin = after - length - 1
     begin -= np.repeat(begin[starts[:-1]] if n else begin, np.diff(starts))
@@ -182,7 +181,7 @@ def fit(texts: list[str | None], label: np.ndarray, rounds: int = 15) -> Model:
         p = np.clip(label.mean() if len(label) else 0.0, 1e-6, 1 - 1e-6)
         return Model(-9.0, {}, np.zeros((2, 2)), np.array([np.log(p / (1 - p)), 0.0, 0.0, 0.0]))
     t = tokens(pa.array([x for x, _ in kept], pa.string()))
-    bares = [bare(w) for w in t.words]
+    bares = [bare(w) for w in t.words.to_pylist()]
     marked = toxic_units(t, bares, label)
     doc = np.repeat(np.arange(len(label)), np.diff(t.starts))
     y = (marked[t.word] & (label[doc] > 0)).astype(float)
@@ -232,11 +231,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
 
 def scorer(model: Model):
     """fn(texts) -> score, number of toxic tokens, spans."""
-    known = Remembered(model.emission)
+    def emissions(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return np.array([model.emission(w) for w in words], float), np.ones(len(words), np.int64)
+
+    known = KnownWords(emissions)
 
     def fn(texts: pa.Array) -> list[pa.Array]:
         t = tokens(texts)
-        odds = np.exp(np.clip(np.array(known(t.words)), -30, 30))[t.word] if len(t.word) else np.zeros(0)
+        made, at, _ = known(t.words, np.bincount(t.word, minlength=len(t.words)))
+        odds = np.exp(np.clip(made[at], -30, 30))[t.word]
         marg = Chain(t.seq).marginals(odds, model.trans)[0]
         score = 1 / (1 + np.exp(-np.clip(evidence(marg, t.starts) @ model.doc, -30, 30)))
         bad = np.flatnonzero(marg >= 0.5)
