@@ -13,6 +13,7 @@ Without labelled documents of both classes the score is the share of toxic ones
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from contentrisk.llm.common import KnownWords, labelled_sample, map_texts, split_words, translated
+from contentrisk.llm.common import KnownWords, gather, labelled_sample, map_texts, split_words, translated
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ENDS = r"[.!?][^\pL\pN]*$"
@@ -29,10 +30,12 @@ SPACES = bytes.maketrans(b"\n\t\r", b"   ")
 PREFIXES = range(4, 9)
 #: A sentence of more words is read as several sequences.
 MAX_SEQUENCE = 64
+#: Smaller marginals don't count as expected tokens.
+FAINT = 0.1
 #: Weights nearer to zero are left out of the model.
-LEAST_WEIGHT = 0.01
+LEAST_WEIGHT = 0.05
 #: Documents that are not, and are, toxic that the model is fitted on, at most.
-SAMPLE = (1600, 800)
+SAMPLE = (1200, 700)
 RESULT = [T.StructField("score", T.DoubleType()), T.StructField("n_toxic_tokens", T.IntegerType()),
           T.StructField("spans", T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())])))]
 
@@ -139,7 +142,8 @@ class Model:
 
 
 def evidence(marg: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """By document: 1, log of 1 + the expected number of toxic tokens, the two highest marginals."""
+    """By document: 1, log of 1 + the expected number of toxic tokens (of those with a marginal of
+    ``FAINT`` or more, so that length alone is no evidence), the two highest marginals."""
     n, first = len(starts) - 1, starts[:-1]  # a document has one token at least, if an empty one
     if not n:
         return np.zeros((0, 4))
@@ -148,29 +152,37 @@ def evidence(marg: np.ndarray, starts: np.ndarray) -> np.ndarray:
     at = np.flatnonzero(marg == top[doc])
     rest = marg.copy()
     rest[at[np.unique(doc[at], return_index=True)[1]]] = 0
-    return np.stack([np.ones(n), np.log1p(np.bincount(doc, marg, n)), top, np.maximum.reduceat(rest, first)], 1)
+    return np.stack([np.ones(n), np.log1p(np.bincount(doc, np.where(marg >= FAINT, marg, 0), n)), top, np.maximum.reduceat(rest, first)], 1)
 
 
-def toxic_units(t: Tokens, bares: list[str], label: np.ndarray) -> np.ndarray:
+def numbered(bares: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The features of all words, numbered: their hashes, each one's number, and how many each word has."""
+    size = np.fromiter((bool(w) + sum(len(w) > k for k in PREFIXES) for w in bares), np.int64, len(bares))
+    hashes = np.fromiter((zlib.crc32(f.encode()) for w in bares for f in features(w)), np.int64, int(size.sum()))
+    used, flat = np.unique(hashes, return_inverse=True)
+    return used, flat, size
+
+
+def toxic_words(t: Tokens, flat: np.ndarray, size: np.ndarray, n: int, label: np.ndarray) -> np.ndarray:
     """For each distinct word: does it, or a beginning of it, stand in toxic documents far more than in others?"""
-    names: dict[str, int] = {}
-    of = [[names.setdefault(u, len(names)) for u in (w + "$", *(w[:n] for n in PREFIXES if len(w) > n))] if w else [] for w in bares]
-    size = np.array([len(x) for x in of])
-    flat, ptr = np.fromiter((u for x in of for u in x), np.int64), np.concatenate([[0], np.cumsum(size)])
+    ptr, m = np.cumsum(size) - size, len(size)
     doc = np.repeat(np.arange(len(label)), np.diff(t.starts))
-    pair = np.unique(doc * len(bares) + t.word)
-    d, w = pair // len(bares), pair % len(bares)
-    k = np.repeat(ptr[w], size[w]) + np.arange(size[w].sum()) - np.repeat(np.cumsum(size[w]) - size[w], size[w])
-    pair = np.unique(np.repeat(d, size[w]) * max(1, len(names)) + flat[k])
-    d, u = pair // max(1, len(names)), pair % max(1, len(names))
-    hit, miss = np.bincount(u, label[d], len(names)), np.bincount(u, 1 - label[d], len(names))
+    hit, miss = np.zeros(n), np.zeros(n)
+    for y, total in ((1, hit), (0, miss)):
+        for part in np.array_split(np.flatnonzero(label == y), 8):   # of documents, for little memory
+            inside = (doc >= part[0]) & (doc <= part[-1]) & (label[doc] == y) if len(part) else np.zeros(len(doc), bool)
+            pair = np.unique(doc[inside] * m + t.word[inside])
+            d, w = pair // max(1, m), pair % max(1, m)
+            unit = gather(flat, ptr[w], size[w])
+            pair = np.unique(np.repeat(d, size[w]) * max(1, n) + unit)
+            total += np.bincount(pair % max(1, n), minlength=n)
     n1, n0 = label.sum(), (1 - label).sum()
     share = n1 / (n1 + n0)
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (np.where(hit > 0, hit * np.log(hit / ((hit + miss) * share)), 0) + np.where(miss > 0, miss * np.log(miss / ((hit + miss) * (1 - share))), 0))
     # beyond chance among so many units, the more so in a larger sample, and rare elsewhere
-    good = (g > 2 * np.log(max(2, len(names))) + 0.03 * n1) & (hit / n1 > 50 * miss / n0)
-    return np.fromiter((any(good[x] for x in us) for us in of), bool, len(of))
+    good = (g > 2 * np.log(max(2, n)) + 0.03 * n1) & (hit / n1 > 50 * miss / n0)
+    return np.bincount(np.repeat(np.arange(m), size), good[flat], m) > 0
 
 
 def fit(texts: list[str | None], label: np.ndarray, rounds: int = 15) -> Model:
@@ -182,30 +194,32 @@ def fit(texts: list[str | None], label: np.ndarray, rounds: int = 15) -> Model:
         return Model(-9.0, {}, np.zeros((2, 2)), np.array([np.log(p / (1 - p)), 0.0, 0.0, 0.0]))
     t = tokens(pa.array([x for x, _ in kept], pa.string()))
     bares = [bare(w) for w in t.words.to_pylist()]
-    marked = toxic_units(t, bares, label)
-    doc = np.repeat(np.arange(len(label)), np.diff(t.starts))
-    y = (marked[t.word] & (label[doc] > 0)).astype(float)
-    fs = [features(w) for w in bares]
-    size = np.array([len(x) for x in fs])
-    used: dict[str, int] = {}
-    flat, owner = np.fromiter((used.setdefault(f, len(used)) for x in fs for f in x), np.int64), np.repeat(np.arange(len(fs)), size)
+    used, flat, size = numbered(bares)
+    owner = np.repeat(np.arange(len(size)), size)
+    marked = toxic_words(t, flat, size, len(used), label)
+    y = (marked[t.word] & (label[np.repeat(np.arange(len(label)), np.diff(t.starts))] > 0)).astype(float)
     chain = Chain(t.seq)
     w, trans, bias = np.zeros(len(used)), np.zeros((2, 2)), np.array([-4.0])
     j = chain.follows
     seen = np.bincount((2 * y[j - 1] + y[j]).astype(int), minlength=4).reshape(2, 2)
     params, m, v = [w, trans, bias], [0.0, 0.0, 0.0], [0.0, 0.0, 0.0]
     n = max(1.0, y.sum())
+
+    def odds():
+        return np.exp(np.clip(bias[0] + np.bincount(owner, w[flat], len(size)), -30, 30))[t.word]
+
     for k in range(1, rounds + 1):
-        odds = np.exp(np.clip(bias[0] + np.bincount(owner, w[flat], len(fs)), -30, 30))[t.word]
-        marg, a, b = chain.marginals(odds, trans)
-        by_word = np.bincount(t.word, marg - y, len(fs))
-        grads = [np.bincount(flat, by_word[owner], len(used)) / n + 1e-4 * w, (chain.transitions(odds, trans, a, b) - seen) / n + 1e-2 * trans, np.array([by_word.sum() / n])]
+        e = odds()
+        marg, a, b = chain.marginals(e, trans)
+        by_word = np.bincount(t.word, marg - y, len(size))
+        grads = [np.bincount(flat, by_word[owner], len(used)) / n + 1e-4 * w, (chain.transitions(e, trans, a, b) - seen) / n + 1e-2 * trans, np.array([by_word.sum() / n])]
         for i, g in enumerate(grads):  # Adam
             m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.99 * v[i] + 0.01 * g * g
             params[i] -= 0.4 * (m[i] / (1 - 0.9 ** k)) / (np.sqrt(v[i] / (1 - 0.99 ** k)) + 1e-8)
-    odds = np.exp(np.clip(bias[0] + np.bincount(owner, w[flat], len(fs)), -30, 30))[t.word]
-    x = evidence(chain.marginals(odds, trans)[0], t.starts)
-    return Model(float(bias[0]), {f: float(w[i]) for f, i in used.items() if abs(w[i]) > LEAST_WEIGHT}, trans, logistic(x, label))
+    x = evidence(chain.marginals(odds(), trans)[0], t.starts)
+    weight = {int(used[i]): float(w[i]) for i in np.flatnonzero(np.abs(w) > LEAST_WEIGHT)}
+    named = {f: weight[h] for b in bares for f in features(b) if (h := zlib.crc32(f.encode())) in weight}
+    return Model(float(bias[0]), named, trans, logistic(x, label))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int = 30) -> np.ndarray:
