@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contentrisk.llm.common import connected_components, lookup, map_texts
+from contentrisk.llm.common import connected_components, lookup, map_texts, small_side
 from contentrisk.operators.tables import write_table
 
 SEED = 42
 SEGMENTS, WIDTH = 16, 4
+#: Masks of one start, at most.
+MASKS = SEGMENTS + 1
 #: Groups up to this size are compared pairwise in one step; larger ones go by leaders first.
 DENSE = 512
 
@@ -87,7 +89,7 @@ def bucket_keys(fp: str, distance: int):
             return m - (1 << 64) if m >> 63 else m
         for j in wild or [-1]:
             # a key is a masked fingerprint, with the number of its mask
-            keys.append(f"struct(cast({s * SEGMENTS + j + 1} as int) as mask, {fp} & cast({mask([k for k in range(one) if k != j])} as bigint) as bits)")
+            keys.append(f"struct(cast({s * MASKS + j + 1} as int) as mask, {fp} & cast({mask([k for k in range(one) if k != j])} as bigint) as bits)")
     return F.explode(F.expr(f"array({', '.join(keys)})"))
 
 
@@ -185,7 +187,7 @@ def links_of(mask: np.ndarray, bits: np.ndarray, fp: np.ndarray, distance: int)
         if len(keep):
             diff, where = diff[keep], at[keep]
             ok = np.zeros(len(keep), bool)
-            start = mask[where] // SEGMENTS
+            start = mask[where] // MASKS
             for s in np.unique(start):
                 own = start == s
                 ok[own] = chain_ok(diff[own], int(s), distance)
@@ -197,7 +199,7 @@ def links_of(mask: np.ndarray, bits: np.ndarray, fp: np.ndarray, distance: int)
         at = at[left[at] >= step]
     for f, n in zip(first[size > DENSE], size[size > DENSE]):
         own = fp[f:f + n]
-        i, j = bucket_links(own, int(mask[f]) // SEGMENTS, distance)
+        i, j = bucket_links(own, int(mask[f]) // MASKS, distance)
         out_a.append(own[i])
         out_b.append(own[j])
     none = np.zeros(0, np.uint64)
@@ -252,24 +254,19 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, id_col: str =
 
 
 def keep_one(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that with its smallest id (of repeated rows with
-    that id, one). Rows without an id stay only where no row of the component has one, then one of them."""
-    found = near_duplicates(docs, shingle, distance, id_col, text_col).select(F.col("component_id").alias("__keep"))
-    kept = write_table(found.distinct(), "simhash-kept")
-    return pick(docs, kept, id_col)
-
-
-def pick(docs: DataFrame, kept: DataFrame, id_col: str) -> DataFrame:
-    """The rows whose id is in ``kept.__keep``, one of each id (the first by a hash of the row)."""
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
-    names = {c.lower() for c in docs.columns}
-    h = next(x for x in ("__h", "__h2", "__h3") if x not in names)
+    """``docs`` with one row of each component: that with its smallest id (of repeated rows with that
+    id, the first by a hash of the row). Rows with a null id can't be named, and stay."""
+    found = near_duplicates(docs, shingle, distance, id_col, text_col).select(F.col(id_col).alias("__id"), "component_id")
+    # narrow: the ids that go, and kept ids that come again; texts are shuffled only if these are many
+    gone = write_table(found.filter("__id <> component_id").select("__id").distinct(), "simhash-gone")
+    again = write_table(found.filter("__id = component_id").groupBy("__id").agg(F.count("*").alias("n")).filter("n > 1").select("__id"), "simhash-again")
+    rows = docs.join(small_side(gone), F.col(id_col) == F.col("__id"), "left_anti")
+    if not again.count():
+        return rows
+    again = small_side(again)
+    alone = rows.join(again, F.col(id_col) == F.col("__id"), "left_anti")
+    repeated = rows.join(again, F.col(id_col) == F.col("__id"), "left_semi")
     plain = [F.col(f"`{c}`") for c in docs.columns if not isinstance(docs.schema[c].dataType, T.MapType)]
-    rows = rows.withColumn(h, F.xxhash64(*plain))
-    repeated = write_table(rows.groupBy(id_col).agg(F.count("*").alias("__n"), F.min(h).alias("__low")).filter("__n > 1"), "simhash-repeated")
-    if not repeated.count():  # ids are unique, as a rule: no more to do
-        return rows.drop(h)
-    again = repeated.select(F.col(id_col).alias("__id"), "__low")
-    alone = rows.join(again, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
-    first = rows.join(again, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col(h) == F.col("__low")), "left_semi").dropDuplicates([id_col])
-    return alone.unionByName(first).drop(h)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = repeated.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(whole, F.xxhash64(*plain)).alias("__row")).select("__row.*")
+    return alone.unionByName(first)
