@@ -112,7 +112,7 @@ def text_array(column: pa.Array) -> pa.Array:
     return pc.fill_null(column, "")
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of whole rows of about ``max_bytes`` of text (a longer text is a run of its own)."""
     if not batch.num_rows:
         return
@@ -153,7 +153,7 @@ class KnownWords:
     """What a function makes of words, kept for words that came more than once in a batch, up to
     ``most`` of them. ``fn`` maps a list of words to (values, number of values of each word)."""
 
-    def __init__(self, fn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 400_000):
+    def __init__(self, fn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 250_000):
         self.fn, self.most = fn, most
         self.words, self.values, self.ptr = pa.array([], pa.string()), None, np.zeros(1, np.int64)
 

@@ -27,7 +27,7 @@ from contentrisk.llm.common import slices, text_array
 from contentrisk.llm.tokens import Tokenizer, load_ranks
 from contentrisk.operators.tables import write_table
 
-BLOCK_TOKENS = 4 << 20
+BLOCK_TOKENS = 1 << 20
 SCHEMA = ("pack_id string, n_tokens int, n_segments int, input_ids binary, cu_seqlens array<int>, position_resets array<int>, "
           "doc_ids array<long>, doc_offsets array<long>, doc_rows array<long>")
 
