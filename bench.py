@@ -52,7 +52,7 @@ def run_all(spark, sf_dir: str, runs: int) -> dict[str, float]:
     holder = {}
 
     def enrich_text_job():
-        holder["text"] = write_table(Q.text_enriched(spark, sf_dir).drop("combined_text"), "bench_text")
+        holder["text"] = write_table(Q.text_enriched(spark, sf_dir, engine="native").drop("combined_text"), "bench_text")
 
     def enrich_images_job():
         holder["images"] = write_table(Q.images_enriched(spark, sf_dir), "bench_images")

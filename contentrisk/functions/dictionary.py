@@ -167,9 +167,6 @@ CORPUS_DICTIONARY = {
 # A dictionary is compiled into per-row column expressions; above this many
 # terms the expression form is split into chunks (see functions.matching).
 MAX_TERMS_PER_PROJECTION = 500
-# engine="auto": largest dictionary matched with native expressions; larger
-# ones use the one-pass Arrow matcher (see functions.matching.add_threat_columns).
-NATIVE_MAX_TERMS = 256
 
 
 @dataclass(frozen=True)
@@ -204,10 +201,7 @@ class ThreatDictionary:
         cats = []
         for name, d in obj["threat_categories"].items():
             sev = tuple((lvl, tuple(inds)) for lvl, inds in (d.get("severity_levels") or {}).items())
-            pats = tuple(d.get("patterns") or ())
-            for p in pats:
-                validate_pattern(p)
-            cats.append(Category(name, d.get("description"), tuple(d.get("keywords") or ()), pats, sev))
+            cats.append(Category(name, d.get("description"), *checked_terms(d.get("keywords"), d.get("patterns")), sev))
         meta = obj.get("metadata") or {}
         return cls(cats, meta.get("version"), meta)
 
@@ -223,8 +217,7 @@ class ThreatDictionary:
         version = None
         for r in rows:
             sev = tuple((k, tuple(v)) for k, v in (r["severity_levels"] or {}).items())
-            cats.append(Category(r["category"], r["description"], tuple(r["keywords"] or ()),
-                                 tuple(r["patterns"] or ()), sev))
+            cats.append(Category(r["category"], r["description"], *checked_terms(r["keywords"], r["patterns"]), sev))
             version = r["version"]
         return cls(cats, version)
 
@@ -257,9 +250,25 @@ def term_severity(cat: Category, term: str) -> int:
 _NESTED_QUANTIFIER = re.compile(r"\([^)]*[*+][^)]*\)[*+{]")
 
 
+# Groups that Python's and Java's regular expressions write differently.
+_NOT_SHARED = re.compile(r"\(\?(P[<=>]|#|\()")
+
+
+def checked_terms(keywords, patterns) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """A category's terms on every load path: empty ones (they would match any text) are
+    dropped, patterns validated."""
+    patterns = tuple(p for p in patterns or () if p)
+    for p in patterns:
+        validate_pattern(p)
+    return tuple(k for k in keywords or () if k), patterns
+
+
 def validate_pattern(p: str) -> None:
-    """Patterns must compile and must not nest quantifiers (catastrophic backtracking)."""
+    """Patterns must compile, mean the same in both regex engines and not nest quantifiers
+    (catastrophic backtracking)."""
     re.compile(p)
+    if _NOT_SHARED.search(p):
+        raise ValueError(f"pattern with a group that only one regex engine knows: {p!r}")
     if _NESTED_QUANTIFIER.search(p):
         raise ValueError(f"pattern with nested quantifiers is not allowed: {p!r}")
 

@@ -25,7 +25,6 @@ from pyspark.sql import types as T
 
 from contentrisk.functions.dictionary import (
     MAX_TERMS_PER_PROJECTION,
-    NATIVE_MAX_TERMS,
     SEVERITY_NAMES,
     Term,
     ThreatDictionary,
@@ -108,18 +107,14 @@ def _concat_present(items: list[tuple[Column, Column]], empty: Column) -> Column
 def add_threat_columns(df: DataFrame, text: Column, dictionary: ThreatDictionary,
                        threats_col: str = "detected_threats",
                        severity_col: str | None = "threat_severity",
-                       engine: str = "auto") -> DataFrame:
+                       engine: str = "arrow") -> DataFrame:
     """Append ``detected_threats`` (array<struct>) and ``threat_severity`` to ``df``.
 
-    ``engine="native"``: column expressions, whole-stage codegen.
-    ``engine="arrow"``: the Arrow-batched one-pass matcher of ``matching_arrow``.
-    ``engine="auto"`` (default): native up to ``NATIVE_MAX_TERMS`` terms; above it the
-    expression tree outgrows code generation (measured: 2,000 keywords disable
-    whole-stage codegen and planning alone takes ~20 s) and costs O(terms x bytes),
-    so the one-pass matcher takes over.
+    ``engine="arrow"`` (default, for every dictionary size): the Arrow-batched one-pass
+    matcher of ``matching_arrow``. ``engine="native"``, only when asked for: column
+    expressions in whole-stage codegen, O(terms x bytes). A null or empty text has no
+    threats in either.
     """
-    if engine == "auto":
-        engine = "native" if len(dictionary.terms()) <= NATIVE_MAX_TERMS else "arrow"
     if engine == "arrow":
         from contentrisk.functions.matching_arrow import add_threat_columns_arrow
         return add_threat_columns_arrow(df, text, dictionary, threats_col, severity_col)
@@ -128,7 +123,7 @@ def add_threat_columns(df: DataFrame, text: Column, dictionary: ThreatDictionary
     terms = dictionary.terms()
     cats = dictionary.categories
     lt_name = "__cr_lt"
-    base = df.withColumn(lt_name, F.lower(text))
+    base = df.withColumn(lt_name, F.lower(F.nullif(text, F.lit(""))))
 
     by_cat: dict[tuple[int, str], list[Term]] = {}
     for t in terms:
@@ -213,7 +208,7 @@ def match_terms_join(docs: DataFrame, id_col: str, text: Column,
     """
     spark = docs.sparkSession
     terms = terms_frame(spark, dictionary)
-    lowered = docs.select(F.col(id_col).alias("__id"), F.lower(text).alias("__lt"))
+    lowered = docs.select(F.col(id_col).alias("__id"), F.lower(text).alias("__lt")).filter("__lt <> ''")
     cond = F.when(F.col("kind") == "keyword", F.col("__lt").contains(F.col("term"))).otherwise(
         F.forall("gate", lambda g: F.col("__lt").contains(g)) & F.regexp_like(F.col("__lt"), F.col("rx")))
     return (lowered.join(F.broadcast(terms), cond, "inner")

@@ -18,7 +18,7 @@ from contentrisk.operators import stats
 from contentrisk.operators.enrich import enrich_images, enrich_text
 from contentrisk.operators.extract import attach_content
 from contentrisk.operators.ingest import ingest_images, ingest_text, load_raw
-from contentrisk.operators.tables import write_table
+from contentrisk.operators.tables import read_table, write_table
 from contentrisk.plans.catalog import register_views, run_all, save_results
 from contentrisk.sources.landing import (
     collect_dictionary,
@@ -28,7 +28,11 @@ from contentrisk.sources.landing import (
     scan_image_json,
     scan_text_json,
 )
-from contentrisk.streaming.enrichment import start_image_enrichment, start_text_enrichment
+from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
+from contentrisk.streaming.enrichment import read_latest, start_image_enrichment, start_text_enrichment
+
+#: Where the batch job writes within an enriched table (the streams have folders of their own).
+BATCH_FOLDER = "stream=batch/batch_id=0"
 
 
 @dataclass
@@ -42,6 +46,7 @@ class PipelineConfig:
     trigger_seconds: int = 10
     multi_line_json: bool = True
     image_files: str | None = None                # landed image bytes (binaryFile), joined on filepath
+    metrics: str | None = None                    # folder of the image stream's per-batch metrics
     table_names: dict = field(default_factory=lambda: {
         "text_raw": "text_raw", "images_raw": "images_raw", "threat_mappings": "threat_mappings",
         "threat_keywords_lookup": "threat_keywords_lookup",
@@ -54,13 +59,13 @@ class PipelineConfig:
 def run_text_ingestion(spark: SparkSession, cfg: PipelineConfig, as_of=None) -> DataFrame:
     landing = scan_text_json(spark, f"{cfg.text_landing.rstrip('/')}/*.json", cfg.multi_line_json)
     load_raw(ingest_text(landing, as_of), cfg.table("text_raw"), "content_hash")
-    return stats.ingest_stats_text(spark.read.parquet(cfg.table("text_raw")))
+    return stats.ingest_stats_text(read_table(spark, cfg.table("text_raw"), TEXT_RAW))
 
 
 def run_image_ingestion(spark: SparkSession, cfg: PipelineConfig, as_of=None) -> DataFrame:
     landing = scan_image_json(spark, f"{cfg.image_landing.rstrip('/')}/*.json", cfg.multi_line_json)
     load_raw(ingest_images(landing, as_of), cfg.table("images_raw"), "image_hash")
-    return stats.ingest_stats_images(spark.read.parquet(cfg.table("images_raw")))
+    return stats.ingest_stats_images(read_table(spark, cfg.table("images_raw"), IMAGE_RAW))
 
 
 def run_dictionary_ingestion(spark: SparkSession, cfg: PipelineConfig, as_of=None) -> ThreatDictionary:
@@ -72,21 +77,30 @@ def run_dictionary_ingestion(spark: SparkSession, cfg: PipelineConfig, as_of=Non
 
 
 def run_batch_enrichment(spark: SparkSession, cfg: PipelineConfig, dictionary: ThreatDictionary,
-                         engine: str = "auto", extractor="html") -> tuple[DataFrame, DataFrame]:
-    """Batch twin of the streams: enrich both raw tables and write the enriched tables."""
-    text = write_table(enrich_text(spark.read.parquet(cfg.table("text_raw")), dictionary, engine=engine)
-                       .drop("combined_text"), "text_enriched", ["threat_severity", "source"],
-                       path=cfg.table("text_enriched"))
-    images_raw = spark.read.parquet(cfg.table("images_raw"))
+                         engine: str = "arrow", extractor="html") -> tuple[DataFrame, DataFrame]:
+    """Batch twin of the streams: enrich both raw tables into the enriched tables.
+
+    Batch rows go to a folder of their own in the layout that the streams use, so
+    neither overwrites the other; what comes back is the latest row per key of all.
+    """
+    parts = ["threat_severity", "source"]
+    write_table(enrich_text(read_table(spark, cfg.table("text_raw"), TEXT_RAW), dictionary, engine=engine)
+                .drop("combined_text"), "text_enriched", parts, path=f"{cfg.table('text_enriched')}/{BATCH_FOLDER}")
+    images_raw = read_table(spark, cfg.table("images_raw"))
     if "content" not in images_raw.columns:
         if cfg.image_files:
             images_raw = attach_content(images_raw, scan_binary_files(spark, cfg.image_files))
         else:   # metadata only: no bytes to extract from
             images_raw = images_raw.withColumn("content", F.lit(None).cast("binary"))
     images = enrich_images(images_raw, dictionary, extractor=extractor, engine=engine)
-    images = write_table(images, "images_enriched", ["threat_severity", "source"],
-                         path=cfg.table("images_enriched"))
-    return text, images
+    write_table(images, "images_enriched", parts, path=f"{cfg.table('images_enriched')}/{BATCH_FOLDER}")
+    return enriched(spark, cfg)
+
+
+def enriched(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
+    """The enriched tables as the analytics read them: what batch and streams wrote, latest per key."""
+    return (read_latest(spark, cfg.table("text_enriched"), "content_hash"),
+            read_latest(spark, cfg.table("images_enriched"), "image_hash"))
 
 
 def start_streams(spark: SparkSession, cfg: PipelineConfig, dictionary: ThreatDictionary,
@@ -97,7 +111,8 @@ def start_streams(spark: SparkSession, cfg: PipelineConfig, dictionary: ThreatDi
         start_text_enrichment(spark, cfg.table("text_raw"), cfg.table("text_enriched"), dictionary,
                               checkpoint=f"{base}/text_enrichment", trigger=trigger),
         start_image_enrichment(spark, cfg.table("images_raw"), cfg.table("images_enriched"), dictionary,
-                               checkpoint=f"{base}/image_enrichment", trigger=trigger),
+                               checkpoint=f"{base}/image_enrichment", trigger=trigger,
+                               image_files=cfg.image_files, metrics_path=cfg.metrics),
     ]
 
 

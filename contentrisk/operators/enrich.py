@@ -38,9 +38,13 @@ def _finish(df: DataFrame, hash_col: str, enrichment_ts: TsSpec) -> DataFrame:
 
 
 def enrich_text(df: DataFrame, dictionary: ThreatDictionary,
-                enrichment_ts: TsSpec = None, engine: str = "auto") -> DataFrame:
-    """text_raw -> text_enriched: combined title+text, threats, severity, flags."""
-    out = spread_for_cpu(df).withColumn("combined_text", F.concat_ws(" ", F.col("title"), F.col("text")))
+                enrichment_ts: TsSpec = None, engine: str = "arrow",
+                partitions: int | None = None) -> DataFrame:
+    """text_raw -> text_enriched: combined title+text, threats, severity, flags.
+
+    ``partitions``: spread the rows first, for an input of fewer splits than cores.
+    """
+    out = spread_for_cpu(df, partitions).withColumn("combined_text", F.concat_ws(" ", F.col("title"), F.col("text")))
     out = add_threat_columns(out, F.col("combined_text"), dictionary, engine=engine)
     return _finish(out, "content_hash", enrichment_ts)
 
@@ -48,9 +52,9 @@ def enrich_text(df: DataFrame, dictionary: ThreatDictionary,
 def enrich_images(df: DataFrame, dictionary: ThreatDictionary,
                   extractor: str | Extractor = "html", content_col: str = "content",
                   enrichment_ts: TsSpec = None, keep_content: bool = False,
-                  engine: str = "auto") -> DataFrame:
+                  engine: str = "arrow", partitions: int | None = None) -> DataFrame:
     """images_raw (+ content) -> images_enriched: extracted text, threats, flags, length."""
-    out = extract_text(spread_for_cpu(df), content_col, extractor, "extracted_text")
+    out = extract_text(spread_for_cpu(df, partitions), content_col, extractor, "extracted_text")
     out = out.withColumn("ocr_success", F.coalesce(F.col("extracted_text") != "", F.lit(False)))
     out = add_threat_columns(out, F.col("extracted_text"), dictionary, engine=engine)
     out = _finish(out, "image_hash", enrichment_ts)

@@ -24,7 +24,7 @@ Extractor = Callable[[object], str]
 
 def _as_string(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BinaryType):
-        return F.decode(col, "UTF-8")
+        return F.try_validate_utf8(col.cast("string"))   # null, so '', where the bytes are no UTF-8
     return col
 
 
@@ -60,7 +60,7 @@ def extract_text(df: DataFrame, content_col: str = "content",
     return df.withColumn(out_col, F.coalesce(expr, F.lit("")))
 
 
-def _norm_path(col: Column) -> Column:
+def same_path(col: Column) -> Column:
     """Compare paths without the ``file:`` scheme and duplicate leading slashes."""
     return F.regexp_replace(F.regexp_replace(col, r"^file:", ""), r"^/+", "/")
 
@@ -74,6 +74,6 @@ def attach_content(meta: DataFrame, files: DataFrame, path_col: str = "filepath"
     so this is a plain shuffle join on the path, which AQE may turn into a broadcast
     when the file listing is small.
     """
-    right = files.select(_norm_path(F.col("path")).alias("__path"), F.col("content").alias(content_col))
-    left = meta.withColumn("__path", _norm_path(F.col(path_col)))
+    right = files.select(same_path(F.col("path")).alias("__path"), F.col("content").alias(content_col))
+    left = meta.withColumn("__path", same_path(F.col(path_col)))
     return left.join(right, on="__path", how="left").drop("__path")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from contentrisk.functions.text import content_hash, image_hash
 from contentrisk.operators.enrich import TsSpec, ts_column
-from contentrisk.operators.tables import dedupe_latest, new_rows_only, rebalance_for_write
+from contentrisk.operators.tables import read_table, dedupe_latest, new_rows_only, rebalance_for_write
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 
 
@@ -38,8 +38,10 @@ def load_raw(new: DataFrame, table_path: str, key: str, partition_by: str = "sou
     """
     spark = new.sparkSession
     try:
-        existing = spark.read.parquet(table_path)
-    except AnalysisException:   # no table yet
-        existing = None
+        existing = read_table(spark, table_path, new.schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        existing = None   # no table yet
     rows = dedupe_latest(new, key) if existing is None else new_rows_only(existing, new, key)
     rebalance_for_write(rows, [partition_by]).write.mode("append").partitionBy(partition_by).parquet(table_path)

@@ -9,13 +9,17 @@ and a lost executor re-reads files instead of recomputing the whole lineage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contentrisk.session import scratch_path
 
 
+#: Partition columns of the raw and enriched tables that hold text.
+STRING_PARTITIONS = ("source", "threat_severity", "stream")
+
+
 def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
                 path: str | None = None) -> DataFrame:
     spark = df.sparkSession
@@ -26,7 +30,18 @@ def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return read_table(spark, path) if partition_by else spark.read.parquet(path)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A written table, with partition values as the strings they were written as ('001' is not 1).
+
+    With ``schema`` its columns are read as declared; without, as written.
+    """
+    if schema is None:
+        found = spark.read.parquet(path).schema
+        schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in STRING_PARTITIONS else f for f in found.fields])
+    return spark.read.schema(schema).parquet(path)
 
 
 def rebalance_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:

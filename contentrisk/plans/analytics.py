@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contentrisk.sources.testdata import TEST_AS_OF
 
 
 def _date(col: str = "enrichment_timestamp"):
@@ -72,12 +71,12 @@ def daily_threat_categories(text: DataFrame, images: DataFrame) -> DataFrame:
             .orderBy(F.desc("event_date"), F.desc("threat_count"), "source", "threat_category"))
 
 
-def _latest_per_category(df: DataFrame, as_of: str, payload: list) -> DataFrame:
+def _latest_per_category(df: DataFrame, as_of: str | None, payload: list) -> DataFrame:
     """Top-1 per category by (enrichment_timestamp desc, id asc), as an aggregate.
 
     ``min_by`` combines map-side, so a hot category never lands whole on one task.
     """
-    since = F.date_sub(F.to_date(F.lit(as_of)), 7)
+    since = F.date_sub(F.current_date() if as_of is None else F.to_date(F.lit(as_of)), 7)
     recent = df.where((F.col("is_threat") == F.lit(True)) & (F.col("enrichment_timestamp") >= since))
     exploded = recent.select("*", F.explode("threat_categories").alias("threat_category"))
     order_key = F.struct((-F.unix_micros("enrichment_timestamp")).alias("k"), F.col("id").alias("i"))
@@ -86,7 +85,7 @@ def _latest_per_category(df: DataFrame, as_of: str, payload: list) -> DataFrame:
     return best.select("threat_category", "best.*")
 
 
-def latest_threats(text: DataFrame, images: DataFrame, as_of: str = TEST_AS_OF) -> DataFrame:
+def latest_threats(text: DataFrame, images: DataFrame, as_of: str | None = None) -> DataFrame:
     common = ["id", "source", "threat_severity", "enrichment_timestamp"]
     t = _latest_per_category(text, as_of, [F.col(c) for c in common] + [
         F.concat(F.substring(F.coalesce("title", "text"), 1, 100), F.lit("...")).alias("preview")])
@@ -103,7 +102,7 @@ def latest_threats(text: DataFrame, images: DataFrame, as_of: str = TEST_AS_OF)
             .orderBy("threat_category", F.desc("enrichment_timestamp"), "content_type"))
 
 
-def latest_threats_brief(text: DataFrame, images: DataFrame, as_of: str = TEST_AS_OF) -> DataFrame:
+def latest_threats_brief(text: DataFrame, images: DataFrame, as_of: str | None = None) -> DataFrame:
     common = ["id", "source", "threat_severity", "enrichment_timestamp"]
     t = _latest_per_category(text, as_of, [F.col(c) for c in common] + [
         F.substring("title", 1, 80).alias("preview")])

@@ -25,7 +25,7 @@ from contentrisk.operators import stats
 from contentrisk.operators.enrich import enrich_images, enrich_text
 from contentrisk.operators.extract import extract_text
 from contentrisk.operators.ingest import ingest_images, ingest_text
-from contentrisk.operators.partitioning import spread_for_cpu
+from contentrisk.operators.partitioning import cores_beyond_splits, spread_for_cpu
 from contentrisk.operators.prepare import fallback_enrich, harmonize_schema
 from contentrisk.operators.tables import merge_insert_only, merge_upsert, write_table
 from contentrisk.plans import analytics
@@ -48,18 +48,20 @@ from contentrisk.streaming.enrichment import read_latest, start_image_enrichment
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def text_enriched(spark: SparkSession, sf_dir: str, engine: str = "auto") -> DataFrame:
+def text_enriched(spark: SparkSession, sf_dir: str, engine: str = "arrow") -> DataFrame:
     """The enrichment plan (not materialised): text_raw -> text_enriched."""
     pin_utc(spark)
     raw = testdata.text_raw(spark, sf_dir)
-    return enrich_text(raw, analysis_dictionary(), enrichment_ts=F.col("ingestion_timestamp"), engine=engine)
+    return enrich_text(raw, analysis_dictionary(), enrichment_ts=F.col("ingestion_timestamp"), engine=engine,
+                       partitions=cores_beyond_splits(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
 def images_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The enrichment plan (not materialised): images_raw + content -> images_enriched."""
     pin_utc(spark)
     raw = testdata.images_raw(spark, sf_dir)
-    return enrich_images(raw, analysis_dictionary(), enrichment_ts=F.col("ingestion_timestamp"))
+    return enrich_images(raw, analysis_dictionary(), enrichment_ts=F.col("ingestion_timestamp"),
+                         partitions=cores_beyond_splits(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
 _WRITTEN: dict[tuple, tuple[str, str]] = {}
@@ -80,9 +82,9 @@ def enriched_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     key = _input_key(spark, sf_dir)
     paths = _WRITTEN.get(key)
     if paths is None or not all(os.path.exists(p.replace("file:", "")) or "://" in p for p in paths):
-        t = write_table(text_enriched(spark, sf_dir).drop("combined_text"), "text_enriched")
-        i = write_table(images_enriched(spark, sf_dir), "images_enriched")
-        paths = (t.inputFiles()[0].rsplit("/", 1)[0], i.inputFiles()[0].rsplit("/", 1)[0])
+        paths = (scratch_path(spark, "text_enriched"), scratch_path(spark, "images_enriched"))
+        write_table(text_enriched(spark, sf_dir).drop("combined_text"), "text_enriched", path=paths[0])
+        write_table(images_enriched(spark, sf_dir), "images_enriched", path=paths[1])
         _WRITTEN[key] = paths
     return spark.read.parquet(paths[0]), spark.read.parquet(paths[1])
 
@@ -92,7 +94,8 @@ def _analytic(name: str) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         text, images = enriched_tables(spark, sf_dir)
-        return fn(text, images)
+        # the test tables end at a fixed date; live callers get the current one
+        return fn(text, images, testdata.TEST_AS_OF) if name.startswith("latest_threats") else fn(text, images)
 
     run.__name__ = name
     return run
@@ -111,7 +114,7 @@ def _joined(col: str) -> Column:
 
 def q_detect_threats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (document, matched category), expression form."""
-    te = text_enriched(spark, sf_dir)
+    te = text_enriched(spark, sf_dir, engine="native")
     # inline_outer + a filter on the generated column: the optimizer cannot turn the
     # generator into a predicate on the (large) detection expression below it.
     rows = te.select("id", F.inline_outer("detected_threats")).where(F.col("category").isNotNull())
@@ -129,7 +132,7 @@ def q_detect_threats_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_detect_threats_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows via the broadcast term-table join."""
     pin_utc(spark)
-    raw = spread_for_cpu(testdata.text_raw(spark, sf_dir))
+    raw = spread_for_cpu(testdata.text_raw(spark, sf_dir), cores_beyond_splits(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     text = F.concat_ws(" ", F.col("title"), F.col("text"))
     out = detect_threats_join(raw, "id", text, analysis_dictionary())
     return flatten_match_strings(out.drop("cat_ord", "sev_rank"))
@@ -164,7 +167,7 @@ def q_enrich_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    raw = spread_for_cpu(testdata.images_raw(spark, sf_dir))
+    raw = spread_for_cpu(testdata.images_raw(spark, sf_dir), cores_beyond_splits(spark.read.parquet(f"{sf_dir}/pages.parquet")))
     out = extract_text(raw, "content", "html", "extracted_text")
     return out.select("id", "extracted_text", F.length("extracted_text").alias("text_length"))
 
@@ -219,7 +222,7 @@ def q_harmonize_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_keyword_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per (category, keyword): text x broadcast keyword lookup on substring."""
-    raw = spread_for_cpu(testdata.text_raw(spark, sf_dir))
+    raw = spread_for_cpu(testdata.text_raw(spark, sf_dir), cores_beyond_splits(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     lookup = keyword_lookup(dictionary_frame(spark, analysis_dictionary(), as_of=testdata.TEST_AS_OF))
     docs = raw.select("id", F.lower(F.concat_ws(" ", "title", "text")).alias("lt"))
     # The lookup side is bounded by the dictionary (checked in ThreatDictionary.terms).

@@ -139,6 +139,8 @@ CONTENT_SIGNATURES = {
 }
 # Fixed value: HTML documents are recognised by their (case-insensitive) opening.
 HTML_OPENINGS = ["<!doctype html", "<html"]
+# White space, an XML prologue and comments of any length may stand before it.
+HTML_START = r"(?is)^(?:\uFEFF|\s|<\?xml[^>]*>|<!--.*?-->)*+(?:" + "|".join(HTML_OPENINGS) + ")"
 
 
 def content_kind(content: Column) -> Column:
@@ -148,12 +150,8 @@ def content_kind(content: Column) -> Column:
         n = len(sig) // 2
         cond = F.hex(F.substring(content, 1, n)) == F.lit(sig)
         expr = F.when(cond, F.lit(kind)) if expr is None else expr.when(cond, F.lit(kind))
-    head = F.lower(F.ltrim(F.decode(F.substring(content, 1, 64), "UTF-8")))
-    html = None
-    for o in HTML_OPENINGS:
-        c = head.startswith(o)
-        html = c if html is None else html | c
-    return expr.when(html, F.lit("html"))
+    text = F.try_validate_utf8(content.cast("string"))   # null where the bytes are no UTF-8
+    return expr.when(text.rlike(HTML_START), F.lit("html"))
 
 
 def valid_content(df: DataFrame, content_col: str = "content",

@@ -24,9 +24,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from contentrisk.functions.dictionary import ThreatDictionary
 from contentrisk.operators.enrich import enrich_images, enrich_text
-from contentrisk.operators.extract import attach_content
+from contentrisk.operators.extract import attach_content, same_path
 from contentrisk.operators.stats import batch_metrics
-from contentrisk.operators.tables import dedupe_latest, rebalance_for_write
+from contentrisk.operators.tables import dedupe_latest, read_table, rebalance_for_write
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 from contentrisk.session import scratch_path
 from contentrisk.sources.landing import scan_binary_files
@@ -39,11 +39,11 @@ def stream_token(checkpoint: str) -> str:
     return hashlib.md5(checkpoint.encode("utf-8")).hexdigest()[:12]
 
 
-def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | None = None):
-    """foreachBatch function: dedupe by key, write this batch's own folder, log metrics."""
+def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | None = None, prepare=None):
+    """foreachBatch function: ``prepare`` (if any), dedupe by key, write this batch's own folder, log metrics."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = (prepare(batch) if prepare else batch).persist()
         try:
             if batch.isEmpty():
                 return
@@ -61,8 +61,8 @@ def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | N
 
 
 def _start(enriched: DataFrame, target: str, checkpoint: str, key: str,
-           trigger: dict, metrics_path: str | None, name: str) -> StreamingQuery:
-    writer = upsert_batch_writer(target, stream_token(checkpoint), key, metrics_path)
+           trigger: dict, metrics_path: str | None, name: str, prepare=None) -> StreamingQuery:
+    writer = upsert_batch_writer(target, stream_token(checkpoint), key, metrics_path, prepare)
     return (enriched.writeStream
             .queryName(name)
             .foreachBatch(writer)
@@ -83,6 +83,17 @@ def start_text_enrichment(spark: SparkSession, source: str, target: str, diction
                   trigger or {"processingTime": "10 seconds"}, None, "text_enrichment")
 
 
+def batch_files(batch: DataFrame, image_files: str) -> DataFrame:
+    """The landed files that a batch's rows name: the listing alone (no bytes) is joined to the
+    batch, so the paths that come back are no more than its rows; only those files are read."""
+    spark = batch.sparkSession
+    listing = scan_binary_files(spark, image_files)
+    named = listing.select("path", same_path(F.col("path")).alias("p")).join(
+        batch.select(same_path(F.col("filepath")).alias("p")), "p", "left_semi")
+    paths = [r["path"] for r in named.select("path").collect()]
+    return spark.read.format("binaryFile").load(paths) if paths else listing.filter("false")
+
+
 def start_image_enrichment(spark: SparkSession, source: str, target: str, dictionary: ThreatDictionary,
                            checkpoint: str | None = None, trigger: dict | None = None,
                            extractor="html", content_col: str = "content",
@@ -90,7 +101,8 @@ def start_image_enrichment(spark: SparkSession, source: str, target: str, dictio
                            max_files_per_trigger: int | None = None,
                            image_files: str | None = None) -> StreamingQuery:
     """Image stream. Content comes from the raw table's ``content`` column or, when
-    ``image_files`` is given, from landed bytes joined on the path (stream-static join)."""
+    ``image_files`` is given, from the landed files that the batch's rows name, read when
+    the batch runs (a static side of the join would fix its listing when the stream starts)."""
     if image_files:
         schema = IMAGE_RAW
     else:
@@ -99,11 +111,17 @@ def start_image_enrichment(spark: SparkSession, source: str, target: str, dictio
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source)
+    prepare = None
     if image_files:
-        stream = attach_content(stream, scan_binary_files(spark, image_files), content_col=content_col)
-    enriched = enrich_images(stream, dictionary, extractor=extractor, content_col=content_col)
+        def prepare(batch: DataFrame) -> DataFrame:
+            files = batch_files(batch, image_files)
+            with_bytes = attach_content(batch, files, content_col=content_col)
+            return enrich_images(with_bytes, dictionary, extractor=extractor, content_col=content_col)
+        enriched = stream
+    else:
+        enriched = enrich_images(stream, dictionary, extractor=extractor, content_col=content_col)
     return _start(enriched, target, checkpoint or scratch_path(spark, "ckpt_images"), "image_hash",
-                  trigger or {"processingTime": "10 seconds"}, metrics_path, "image_enrichment")
+                  trigger or {"processingTime": "10 seconds"}, metrics_path, "image_enrichment", prepare)
 
 
 def read_latest(spark: SparkSession, target: str, key: str, snapshot: str | None = None) -> DataFrame:
@@ -114,8 +132,8 @@ def read_latest(spark: SparkSession, target: str, key: str, snapshot: str | None
     and combined with it.
     """
     if snapshot is None:
-        return dedupe_latest(spark.read.parquet(target), key, ORDER_LATEST).drop("stream", "batch_id")
-    snap = spark.read.parquet(f"{snapshot}/rows")
+        return dedupe_latest(read_table(spark, target), key, ORDER_LATEST).drop("stream", "batch_id")
+    snap = read_table(spark, f"{snapshot}/rows")
     # One row per stream token folded into the snapshot: bounded by the number of streams.
     through = {r["stream"]: r["batch_id"] for r in spark.read.parquet(f"{snapshot}/through").collect()}
     newer = F.lit(True)
@@ -123,7 +141,7 @@ def read_latest(spark: SparkSession, target: str, key: str, snapshot: str | None
         newer = ~F.col("stream").isin(list(through))
         for token, last in through.items():
             newer = newer | ((F.col("stream") == token) & (F.col("batch_id") > last))
-    recent = spark.read.parquet(target).where(newer)
+    recent = read_table(spark, target).where(newer)
     both = snap.unionByName(recent.select(*snap.columns))
     return dedupe_latest(both, key, ORDER_LATEST).drop("stream", "batch_id")
 
@@ -135,10 +153,10 @@ def compact(spark: SparkSession, target: str, key: str, snapshot: str) -> DataFr
     ``<snapshot>/through`` (the last batch folded per stream token), so that
     ``read_latest(..., snapshot=...)`` only has to read newer batches.
     """
-    all_rows = spark.read.parquet(target)
+    all_rows = read_table(spark, target)
     latest = dedupe_latest(all_rows, key, ORDER_LATEST)
     rebalance_for_write(latest, ["threat_severity", "source"]).write.mode("overwrite") \
         .partitionBy("threat_severity", "source").parquet(f"{snapshot}/rows")
     all_rows.groupBy("stream").agg(F.max("batch_id").alias("batch_id")) \
         .write.mode("overwrite").parquet(f"{snapshot}/through")
-    return spark.read.parquet(f"{snapshot}/rows").drop("stream", "batch_id")
+    return read_table(spark, f"{snapshot}/rows").drop("stream", "batch_id")

@@ -89,7 +89,7 @@ def test_join_form_equals_expression_form(spark):
 
 def test_plan_stays_in_codegen(spark):
     df = spark.createDataFrame([(1, "a")], "id int, text string")
-    out = add_threat_columns(df, F.col("text"), analysis_dictionary())
+    out = add_threat_columns(df, F.col("text"), analysis_dictionary(), engine="native")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     # no lambda (higher-order) functions in the projection: they would leave codegen
@@ -113,16 +113,29 @@ def test_arrow_engine_equals_native(spark):
         [(r.detected_threats, r.threat_severity) for r in n]
 
 
-def test_auto_engine_switches_for_large_dictionaries(spark):
-    small = analysis_dictionary()
-    big = ThreatDictionary.from_obj({"threat_categories": {
-        f"c{i}": {"keywords": [f"w{i}x{j}" for j in range(30)], "patterns": []} for i in range(10)}})
-    df = spark.createDataFrame([(1, "zz w3x7 zz")], "id int, text string")
-
-    def plan(d):
-        return add_threat_columns(df, F.col("text"), d)._jdf.queryExecution().executedPlan().toString()
-
-    assert "ArrowEvalPython" not in plan(small)          # 150 terms: native expressions
-    assert "ArrowEvalPython" in plan(big)                # 300 terms: one-pass matcher
-    row = add_threat_columns(df, F.col("text"), big).first()
-    assert [(s.category, list(s.matched_keywords)) for s in row.detected_threats] == [("c3", ["w3x7"])]
+def test_one_engine_for_every_dictionary_size(spark):
+    df = spark.createDataFrame([(1, "a kw7 b")], "id int, text string")
+    for n in (3, 2000):
+        d = ThreatDictionary.from_obj({"threat_categories": {"big": {"keywords": [f"kw{i}" for i in range(n)], "patterns": []}}})
+        assert "ArrowEvalPython" in add_threat_columns(df, F.col("text"), d)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_engines_agree_on_empty_text_empty_terms_and_nullable_patterns(spark):
+    d = ThreatDictionary.from_obj({"threat_categories": {
+        "a": {"keywords": ["", "bad", "Worse"], "patterns": ["q*", "x+y", "(?:ab)c?"], "severity_levels": {"high": ["bad"]}},
+        "b": {"keywords": [""], "patterns": []}}})
+    assert d.categories[0].keywords == ("bad", "Worse") and d.categories[1].keywords == ()
+    rows = [(1, ""), (2, None), (3, "nothing"), (4, "BAD xxy"), (5, "abc worse"), (6, " ")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    native, arrow = ([tuple(r) for r in add_threat_columns(df, F.col("text"), d, engine=e).orderBy("id").collect()] for e in ("native", "arrow"))
+    assert native == arrow == [tuple(r) for r in add_threat_columns(df, F.col("text"), d).orderBy("id").collect()]
+    assert native[0][2] == native[1][2] == [] and native[0][3] == native[1][3] == "benign"
+    joined = {(r.id, r.category): r.threat_score for r in detect_threats_join(df, "id", F.col("text"), d).collect()}
+    assert joined == {(r[0], t.category): t.threat_score for r in native for t in r[2]}
+
+
+def test_patterns_are_validated_on_every_load_path():
+    row = {"category": "a", "description": "", "keywords": [], "severity_levels": {}, "version": "1"}
+    for p in ("(a+)+$", "(?P<w>ab)c"):
+        with pytest.raises(ValueError):
+            ThreatDictionary.from_rows([row | {"patterns": [p]}])

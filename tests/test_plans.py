@@ -46,5 +46,5 @@ def test_recency_filter_reaches_the_scan(spark):
 
 
 def test_enrichment_has_no_python(spark):
-    p = plan(Q.text_enriched(spark, SF_SMALL).select("id", "threat_severity", F.size("detected_threats")))
+    p = plan(Q.text_enriched(spark, SF_SMALL, engine="native").select("id", "threat_severity", F.size("detected_threats")))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
