@@ -42,6 +42,8 @@ RECORDS = 20_000
 #: Second 0 of pages without a date of their own: they get this plus a second a page id.
 EPOCH = 1_704_067_200
 VERSION = b"WARC/1.1"
+#: Bytes given to the decompressor at a time.
+PIECE = 8192
 KEY = ["urlkey", "captured_at", "page_id", "row"]
 
 
@@ -88,11 +90,13 @@ def records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
     """(offset, length, header, block) of an archive's records; offsets of gzip members."""
     view, at = memoryview(data), 0
     while at < len(data):
-        d = zlib.decompressobj(31)
-        text = d.decompress(view[at:]) + d.flush()
+        d, parts, end = zlib.decompressobj(31), [], at
+        while not d.eof and end < len(data):   # in small pieces: what follows the member is copied back
+            parts.append(d.decompress(view[end:end + PIECE]))
+            end = min(len(data), end + PIECE)
         if not d.eof:
             raise ValueError(f"the archive ends within a record, at byte {at}")
-        size = len(data) - at - len(d.unused_data)
+        text, size = b"".join(parts), end - at - len(d.unused_data)
         if text:
             head, _, rest = text.partition(b"\r\n\r\n")
             lines = head.decode("utf-8", "surrogatepass").split("\r\n")
