@@ -32,6 +32,8 @@ PREFIXES = range(4, 9)
 MAX_SEQUENCE = 64
 #: Smaller marginals don't count as expected tokens.
 FAINT = 0.1
+#: Tokens whose label pairs are counted at a time.
+STRETCH = 1 << 16
 #: Weights nearer to zero are left out of the model.
 LEAST_WEIGHT = 0.05
 #: Documents that are not, and are, toxic that the model is fitted on, at most.
@@ -116,15 +118,20 @@ class Chain:
                 r, e = b[at + 1], odds[at + 1]
                 b0, b1 = t[0, 0] * (1 - r) + t[0, 1] * e * r, t[1, 0] * (1 - r) + t[1, 1] * e * r
                 b[at] = b1 / (b0 + b1)
-        p1, p0 = a * b, (1 - a) * (1 - b)
-        return p1 / (p0 + p1), a, b
+        p1, p0 = a * b, 1 - a
+        p0 *= 1 - b
+        p0 += p1
+        p1 /= p0
+        return p1, a, b
 
     def transitions(self, odds: np.ndarray, trans: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Expected counts of the label pairs."""
-        t, j = np.exp(trans), self.follows
-        pa_, r, e = a[j - 1], b[j], odds[j]
-        x = np.stack([(1 - pa_) * t[0, 0] * (1 - r), (1 - pa_) * t[0, 1] * e * r, pa_ * t[1, 0] * (1 - r), pa_ * t[1, 1] * e * r])
-        return (x / x.sum(0)).sum(1).reshape(2, 2)
+        t, total = np.exp(trans), np.zeros(4)
+        for j in np.array_split(self.follows, 1 + len(self.follows) // STRETCH):
+            p, r, e = a[j - 1], b[j], odds[j]
+            x = np.stack([(1 - p) * t[0, 0] * (1 - r), (1 - p) * t[0, 1] * e * r, p * t[1, 0] * (1 - r), p * t[1, 1] * e * r])
+            total += (x / x.sum(0)).sum(1)
+        return total.reshape(2, 2)
 
 
 @dataclass
@@ -201,7 +208,8 @@ def fit(texts: list[str | None], label: np.ndarray, rounds: int = 15) -> Model:
     chain = Chain(t.seq)
     w, trans, bias = np.zeros(len(used)), np.zeros((2, 2)), np.array([-4.0])
     j = chain.follows
-    seen = np.bincount((2 * y[j - 1] + y[j]).astype(int), minlength=4).reshape(2, 2)
+    seen = np.bincount((2 * y[j - 1] + y[j]).astype(np.int8), minlength=4).reshape(2, 2)
+    t.begin = t.length = None   # only spans need them
     params, m, v = [w, trans, bias], [0.0, 0.0, 0.0], [0.0, 0.0, 0.0]
     n = max(1.0, y.sum())
 
@@ -216,6 +224,7 @@ def fit(texts: list[str | None], label: np.ndarray, rounds: int = 15) -> Model:
         for i, g in enumerate(grads):  # Adam
             m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.99 * v[i] + 0.01 * g * g
             params[i] -= 0.4 * (m[i] / (1 - 0.9 ** k)) / (np.sqrt(v[i] / (1 - 0.99 ** k)) + 1e-8)
+        del e, marg, a, b
     x = evidence(chain.marginals(odds(), trans)[0], t.starts)
     weight = {int(used[i]): float(w[i]) for i in np.flatnonzero(np.abs(w) > LEAST_WEIGHT)}
     named = {f: weight[h] for b in bares for f in features(b) if (h := zlib.crc32(f.encode())) in weight}
