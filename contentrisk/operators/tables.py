@@ -9,7 +9,7 @@ and a lost executor re-reads files instead of recomputing the whole lineage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,36 +58,25 @@ def rebalance_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
 Order = list[tuple[str, bool]]   # (column, ascending)
 
 
-def _order_key(df: DataFrame, key: str, order: Order) -> Column:
-    """A struct whose minimum is the wanted row: the given order, then the row itself."""
-    parts = []
-    for i, (name, ascending) in enumerate(order):
-        c, dtype = F.col(name), df.schema[name].dataType
-        if not ascending:
-            if isinstance(dtype, T.TimestampType):
-                c = -F.unix_micros(c)
-            elif isinstance(dtype, T.NumericType):
-                c = -c
-            else:
-                raise ValueError(f"descending order needs a numeric or timestamp column: {name}")
-        parts.append(c.alias(f"o{i}"))
-    # Deterministic final tie-break on the row's orderable columns (maps are not orderable).
-    rest = [F.col(f.name) for f in df.schema.fields
-            if f.name != key and not isinstance(f.dataType, T.MapType)]
-    if rest:
-        parts.append(F.struct(*rest).alias("row"))
-    return F.struct(*parts) if parts else F.lit(0)
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row: the last, deterministic tie-break (maps by their sorted entries)."""
+    parts = [F.array_sort(F.map_entries(c)) if isinstance(f.dataType, T.MapType) else c
+             for f in df.schema.fields for c in [F.col(f"`{f.name}`")]]
+    return F.xxhash64(*parts)
 
 
 def dedupe_latest(df: DataFrame, key: str, order: Order | None = None) -> DataFrame:
     """One row per key: the first by ``order`` (latest-wins when ordered by time descending).
 
-    An aggregate, not a window: ``min_by`` combines map-side, so a key with a huge
-    group of copies (a file replayed many times) reaches the shuffle as at most one
-    row per task instead of landing whole on one task.
+    Ordered by narrow columns only, and the rows are carried once. ``rn = 1`` lets Spark
+    keep one row per key and task before the shuffle (WindowGroupLimit), so a key with a
+    huge group of copies (a file replayed many times) never lands whole on one task.
+    Nulls come last where the order is descending; rows with a null key are one group.
     """
-    best = F.min_by(F.struct(*[F.col(c) for c in df.columns]), _order_key(df, key, order or []))
-    return df.groupBy(key).agg(best.alias("__best")).select("__best.*")
+    by = [F.col(c).asc() if ascending else F.col(c).desc() for c, ascending in order or []]
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*by, "__row_hash"))
+    return (df.withColumn("__row_hash", _row_hash(df)).withColumn("__rn", first)
+            .where("__rn = 1").drop("__rn", "__row_hash"))
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str,
@@ -114,8 +103,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str,
     """MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL, as a DataFrame.
 
     Source rows are first reduced to one per key (latest by ``order``); target rows
-    whose key appears in the source are replaced.
+    whose key appears in the source are replaced. The target needs the source's keys
+    alone (a hash aggregate of one column), not its reduced rows a second time.
     """
     src = dedupe_latest(source, key, order)
-    kept = target.join(src.select(key), on=key, how="left_anti")
+    kept = target.join(source.select(key).distinct(), on=key, how="left_anti")
     return kept.unionByName(src.select(*target.columns))

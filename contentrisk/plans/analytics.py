@@ -72,16 +72,18 @@ def daily_threat_categories(text: DataFrame, images: DataFrame) -> DataFrame:
 
 
 def _latest_per_category(df: DataFrame, as_of: str | None, payload: list) -> DataFrame:
-    """Top-1 per category by (enrichment_timestamp desc, id asc), as an aggregate.
+    """Top-1 per category by (enrichment_timestamp desc, id asc).
 
-    ``min_by`` combines map-side, so a hot category never lands whole on one task.
+    The latest time of each category comes from a hash aggregate of two columns; only rows
+    of that time (one per category and tie) carry a payload, and ``min_by`` combines those
+    map-side, so neither a hot category nor one large tie lands whole on one task.
     """
     since = F.date_sub(F.current_date() if as_of is None else F.to_date(F.lit(as_of)), 7)
     recent = df.where((F.col("is_threat") == F.lit(True)) & (F.col("enrichment_timestamp") >= since))
     exploded = recent.select("*", F.explode("threat_categories").alias("threat_category"))
-    order_key = F.struct((-F.unix_micros("enrichment_timestamp")).alias("k"), F.col("id").alias("i"))
-    best = (exploded.groupBy("threat_category")
-            .agg(F.min_by(F.struct(*payload), order_key).alias("best")))
+    top = exploded.groupBy("threat_category").agg(F.max("enrichment_timestamp").alias("enrichment_timestamp"))
+    best = (exploded.join(top, ["threat_category", "enrichment_timestamp"])
+            .groupBy("threat_category").agg(F.min_by(F.struct(*payload), F.col("id")).alias("best")))
     return best.select("threat_category", "best.*")
 
 

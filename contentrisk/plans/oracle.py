@@ -258,6 +258,11 @@ FROM text_enriched""")
     out["stream_enrich_images"] = _with("""x AS (SELECT 1)
 SELECT id, source, image_hash, ocr_success, text_length, is_threat, threat_severity,
        array_to_string(threat_categories, '|') AS threat_categories
+FROM images_enriched""")
+    # the stream sees every page twice (landed, then replayed)
+    out["batch_metrics"] = _with("""x AS (SELECT 1)
+SELECT 2 * COUNT(*) AS records, CAST(2 * SUM(CASE WHEN is_threat THEN 1 ELSE 0 END) AS BIGINT) AS threats,
+       CAST(2 * SUM(CASE WHEN ocr_success THEN 1 ELSE 0 END) AS BIGINT) AS ocr_success
 FROM images_enriched""")
     out["extract_text"] = _with("""x AS (SELECT 1)
 SELECT id, extracted_text, CAST(length(extracted_text) AS INTEGER) AS text_length FROM images_raw""")
@@ -302,7 +307,7 @@ def ingest_sql() -> dict[str, str]:
     out = {}
     as_of = f"TIMESTAMP '{TEST_AS_OF} 00:00:00'"
     out["ingest_text"] = _with(f"""x AS (SELECT 1)
-SELECT id, source, title, timestamp, {as_of} AS ingestion_timestamp, content_hash
+SELECT id, source, title, text, timestamp, {as_of} AS ingestion_timestamp, content_hash
 FROM text_raw WHERE id IS NOT NULL AND text IS NOT NULL AND source IS NOT NULL""")
     out["ingest_images"] = _with(f"""x AS (SELECT 1)
 SELECT id, source, filepath, file_size, timestamp, {as_of} AS ingestion_timestamp, image_hash
@@ -415,7 +420,7 @@ SELECT id, 'html' AS content_kind
 FROM (SELECT 'page_' || CAST(page_id AS VARCHAR) AS id, lower(ltrim(substring(html, 1, 64))) AS head FROM pages)
 WHERE {kinds}""")
     out["scan_text_json"] = _with("""x AS (SELECT 1)
-SELECT id, source, title, timestamp, NULL::VARCHAR AS author, lang FROM text_raw""")
+SELECT id, source, title, text, url, timestamp, NULL::VARCHAR AS author, lang FROM text_raw""")
     out["scan_image_json"] = _with("""x AS (SELECT 1)
 SELECT id, source, filepath, file_size, timestamp FROM images_raw""")
     return out

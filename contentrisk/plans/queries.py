@@ -247,7 +247,7 @@ def image_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ingest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ingest_text(text_landing(spark, sf_dir), as_of=testdata.TEST_AS_OF)
-    return out.select("id", "source", "title", "timestamp", "ingestion_timestamp", "content_hash")
+    return out.select("id", "source", "title", "text", "timestamp", "ingestion_timestamp", "content_hash")
 
 
 def q_ingest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,7 +448,7 @@ def q_scan_text_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land text records as JSON files (shared scratch folder), scan them back with the schema."""
     path = scratch_path(spark, "landing_text")
     text_landing(spark, sf_dir).write.mode("overwrite").json(path)
-    return scan_text_json(spark, path).select("id", "source", "title", "timestamp", "author",
+    return scan_text_json(spark, path).select("id", "source", "title", "text", "url", "timestamp", "author",
                                               F.col("metadata")["lang"].alias("lang"))
 
 
@@ -505,11 +505,12 @@ def q_stream_enrich_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-batch metrics, summed: how files are dealt into batches doesn't change the sums."""
     pin_utc(spark)
     metrics = scratch_path(spark, "stream_metrics")
     _run_stream(start_image_enrichment, spark, testdata.images_raw(spark, sf_dir), "stream_metrics",
                 metrics_path=metrics)
-    return spark.read.parquet(metrics).select("batch_id", "records", "threats", "ocr_success")
+    return spark.read.parquet(metrics).agg(*[F.sum(c).alias(c) for c in ("records", "threats", "ocr_success")])
 
 
 QUERIES.update({
