@@ -55,15 +55,6 @@ def literal_gate(pattern: str) -> list[str]:
     return [p.lower() for p in pieces if p]
 
 
-def term_match(lt: Column, t: Term) -> Column:
-    if t.kind == "keyword":
-        return lt.contains(t.term)
-    cond = lt.rlike(java_regex(t.term))
-    for piece in reversed(literal_gate(t.term)):
-        cond = lt.contains(piece) & cond   # And short-circuits: the regex runs only if all pieces occur
-    return cond
-
-
 def sql_string(s: str) -> str:
     """A Spark SQL string literal (backslash escapes are processed by the parser)."""
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -234,21 +225,9 @@ def detect_threats_join(docs: DataFrame, id_col: str, text: Column,
                  F.max("sev_rank").alias("sev_rank")))
 
 
-def explode_threats(df: DataFrame, id_col: str, threats_col: str = "detected_threats") -> DataFrame:
-    """(id, category, matched_keywords, matched_patterns, threat_score) from the struct array."""
-    return (df.select(id_col, F.inline(threats_col))
-            .select(id_col, "category", "matched_keywords", "matched_patterns", "threat_score"))
-
-
 def flatten_match_strings(df: DataFrame) -> DataFrame:
     """Arrays joined to strings (dictionary order) for order-insensitive comparison."""
     return df.withColumns({
         "matched_keywords": F.array_join("matched_keywords", "|"),
         "matched_patterns": F.array_join("matched_patterns", "|"),
     })
-
-
-def severity_name(rank: Column) -> Column:
-    return (F.when(rank.isNull(), "benign").when(rank >= 3, "high")
-            .when(rank == 2, "medium").otherwise("low"))
-

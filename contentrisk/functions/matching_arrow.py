@@ -99,3 +99,24 @@ def add_threat_columns_arrow(df: DataFrame, text: Column, dictionary: ThreatDict
     if severity_col:
         out = out.withColumn(severity_col, F.col("__cr_res.severity"))
     return out.drop("__cr_res")
+
+
+def keyword_hits(lowered: Column, keywords: list[str]) -> Column:
+    """The distinct ``keywords`` that stand in a lower-cased text, by one Aho-Corasick pass over it.
+
+    ``keywords`` are lower-case and bounded by the dictionary. A null or empty text has none.
+    """
+    words = sorted({k for k in keywords if k})
+    built: dict = {}   # per task
+
+    @pandas_udf(T.ArrayType(T.StringType()))
+    def hits(texts: pd.Series) -> pd.Series:
+        if "find" not in built:
+            automaton = ahocorasick.Automaton()
+            for w in words:
+                automaton.add_word(w, w)
+            automaton.make_automaton()
+            built["find"] = automaton.iter
+        return texts.map(lambda t: sorted({w for _, w in built["find"](t)}) if t and words else [])
+
+    return hits(lowered)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from contentrisk.functions.dictionary import analysis_dictionary
 from contentrisk.functions.matching import detect_threats_join, flatten_match_strings
+from contentrisk.functions.matching_arrow import keyword_hits
 from contentrisk.functions.text import url_host
 from contentrisk.operators import stats
 from contentrisk.operators.enrich import enrich_images, enrich_text
@@ -221,15 +222,16 @@ def q_harmonize_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_keyword_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents per (category, keyword): text x broadcast keyword lookup on substring."""
+    """Documents per (category, keyword): one pass finds a text's keywords, their counts meet the
+    keyword lookup in an equi join (both sides bounded by the dictionary)."""
     raw = spread_for_cpu(testdata.text_raw(spark, sf_dir), cores_beyond_splits(spark.read.parquet(f"{sf_dir}/documents.parquet")))
-    lookup = keyword_lookup(dictionary_frame(spark, analysis_dictionary(), as_of=testdata.TEST_AS_OF))
-    docs = raw.select("id", F.lower(F.concat_ws(" ", "title", "text")).alias("lt"))
-    # The lookup side is bounded by the dictionary (checked in ThreatDictionary.terms).
-    hits = docs.join(F.broadcast(lookup.select("category", F.lower("keyword").alias("keyword"))),
-                     F.col("lt").contains(F.col("keyword")))
-    return (hits.groupBy("category", "keyword").agg(F.count(F.lit(1)).alias("doc_count"))
-            .orderBy(F.desc("doc_count"), "category", "keyword"))
+    dictionary = analysis_dictionary()
+    words = [t.term for t in dictionary.terms() if t.kind == "keyword"]
+    counts = (raw.select(F.explode(keyword_hits(F.lower(F.concat_ws(" ", "title", "text")), words)).alias("keyword"))
+              .groupBy("keyword").agg(F.count(F.lit(1)).alias("doc_count")))
+    lookup = keyword_lookup(dictionary_frame(spark, dictionary, as_of=testdata.TEST_AS_OF))
+    return (lookup.select("category", F.lower("keyword").alias("keyword")).join(counts, "keyword")
+            .select("category", "keyword", "doc_count").orderBy(F.desc("doc_count"), "category", "keyword"))
 
 
 # ---------------------------------------------------------------------------

@@ -139,3 +139,18 @@ def test_patterns_are_validated_on_every_load_path():
     for p in ("(a+)+$", "(?P<w>ab)c"):
         with pytest.raises(ValueError):
             ThreatDictionary.from_rows([row | {"patterns": [p]}])
+
+
+def test_keyword_hits_finds_overlapping_and_nested_words(spark):
+    from contentrisk.functions.matching_arrow import keyword_hits
+    df = spark.createDataFrame([(1, "a crisis, bombs"), (2, ""), (3, None), (4, "isis isis")], "id int, text string")
+    got = {r.id: r.hits for r in df.select("id", keyword_hits(F.col("text"), ["isis", "crisis", "bomb", ""]).alias("hits")).collect()}
+    assert got == {1: ["bomb", "crisis", "isis"], 2: [], 3: [], 4: ["isis"]}
+    assert df.select(keyword_hits(F.col("text"), []).alias("h")).first().h == []
+
+
+def test_keyword_lookup_join_has_no_nested_loop(spark):
+    from contentrisk.plans import queries as Q
+    from tests.conftest import SF_SMALL
+    plan = Q.QUERIES["keyword_lookup_join"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
