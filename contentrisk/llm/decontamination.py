@@ -124,7 +124,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = write_table(windows(texts.drop("id"), items).distinct(), "decon-windows")
     # the shingles of those windows, from the few documents that have them
     by_row = write_table(found.groupBy("row").agg(F.collect_list(F.struct("length", "m", "begin")).alias("windows")), "decon-rows")
-    own = with_shingles(texts.join(small_side(by_row), "row").dropDuplicates(["row"]), "text")
+    # only their hashes may be broadcast; the window lists, of any length, meet the texts by a shuffle on the hash
+    texts = texts.join(small_side(by_row.select("row")), "row", "left_semi").dropDuplicates(["row"])
+    own = with_shingles(texts.join(by_row, "row"), "text")
     key = ["row", "length", "begin"]
     parts = (own.select("row", "id", "shingles", F.explode("windows").alias("w"))
              .select("row", "id", "w.length", "w.begin", F.explode_outer(F.expr("slice(shingles, w.begin + 1, w.m)")).alias("h"))

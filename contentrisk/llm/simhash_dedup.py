@@ -234,9 +234,8 @@ def candidate_links(fps: DataFrame, distance: int) -> DataFrame:
     return keyed.mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``fingerprint`` (16 hex digits) and ``component_id`` (the smallest id reachable by
-    links, the row's own included) for every row of ``docs``."""
+def grouped(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fp, component_id, group) of every row; ``group`` tells components apart whose smallest id is the same."""
     rows = add_fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", shingle, "fp").select("id", "fp")
     rows = write_table(rows, "simhash-rows")
     # one row a fingerprint; copies count, but are compared once
@@ -244,29 +243,40 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, id_col: str =
     links = write_table(candidate_links(classes.select("fp"), distance), "simhash-links")
     comp = connected_components(links, "simhash")
     # the smallest id of a component's classes
-    grouped = classes.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left")
-    low = (grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min("low").alias("least")))
-    keyed = (grouped.join(low, "component", "left")
-             .select("fp", "n", F.coalesce("least", "low").alias("component_id")))
-    keyed = write_table(keyed, "simhash-keyed")
-    out = lookup(rows, keyed, "fp", "n")
-    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    tied = classes.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left")
+    low = tied.filter("component IS NOT NULL").groupBy("component").agg(F.min("low").alias("least"))
+    keyed = (tied.join(low, "component", "left")
+             .select("fp", "n", F.coalesce("least", "low").alias("component_id"), F.coalesce("component", "fp").alias("group")))
+    return lookup(rows, write_table(keyed, "simhash-keyed"), "fp", "n")
+
+
+def near_duplicates(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, ``fingerprint`` (16 hex digits) and ``component_id`` (the smallest id reachable by
+    links, the row's own included) for every row of ``docs``."""
+    return (grouped(docs, shingle, distance, id_col, text_col)
+            .select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that with its smallest id (of repeated rows with that
-    id, the first by a hash of the row). Rows with a null id can't be named, and stay."""
-    found = near_duplicates(docs, shingle, distance, id_col, text_col).select(F.col(id_col).alias("__id"), "component_id")
-    # narrow: the ids that go, and kept ids that come again; texts are shuffled only if these are many
-    gone = write_table(found.filter("__id <> component_id").select("__id").distinct(), "simhash-gone")
-    again = write_table(found.filter("__id = component_id").groupBy("__id").agg(F.count("*").alias("n")).filter("n > 1").select("__id"), "simhash-again")
-    rows = docs.join(small_side(gone), F.col(id_col) == F.col("__id"), "left_anti")
-    if not again.count():
+    """``docs`` with one row of each component: that with its smallest id (of several rows with that
+    id, the first by a hash of the row). An id may stand on different texts, which are judged each by
+    its own. Rows with a null id can't be named, and stay."""
+    found = grouped(docs, shingle, distance, id_col, text_col).filter("id IS NOT NULL").withColumnRenamed("id", "__id")
+    # narrow: ids that go, and ids that come several times and stay; texts are shuffled only if these are many
+    ids = (found.groupBy("__id").agg(F.count_if(F.expr("__id <> component_id")).alias("goes"), F.count_if(F.expr("__id = component_id")).alias("stays"))
+           .filter("goes > 0 OR stays > 1"))
+    ids = write_table(ids, "simhash-ids")
+    rows = docs.join(small_side(ids.filter("stays = 0").select("__id")), F.col(id_col) == F.col("__id"), "left_anti")
+    several = ids.filter("stays > 0").select("__id")
+    if several.isEmpty():
         return rows
-    again = small_side(again)
-    alone = rows.join(again, F.col(id_col) == F.col("__id"), "left_anti")
-    repeated = rows.join(again, F.col(id_col) == F.col("__id"), "left_semi")
+    several = small_side(several)
+    alone = rows.join(several, F.col(id_col) == F.col("__id"), "left_anti")
     plain = [F.col(f"`{c}`") for c in docs.columns if not isinstance(docs.schema[c].dataType, T.MapType)]
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    first = repeated.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(whole, F.xxhash64(*plain)).alias("__row")).select("__row.*")
+    repeated = (rows.join(several, F.col(id_col) == F.col("__id"), "left_semi")
+                .select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(*plain).alias("hash"),
+                        F.col(id_col).alias("own"), F.col(text_col).alias("text")))
+    named = found.filter("__id = component_id").join(several, "__id", "left_semi").select(F.col("__id").alias("own"), "fp", "group").distinct()
+    first = (add_fingerprints(repeated, "text", shingle, "fp").join(named, ["own", "fp"])
+             .groupBy("own", "group").agg(F.min_by("row", "hash").alias("row")).select("row.*"))
     return alone.unionByName(first)

@@ -199,6 +199,14 @@ def test_simhash_near_duplicates(spark):
     assert simhash_dedup.keep_one(docs(spark, [(None, "a b c d e"), (None, "a b c d e"), (1, "a b c d e")]), 4, 4).count() == 3
 
 
+def test_ids_on_different_texts(spark):
+    a, b, c = ("w%d " * 40 % tuple(range(k, k + 40)) for k in (0, 100, 200))
+    # 5 goes beside 3, and stays with b; 7 names two groups; 3 is repeated
+    df = docs(spark, [(3, a), (3, a), (5, a), (5, b), (5, b), (7, c), (7, "other words of its own"), (9, c)])
+    kept = sorted((r.doc_id, r.text) for r in simhash_dedup.keep_one(df, 4, 4).collect())
+    assert kept == sorted([(3, a), (5, b), (7, c), (7, "other words of its own")])
+
+
 @pytest.mark.parametrize("distance", [1, 3, 4, 7])
 def test_no_link_is_missed(spark, distance, monkeypatch):
     monkeypatch.setattr(simhash_dedup, "DENSE", 40)   # leaders and members, too
