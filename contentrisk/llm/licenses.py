@@ -4,8 +4,9 @@ A file's words are looked up by rarity: of the licence words it has, those with
 the whole corpus vote, through the templates' postings (word -> template, place), for a template and
 the place where it would begin. Votes of two different words or more for one template and beginning
 (the relative positions intersect there) make a candidate; it counts if enough of the template's words, by IDF, stand in
-their places and its mandatory key phrases stand within it. The base phrases are searched at every
-place besides; labels found by templates are added to theirs.
+their places and its mandatory key phrases stand within it. Where most rows hold a notice, or the table is
+small, IDF weighs the notice's own words least: so enough words by their mere count will do as well. The base
+phrases are searched at every place besides; labels found by templates are added to theirs.
 
 Words: ASCII letters lower-cased, everything else in ASCII but digits divides. Null and empty texts
 have no words, no labels, null places and the score 0. Repeated rows are scanned alike; an empty
@@ -50,11 +51,9 @@ TEMPLATES = (
     ("cc0", "cc0 1 0 universal public domain dedication", ("cc0 1 0",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software released into the public domain",)),
 )
-#: Licence words that more than this share of all documents have don't vote.
-COMMON = 0.35
 #: A file's rarest licence words that vote.
 RAREST = 16
-#: Share, by IDF, of a template's words that must stand in their places.
+#: Share of a template's words that must stand in their places, by IDF or, where that falls short, by count.
 LEAST = 0.6
 RESULT = [T.StructField("n_words", T.LongType()), T.StructField("n_base", T.LongType()), T.StructField("first_word", T.LongType()),
           T.StructField("last_word", T.LongType()), T.StructField("base_labels", T.StringType()), T.StructField("labels", T.StringType()),
@@ -112,7 +111,6 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
 class Scanner:
     def __init__(self, df: np.ndarray, n: int):
         self.idf = np.log((n + 1) / (df + 1))
-        self.votes = df <= COMMON * max(1, n)
         self.base = [(coded(p), label) for p, label in BASE]
         self.templates = [(label, np.array(coded(t)), [coded(k) for k in keys]) for label, t, keys in TEMPLATES]
         self.weights = [np.maximum(self.idf[t], 1e-3) for _, t, _ in self.templates]
@@ -124,7 +122,6 @@ class Scanner:
     def found(self, code: np.ndarray) -> list[tuple[str, float]]:
         """(label, share) of the templates in one file."""
         have = np.unique(code[code >= 0])
-        have = have[self.votes[have]]
         rare = have[np.argsort(-self.idf[have], kind="stable")][:RAREST]
         agree: dict[tuple[int, int], set[int]] = defaultdict(set)
         for c in rare.tolist():
@@ -141,6 +138,7 @@ class Scanner:
             same = np.zeros(len(own), bool)
             same[inside] = code[at[inside]] == own[inside]
             share = float(self.weights[t][same].sum() / self.weights[t].sum())
+            share = share if share >= LEAST else float(same.mean())
             span = code[max(0, begin):begin + len(own)]
             if share >= LEAST and all(len(places(span, k)) for k in keys):
                 out.append((label, share))
@@ -162,7 +160,6 @@ class Scanner:
                 last[d] = max(last[d], p)
                 base[d].add(label)
         hit = np.flatnonzero(code >= 0)
-        hit = hit[self.votes[code[hit]]]
         votes = Counter((np.searchsorted(bounds, hit, "right") - 1).tolist())
         labels, score = [set(b) for b in base], np.array([1.0 if b else 0.0 for b in base])
         for d, k in votes.items():
@@ -177,6 +174,6 @@ class Scanner:
 
 def scan_licenses(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, n_base, first_word, last_word, base_labels, labels and score (1 with a
-    base phrase, else the best template's share of words in place). Reads the texts twice."""
+    base phrase, else the best template's share of words in place: by IDF if that suffices, else by count). Reads the texts twice."""
     df, n = document_frequencies(docs, text_col)
     return map_texts(docs, text_col, RESULT, lambda: Scanner(df, n))

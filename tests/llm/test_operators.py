@@ -292,6 +292,17 @@ def test_licenses(spark):
     assert total == len(rows) + 30 and n[licenses.CODE["public"]] == 2
 
 
+def test_licenses_of_common_notices_and_small_tables(spark):
+    whole, short = "This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3."
+    for notice in (whole, short):
+        for n in (1, 2, 40):   # tables of one row and two; half the rows hold the notice, and all of them
+            for other in (0, n):
+                df = docs(spark, [(k, notice) for k in range(n)] + [(n + k, "lorem ipsum the of") for k in range(other)])
+                got = licenses.scan_licenses(df).collect()
+                assert [r.labels for r in sorted(got, key=lambda r: r.doc_id)] == ["gpl-3"] * n + [""] * other
+                assert all(r.score >= licenses.LEAST for r in got if r.labels)
+
+
 # quality
 
 def test_quality(spark):
