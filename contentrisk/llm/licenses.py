@@ -1,12 +1,13 @@
 """Licence scans with a positional index of rare words.
 
-A file's words are looked up by rarity: of the licence words it has, those with the highest IDF over
-the whole corpus vote, through the templates' postings (word -> template, place), for a template and
-the place where it would begin. Votes of two different words or more for one template and beginning
-(the relative positions intersect there) make a candidate; it counts if enough of the template's words, by IDF, stand in
-their places and its mandatory key phrases stand within it. Where most rows hold a notice, or the table is
-small, IDF weighs the notice's own words least: so enough words by their mere count will do as well. The base
-phrases are searched at every place besides; labels found by templates are added to theirs.
+A template is looked up by its rarest words, those with the highest IDF over the whole corpus: each
+place of one in a file votes for the place where the template would begin. Votes of two different words or more
+for one beginning (the relative positions intersect there) make a candidate; it counts if enough of the template's
+words, by IDF, stand in their places and its mandatory key phrases stand within it. Where most rows hold a notice,
+or the table is small, IDF weighs the notice's own words least: so enough words by their mere count will do as well.
+Each template has as many voting words as it takes that two stand in place wherever it counts, so neither other
+notices in the file nor a file's length lose one. The base phrases are searched at every place besides; labels found
+by templates are added to theirs.
 
 Words: ASCII letters lower-cased, everything else in ASCII but digits divides. Null and empty texts
 have no words, no labels, null places and the score 0. Repeated rows are scanned alike; an empty
@@ -15,7 +16,6 @@ table gives no rows. Columns with a result's name are renamed.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,10 +51,10 @@ TEMPLATES = (
     ("cc0", "cc0 1 0 universal public domain dedication", ("cc0 1 0",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software released into the public domain",)),
 )
-#: A file's rarest licence words that vote.
-RAREST = 16
 #: Share of a template's words that must stand in their places, by IDF or, where that falls short, by count.
 LEAST = 0.6
+#: Candidates whose words are compared at a time.
+STRETCH = 1 << 16
 RESULT = [T.StructField("n_words", T.LongType()), T.StructField("n_base", T.LongType()), T.StructField("first_word", T.LongType()),
           T.StructField("last_word", T.LongType()), T.StructField("base_labels", T.StringType()), T.StructField("labels", T.StringType()),
           T.StructField("score", T.DoubleType())]
@@ -108,41 +108,51 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
     return df[:-1], int(df[-1])
 
 
+def voters(own: np.ndarray, measures: list[np.ndarray]) -> np.ndarray:
+    """A template's rarest words (by the first measure of its places), as few as leave no way to reach
+    ``LEAST`` in any measure with fewer than two of them in place: the others and the heaviest one fall short."""
+    distinct, at = np.unique(own, return_inverse=True)
+    order = np.argsort(-measures[0][np.unique(own, return_index=True)[1]], kind="stable")
+    held = [np.bincount(at, m)[order] / m.sum() for m in measures]
+    for k in range(2, len(order)):
+        if all(h[k:].sum() + h[:k].max() < LEAST - 1e-9 for h in held):
+            return distinct[order[:k]]
+    return distinct
+
+
 class Scanner:
     def __init__(self, df: np.ndarray, n: int):
         self.idf = np.log((n + 1) / (df + 1))
         self.base = [(coded(p), label) for p, label in BASE]
         self.templates = [(label, np.array(coded(t)), [coded(k) for k in keys]) for label, t, keys in TEMPLATES]
         self.weights = [np.maximum(self.idf[t], 1e-3) for _, t, _ in self.templates]
-        self.postings = defaultdict(list)
-        for t, (_, own, _) in enumerate(self.templates):
-            for q, c in enumerate(own.tolist()):
-                self.postings[c].append((t, q))
-
-    def found(self, code: np.ndarray) -> list[tuple[str, float]]:
-        """(label, share) of the templates in one file."""
-        have = np.unique(code[code >= 0])
-        rare = have[np.argsort(-self.idf[have], kind="stable")][:RAREST]
-        agree: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for c in rare.tolist():
-            for p in np.flatnonzero(code == c).tolist():
-                for t, q in self.postings[c]:
-                    agree[t, p - q].add(c)
-        out = []
-        for (t, begin), by in agree.items():
-            if len(by) < 2:
-                continue
-            label, own, keys = self.templates[t]
-            at = begin + np.arange(len(own))
-            inside = (at >= 0) & (at < len(code))
-            same = np.zeros(len(own), bool)
-            same[inside] = code[at[inside]] == own[inside]
-            share = float(self.weights[t][same].sum() / self.weights[t].sum())
-            share = share if share >= LEAST else float(same.mean())
-            span = code[max(0, begin):begin + len(own)]
-            if share >= LEAST and all(len(places(span, k)) for k in keys):
-                out.append((label, share))
-        return out
+        self.voters = [voters(own, [w, np.ones(len(own))]) for (_, own, _), w in zip(self.templates, self.weights)]
+
+    def found(self, code: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        """(label, files, shares) of the templates in the files that begin at ``bounds`` in the words."""
+        gap, files = max(len(own) for _, own, _ in self.templates), len(bounds) - 1
+        hit = np.flatnonzero(code >= 0)
+        at = hit + gap * np.searchsorted(bounds, hit, "right")   # with a gap around each file
+        spaced = np.full(len(code) + gap * (files + 1), -1, np.int16)
+        spaced[at] = code[hit]
+        first = bounds[:-1] + gap * np.arange(files)
+        at = at[np.argsort(code[hit], kind="stable")]
+        cut = np.searchsorted(np.sort(code[hit]), np.arange(len(VOCABULARY) + 1))
+        for (label, own, keys), weight, voting in zip(self.templates, self.weights, self.voters):
+            votes = [np.unique(np.concatenate([at[cut[c]:cut[c + 1]] - q for q in np.flatnonzero(own == c)])) for c in voting.tolist()]
+            begin, by = np.unique(np.concatenate(votes), return_counts=True)
+            for b in np.array_split(begin[by > 1], 1 + len(begin) // STRETCH):   # in bounded runs
+                same = spaced[b[:, None] + np.arange(len(own))] == own
+                share, plain = (same * weight).sum(1) / weight.sum(), same.mean(1)
+                share = np.where(share >= LEAST, share, plain)
+                keep = share >= LEAST
+                b, share = b[keep], share[keep]
+                for k in keys:
+                    span = np.lib.stride_tricks.sliding_window_view(spaced[b[:, None] + np.arange(len(own))], len(k), axis=1)
+                    keep = (span == np.array(k)).all(2).any(1)
+                    b, share = b[keep], share[keep]
+                # a beginning may lie in the gap before its file
+                yield label, np.searchsorted(first, b, "right") - 1, share
 
     def __call__(self, texts: pa.Array) -> list[pa.Array]:
         code, bounds = words(texts)
@@ -159,14 +169,11 @@ class Scanner:
                 first[d] = p if first[d] < 0 else min(first[d], p)
                 last[d] = max(last[d], p)
                 base[d].add(label)
-        hit = np.flatnonzero(code >= 0)
-        votes = Counter((np.searchsorted(bounds, hit, "right") - 1).tolist())
         labels, score = [set(b) for b in base], np.array([1.0 if b else 0.0 for b in base])
-        for d, k in votes.items():
-            if k > 1:
-                for label, share in self.found(code[bounds[d]:bounds[d + 1]]):
-                    labels[d].add(label)
-                    score[d] = max(score[d], share)
+        for label, doc, share in self.found(code, bounds):
+            np.maximum.at(score, doc, share)
+            for d in np.unique(doc).tolist():
+                labels[d].add(label)
         where = lambda x: pa.array(x, pa.int64(), mask=x < 0)
         joined = lambda x: pa.array([",".join(sorted(s)) for s in x], pa.string())
         return [pa.array(np.diff(bounds).astype(np.int64)), pa.array(count), where(first), where(last), joined(base), joined(labels), pa.array(score)]

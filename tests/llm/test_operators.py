@@ -303,6 +303,46 @@ def test_licenses_of_common_notices_and_small_tables(spark):
                 assert all(r.score >= licenses.LEAST for r in got if r.labels)
 
 
+def test_licenses_of_files_with_several(spark):
+    notice = {t: label for label, t, _ in licenses.TEMPLATES}
+    long = [t for t in notice if t.startswith(("permission", "redistribution"))]
+    rows = [(k, " lorem ipsum. ".join([*long, t])) for k, t in enumerate(notice)] + [(90, " x ".join(notice)), (91, " x ".join(notice) * 300)]
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan_licenses(docs(spark, rows + [(100 + k, "lorem ipsum the of") for k in range(200)])).collect()}
+    for k, label in enumerate(notice.values()):
+        assert {"mit", "bsd", label} <= got[k]
+    assert got[90] == got[91] == set(notice.values())
+
+
+def test_license_votes_equal_search_at_every_place():
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(120):   # notices with words lost, changed and doubled, several to a file
+        w = []
+        for t in rng.integers(0, len(licenses.TEMPLATES), rng.integers(0, 5)).tolist():
+            own = licenses.TEMPLATES[t][1].split()
+            for c in own:
+                w += [[c], [], ["x"], [c, c], [licenses.VOCABULARY[rng.integers(len(licenses.VOCABULARY))]]][rng.choice(5, p=[0.9, 0.025, 0.025, 0.025, 0.025])]
+        texts.append(" ".join(w))
+    code, bounds = licenses.words(pa.array(texts))
+    for df in (np.zeros(len(licenses.VOCABULARY), int), rng.integers(0, 1001, len(licenses.VOCABULARY)), np.full(len(licenses.VOCABULARY), 1000)):
+        scan = licenses.Scanner(df, 1000)
+        got, want = {}, {}
+        for label, doc, share in scan.found(code, bounds):
+            for d, x in zip(doc.tolist(), share.tolist()):
+                got.setdefault(d, []).append((label, round(x, 9)))
+        for d in range(len(texts)):
+            one = code[bounds[d]:bounds[d + 1]].tolist()
+            for (label, own, keys), weight in zip(scan.templates, scan.weights):
+                for b in range(1 - len(own), len(one)):
+                    span = [one[i] if 0 <= i < len(one) else -1 for i in range(b, b + len(own))]
+                    same = np.array(span) == own
+                    share = weight[same].sum() / weight.sum()
+                    share = share if share >= licenses.LEAST else same.mean()
+                    if share >= licenses.LEAST and len(set(own[same])) > 1 and all(any(span[i:i + len(k)] == k for i in range(len(span))) for k in keys):
+                        want.setdefault(d, []).append((label, round(float(share), 9)))
+        assert want and {d: sorted(x) for d, x in got.items()} == {d: sorted(x) for d, x in want.items()}
+
+
 # quality
 
 def test_quality(spark):
