@@ -9,8 +9,9 @@ and only survivors' products are completed. That is exact, and quadratic in the
 but for dense arithmetic on a quarter of the dimensions for nearly all pairs.
 
 Only counts of links and enough links to connect what they connect leave a task, never all pairs of
-a group. Vectors that are null, empty, zero, of another length than the commonest, or hold null or
-non-finite numbers link with nothing: a row of their own. Rows are told apart by their place, so
+a group. Vectors of different lengths don't link; each length that two rows or more have is compared by itself,
+one after the other. Vectors that are null, empty, zero, or hold null or non-finite numbers link with nothing: a
+row of their own. Rows are told apart by their place, so
 repeated rows (and repeated or null ids) are rows that link with each other. An empty table gives
 no rows.
 """
@@ -33,6 +34,7 @@ TILE = 4096
 STRIP = 512
 #: Leading dimensions, as shares of all, after which pairs are dropped.
 STEPS = (0.25, 0.5, 1.0)
+LINKS = "a long, b long, n long"
 
 
 def unit(v) -> np.ndarray | None:
@@ -140,7 +142,7 @@ def tile_links(units: DataFrame, turn: np.ndarray, dim: int, threshold: float, t
                          "b": pa.concat_arrays([pa.nulls(len(linked), pa.int64()), pa.array(every[parent[tied]])]),
                          "n": pa.array(np.concatenate([count[linked], np.zeros(len(tied), np.int64)]))})
 
-    return sent.groupBy("x", "y").applyInArrow(run, "a long, b long, n long")
+    return sent.groupBy("x", "y").applyInArrow(run, LINKS)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", tile: int = TILE) -> DataFrame:
@@ -148,10 +150,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     by links, its own included) and ``kept`` (the id is the component's) for every row."""
     rows = vectors.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     units = write_table(unit_rows(rows), "embed-units")
-    common = units.filter("dim > 0").groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    dim = common[0]["dim"] if common else 0
-    usable = units.filter(F.col("dim") == dim).select("row", "v") if dim else units.filter("false").select("row", "v")
-    found = tile_links(usable, rotation(usable, dim) if dim else np.zeros((0, 0)), dim, threshold, tile)
+    found = units.sparkSession.createDataFrame([], LINKS)
+    for r in units.filter("dim > 0").groupBy("dim").count().filter("count > 1").orderBy("dim").collect():
+        usable = units.filter(F.col("dim") == r["dim"]).select("row", "v")
+        found = found.unionByName(tile_links(usable, rotation(usable, r["dim"]), r["dim"], threshold, tile))
     found = write_table(found, "embed-links")
     links = found.filter("b IS NULL").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("n_links"))
     comp = connected_components(found.filter("b IS NOT NULL").select("a", "b"), "embed").withColumnsRenamed({"node": "row"})

@@ -270,6 +270,14 @@ def test_embeddings(spark):
     assert len(pairs) > 100 and embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_mixed_lengths(spark):
+    one, two = [1.0, 2.0, 3.0], [3.0, 1.0]
+    rows = [(1, one), (2, one), (3, one), (4, two), (5, two), (6, [-3.0, 1.0]), (7, [3.0, 1.0, 0.0]), (8, [1.0] * 5)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.9).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {
+        1: (2, 1, True), 2: (2, 1, False), 3: (2, 1, False), 4: (1, 4, True), 5: (1, 4, False), 6: (0, 6, True), 7: (0, 7, True), 8: (0, 8, True)}
+
+
 # licences
 
 def test_licenses(spark):
