@@ -208,14 +208,19 @@ def map_texts(df: DataFrame, text: str, fields: list[T.StructField], make: Calla
     return df.mapInArrow(run, schema)
 
 
+def labelled_ids(labels: DataFrame, label: str, id_col: str) -> DataFrame:
+    """(id, lo): the ids with one label; those with both labels, or none, are left out."""
+    return (labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col)
+            .agg(F.min(label).alias("lo"), F.max(label).alias("hi")).filter("lo = hi").drop("hi"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, most: tuple[int, int]) -> DataFrame:
     """(text, label) of at most ``most`` documents with label 0 and with label 1.
 
     The first by a hash of the id, so the same rows at every run; ids with both labels, or
     none, are left out. The sampled ids (sum(most) at most) are broadcast to the documents.
     """
-    one = (labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col)
-           .agg(F.min(label).alias("lo"), F.max(label).alias("hi")).filter("lo = hi"))
+    one = labelled_ids(labels, label, id_col)
     picked = None
     for v in (0, 1):
         part = one.filter(F.col("lo") == v).orderBy(F.xxhash64(id_col), id_col).limit(most[v])

@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contentrisk.llm.common import KnownWords, gather, labelled_sample, map_texts, split_words, translated
+from contentrisk.llm.common import KnownWords, gather, labelled_ids, labelled_sample, map_texts, split_words, translated
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ENDS = r"[.!?][^\pL\pN]*$"
@@ -187,13 +188,14 @@ def toxic_words(t: Tokens, flat: np.ndarray, size: np.ndarray, n: int, label: np
     share = n1 / (n1 + n0)
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (np.where(hit > 0, hit * np.log(hit / ((hit + miss) * share)), 0) + np.where(miss > 0, miss * np.log(miss / ((hit + miss) * (1 - share))), 0))
-    # beyond chance among so many units, the more so in a larger sample, and rare elsewhere
-    good = (g > 2 * np.log(max(2, n)) + 0.03 * n1) & (hit / n1 > 50 * miss / n0)
+    # beyond chance among so many units, and rare elsewhere
+    good = (g > 2 * np.log(max(2, n))) & (hit / n1 > 50 * miss / n0)
     return np.bincount(np.repeat(np.arange(m), size), good[flat], m) > 0
 
 
-def fit(texts: list[str | None], label: np.ndarray, rounds: int = 15) -> Model:
-    """Fit on a bounded sample of whole texts (repeated texts count once)."""
+def fit(texts: list[str | None], label: np.ndarray, rounds: int = 15, totals: tuple[int, int] | None = None) -> Model:
+    """Fit on a bounded sample of whole texts (repeated texts count once). ``totals``: how many documents
+    have label 0 and 1 where the sample was drawn from; by default the sample's shares are taken for theirs."""
     kept = list(dict.fromkeys((x or "", int(y)) for x, y in zip(texts, label)))
     label = np.array([y for _, y in kept], dtype=float)
     if not len(label) or label.min() == label.max():
@@ -228,16 +230,23 @@ def fit(texts: list[str | None], label: np.ndarray, rounds: int = 15) -> Model:
     x = evidence(chain.marginals(odds(), trans)[0], t.starts)
     weight = {int(used[i]): float(w[i]) for i in np.flatnonzero(np.abs(w) > LEAST_WEIGHT)}
     named = {f: weight[h] for b in bares for f in features(b) if (h := zlib.crc32(f.encode())) in weight}
-    return Model(float(bias[0]), named, trans, logistic(x, label))
+    return Model(float(bias[0]), named, trans, logistic(x, label, weight_of(label, totals)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int = 30) -> np.ndarray:
+def weight_of(label: np.ndarray, totals: tuple[int, int] | None) -> np.ndarray:
+    """What each sampled document counts, so that the classes have their shares of ``totals``; 1 on average."""
+    if not totals or not min(totals):
+        return np.ones(len(label))
+    return np.where(label > 0, totals[1] / label.sum(), totals[0] / (1 - label).sum()) * len(label) / sum(totals)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.02, rounds: int = 30) -> np.ndarray:
     """Ridge logistic regression by Newton steps."""
     b = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * len(y) * 0.05 * np.eye(len(b))
-        step = np.linalg.solve(h, x.T @ (y - p) - ridge * len(y) * 0.05 * b)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * len(y) * 0.05 * np.eye(len(b))
+        step = np.linalg.solve(h, x.T @ (weight * (y - p)) - ridge * len(y) * 0.05 * b)
         b += step
         if np.abs(step).max() < 1e-8:
             break
@@ -246,10 +255,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int = 30
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
           most: tuple[int, int] = SAMPLE) -> Model:
-    """A model from at most ``most`` labelled documents with label 0 and 1 (whole texts)."""
+    """A model from at most ``most`` labelled documents with label 0 and 1 (whole texts). In the document's
+    score the two classes count by their shares of all labelled ids."""
     got = labelled_sample(docs, labels, label, id_col, text_col, most).toArrow()
     rows = sorted(zip(got.column("label").to_pylist(), got.column("text").to_pylist()), key=lambda r: (r[0], r[1] or ""))
-    return fit([t for _, t in rows], np.array([y for y, _ in rows]))
+    count = dict(labelled_ids(labels, label, id_col).groupBy(F.col("lo").cast("int").alias("y")).count().filter("y IN (0, 1)").collect())
+    return fit([t for _, t in rows], np.array([y for y, _ in rows]), totals=(count.get(0, 0), count.get(1, 0)))
 
 
 def scorer(model: Model):

@@ -40,6 +40,25 @@ def sample(n=120):
     return texts, np.array(label)
 
 
+def test_toxic_words_of_few_documents_are_learnt():
+    texts, label = sample(2000)
+    rare = np.flatnonzero(label)[::45]   # 15 of 667 hold the word, which no other text does
+    texts = [t.replace("stemx", "y") + (" zzqqz" if i in rare else "") for i, t in enumerate(texts)]
+    model = toxicity.fit(texts, label)
+    assert model.weights.get("zzqqz$", 0) > 1
+    assert all(toxicity.scorer(model)(pa.array(["abcde zzqqz fgh"]))[1].to_numpy() == 1)
+
+
+def test_score_without_evidence_is_of_all_labels(spark):
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
+    rows = [(i, " ".join(word() for _ in range(20))) for i in range(600)]   # 60 toxic, nothing to tell them by
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(600)], "doc_id long, toxic int")
+    model = toxicity.train(docs(spark, rows), labels, most=(70, 50))
+    score = toxicity.scorer(model)(pa.array(["", "abc def", None][:2]))[0].to_numpy()
+    assert (abs(score - 0.1) < 0.05).all()
+
+
 def test_chain_equals_enumeration():
     rng = np.random.default_rng(1)
     seq = np.array([0, 4, 5, 8])
