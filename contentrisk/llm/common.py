@@ -218,7 +218,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     """(text, label) of at most ``most`` documents with label 0 and with label 1.
 
     The first by a hash of the id, so the same rows at every run; ids with both labels, or
-    none, are left out. The sampled ids (sum(most) at most) are broadcast to the documents.
+    none, are left out. The sampled ids (sum(most) at most) are broadcast to the documents. Of an
+    id on several rows, one text comes back, the first by a hash: each task keeps one an id.
     """
     one = labelled_ids(labels, label, id_col)
     picked = None
@@ -227,4 +228,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
         picked = part if picked is None else picked.unionByName(part)
     picked = picked.select(F.col(id_col).alias("__id"), F.col("lo").cast("int").alias("label"))
     return (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(picked), "__id").select("text", "label"))
+            .join(F.broadcast(picked), "__id").groupBy("__id", "label")
+            .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")).select("one.text", "label"))

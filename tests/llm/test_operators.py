@@ -40,6 +40,13 @@ def sample(n=120):
     return texts, np.array(label)
 
 
+def test_labelled_sample_is_one_text_an_id(spark):
+    rows = [(1, f"text {k}") for k in range(500)] + [(2, None), (2, None), (3, "a"), (4, "b"), (None, "c")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 0), (4, 1), (None, 1)], "doc_id long, toxic int")
+    got = [sorted((r.label, r.text or "") for r in common.labelled_sample(docs(spark, rows).repartition(k), labels, "toxic", "doc_id", "text", (5, 5)).collect()) for k in (1, 7)]
+    assert got[0] == got[1] and got[0][:2] == [(0, ""), (0, "a")] and len(got[0]) == 3 and got[0][2][1].startswith("text ")
+
+
 def test_toxic_words_of_few_documents_are_learnt():
     texts, label = sample(2000)
     rare = np.flatnonzero(label)[::45]   # 15 of 667 hold the word, which no other text does
