@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contentrisk.llm import (decontamination, embedding_dedup, licenses, mixing, packing, quality, simhash_dedup,
-                             token_counts, toxicity, warc)
+                             spelling, token_counts, toxicity, warc)
 from contentrisk.llm.common import read
 
 #: Vocabulary file of the token operators.
@@ -18,6 +18,8 @@ COSINE = 0.9
 ROW_TOKENS = 2048
 REPETITION = 2.0
 TOXIC_FROM, GOOD_FROM = 0.3, 0.5
+#: One word place in this many loses a letter (by a hash).
+NOISE = 97
 
 
 def held(divisor: int, rest: int):
@@ -77,6 +79,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, repetition=REPETITION).select("doc_id", "source", "copy", "slot")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"), noise=NOISE)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +90,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_licenses, op4_quality, op5_simhash_dedup, op6_embedding_dedup,
-                                   op7_warc, op8_token_output, op9_token_counts, op10_mixing, pipeline)}
+                                   op7_warc, op8_token_output, op9_token_counts, op10_mixing, op11_spelling, pipeline)}
 
 
 def oracle_queries() -> dict[str, str]:
