@@ -105,6 +105,68 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
     return write_table(star.unionByName(centres), f"{name}-components")
 
 
+def whole_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Sorted batches as tables in which every run of equal ``keys`` stands whole; the last may be empty."""
+    rest, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols]))
+        if rest and any(c[0] != v for c, v in zip(cols, last)):
+            yield pa.Table.from_batches(rest)
+            rest = []
+        last = [c[-1] for c in cols]
+        if not len(change):
+            rest.append(batch)
+            continue
+        cut = int(change[-1]) + 1
+        yield pa.Table.from_batches([*rest, batch.slice(0, cut)])
+        rest = [batch.slice(cut)]
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def forest(first: np.ndarray, n: int, near: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) for which ``near`` holds that connect each bucket's members as all such pairs do: in a
+    component of k members k - 1, at any size.
+
+    Buckets lie one after the other over 0..n - 1 and begin at ``first``. All of them are searched
+    breadth-first side by side, a member of each at a step, which is compared with those that none
+    has reached yet: what is near an earlier member is not compared again.
+    """
+    ends = np.concatenate([first[1:], [n]]).astype(np.int64)
+    queue = np.arange(n)                      # a bucket's members in the order they are reached
+    head, reached = first.astype(np.int64).copy(), first.astype(np.int64) + 1
+    left = np.setdiff1d(np.arange(n), first)  # not reached yet
+    bucket = np.repeat(np.arange(len(first)), ends - first)
+    out_i, out_j = [], []
+    while len(left):
+        own = bucket[left]
+        active = own[np.concatenate([[True], own[1:] != own[:-1]])]
+        # nothing waits: the first member left begins a component
+        idle = active[head[active] == reached[active]]
+        if len(idle):
+            at = np.searchsorted(own, idle)
+            queue[reached[idle]] = left[at]
+            reached[idle] += 1
+            left, own = np.delete(left, at), np.delete(own, at)
+        seed = queue[head[own]]
+        head[active] += 1
+        hit = np.flatnonzero(near(seed, left)) if len(left) else np.zeros(0, np.int64)
+        if len(hit):
+            out_i.append(seed[hit])
+            out_j.append(left[hit])
+            b = own[hit]
+            start = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
+            size = np.diff(np.concatenate([start, [len(b)]]))
+            queue[reached[b] + np.arange(len(b)) - np.repeat(start, size)] = left[hit]
+            reached[b[start]] += size
+            left = np.delete(left, hit)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *out_i]), np.concatenate([none, *out_j])
+
+
 def text_array(column: pa.Array) -> pa.Array:
     """Strings with nulls as empty texts."""
     if pa.types.is_large_string(column.type):

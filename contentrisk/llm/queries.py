@@ -7,9 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentrisk.llm import (decontamination, embedding_dedup, licenses, mixing, packing, quality, simhash_dedup,
-                             spelling, token_counts, toxicity, warc)
+from contentrisk.llm import (decontamination, embedding_dedup, licenses, minhash, mixing, packing, quality, simhash_dedup,
+                             spelling, token_counts, toxicity, warc, whitening)
 from contentrisk.llm.common import read
+from contentrisk.operators.tables import write_table
 
 #: Vocabulary file of the token operators.
 VOCABULARY = os.environ.get("TOKENIZER_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -20,6 +21,8 @@ REPETITION = 2.0
 TOXIC_FROM, GOOD_FROM = 0.3, 0.5
 #: One word place in this many loses a letter (by a hash).
 NOISE = 97
+#: Principal components of the whitened vectors.
+COMPONENTS = 32
 
 
 def held(divisor: int, rest: int):
@@ -83,6 +86,17 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(read(spark, sf_dir, "documents"), noise=NOISE)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), COMPONENTS)
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    prints = write_table(minhash.with_next(docs), "fingerprints")
+    return (minhash.near_duplicates(docs, prints).withColumnRenamed("id", "doc_id")
+            .select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "component_id"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,7 +104,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_licenses, op4_quality, op5_simhash_dedup, op6_embedding_dedup,
-                                   op7_warc, op8_token_output, op9_token_counts, op10_mixing, op11_spelling, pipeline)}
+                                   op7_warc, op8_token_output, op9_token_counts, op10_mixing, op11_spelling, op12_whitening,
+                                   op13_fingerprints, pipeline)}
 
 
 def oracle_queries() -> dict[str, str]:
