@@ -167,6 +167,26 @@ def forest(first: np.ndarray, n: int, near: Callable[[np.ndarray, np.ndarray], n
     return np.concatenate([none, *out_i]), np.concatenate([none, *out_j])
 
 
+def find(parent: np.ndarray) -> np.ndarray:
+    while True:
+        up = parent[parent]
+        if (up == parent).all():
+            return parent
+        parent = up
+
+
+def union(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels after joining the pairs (i, j): the smaller root of each pair, until nothing changes."""
+    parent = find(parent)
+    while True:
+        a, b = parent[i], parent[j]
+        if (a == b).all():
+            return parent
+        lo, hi = np.minimum(a, b), np.maximum(a, b)
+        np.minimum.at(parent, hi, lo)
+        parent = find(parent)
+
+
 def text_array(column: pa.Array) -> pa.Array:
     """Strings with nulls as empty texts."""
     if pa.types.is_large_string(column.type):

@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentrisk.llm.common import connected_components
-from contentrisk.llm.simhash_dedup import union
+from contentrisk.llm.common import connected_components, union
 from contentrisk.operators.tables import write_table
 
 TILE = 4096

@@ -7,9 +7,9 @@ pigeonhole is l = 1). So fingerprints are dealt by the segments of a chain in wh
 may differ: its exact part, and all but one of the segments behind that. Within such a bucket the
 rest of the chain condition and then the whole Hamming distance decide.
 
-Documents of one fingerprint are one class, held once; in dense buckets links inside a component
-already found are not drawn again. So no group's pairs are emitted, and none is missed: components
-are those of all links. Null and empty texts have no words and the fingerprint zero, linked like any
+Documents of one fingerprint are one class, held once. In a bucket of any size a breadth-first search
+gives a forest of links, one fewer than a component has members, and a link comes from one bucket only.
+So no group's pairs are emitted, and none is missed: components are those of all links. Null and empty texts have no words and the fingerprint zero, linked like any
 other. Repeated rows share a fingerprint. Rows with a null id take part in grouping, but give no
 component id of their own (a component of such rows only has a null id).
 """
@@ -25,15 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contentrisk.llm.common import connected_components, lookup, map_texts, small_side
+from contentrisk.llm.common import connected_components, forest, lookup, map_texts, small_side, whole_runs
 from contentrisk.operators.tables import write_table
 
 SEED = 42
 SEGMENTS, WIDTH = 16, 4
 #: Masks of one start, at most.
 MASKS = SEGMENTS + 1
-#: Groups up to this size are compared pairwise in one step; larger ones go by leaders first.
-DENSE = 512
 
 
 def fingerprint(text: str, shingle: int) -> int:
@@ -75,42 +73,20 @@ def chain_length(distance: int, allowed: int) -> int:
     return min(SEGMENTS, -(-(allowed + 1) * SEGMENTS // distance) - 1)
 
 
-def bucket_keys(fp: str, distance: int):
-    """The keys under which a fingerprint is looked up, as SQL: for each start of a chain, its exact
-    segments and all but one of those behind them that may hold the one differing bit."""
+def masks(distance: int) -> list[tuple[int, int]]:
+    """(number, bits) of the masks under which fingerprints are looked up: for each start of a chain its
+    exact segments and all but one of those behind them that may hold the one differing bit."""
     exact, one = chain_length(distance, 0), chain_length(distance, 1)
     if not exact:
         raise ValueError(f"at most {SEGMENTS - 1} bits")
-    wild = range(exact, one) or range(0)
-    keys = []
-    for s in range(SEGMENTS):
-        def mask(segments):
-            m = sum(0xF << (WIDTH * ((s + k) % SEGMENTS)) for k in segments)
-            return m - (1 << 64) if m >> 63 else m
-        for j in wild or [-1]:
-            # a key is a masked fingerprint, with the number of its mask
-            keys.append(f"struct(cast({s * MASKS + j + 1} as int) as mask, {fp} & cast({mask([k for k in range(one) if k != j])} as bigint) as bits)")
-    return F.explode(F.expr(f"array({', '.join(keys)})"))
-
+    return [(s * MASKS + j + 1, sum(0xF << (WIDTH * ((s + k) % SEGMENTS)) for k in range(one) if k != j))
+            for s in range(SEGMENTS) for j in (range(exact, one) or [-1])]
 
-def find(parent: np.ndarray) -> np.ndarray:
-    while True:
-        up = parent[parent]
-        if (up == parent).all():
-            return parent
-        parent = up
 
-
-def union(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels after joining the pairs (i, j): the smaller root of each pair, until nothing changes."""
-    parent = find(parent)
-    while True:
-        a, b = parent[i], parent[j]
-        if (a == b).all():
-            return parent
-        lo, hi = np.minimum(a, b), np.maximum(a, b)
-        np.minimum.at(parent, hi, lo)
-        parent = find(parent)
+def bucket_keys(fp: str, distance: int):
+    """The keys under which a fingerprint is looked up, as SQL: masked, with the number of the mask."""
+    keys = [f"struct(cast({n} as int) as mask, {fp} & cast({m - (1 << 64) if m >> 63 else m} as bigint) as bits)" for n, m in masks(distance)]
+    return F.explode(F.expr(f"array({', '.join(keys)})"))
 
 
 def chain_ok(diff: np.ndarray, start: int, distance: int) -> np.ndarray:
@@ -127,111 +103,50 @@ def linked(diff: np.ndarray, distance: int) -> np.ndarray:
     return np.bitwise_count(diff) <= distance
 
 
-def bucket_links(fps: np.ndarray, start: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect a bucket's fingerprints as all links among them do, fewer than they are.
+def first_mask(diff: np.ndarray, distance: int) -> np.ndarray:
+    """The first mask under which two fingerprints with this difference meet and pass the chain test."""
+    out = np.full(diff.shape, -1)
+    ok = [chain_ok(diff, s, distance) for s in range(SEGMENTS)]
+    for n, m in masks(distance):
+        out[(out < 0) & ((diff & np.uint64(m)) == 0) & ok[n // MASKS]] = n
+    return out
 
-    Members near a leader are linked to it; then only members of different components are compared,
-    and only of leaders near enough for a link (triangle inequality).
+
+def links_of(mask: np.ndarray, bits: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of links over each bucket of rows sorted by (mask, bits), of any size.
+
+    A link is left to the first bucket in which its ends meet: there the two are connected (by links of
+    that bucket, or again of earlier ones), so none is given twice.
     """
-    n = len(fps)
-    if n <= DENSE:
-        i, j = np.triu_indices(n, 1)
-        diff = fps[i] ^ fps[j]
-        keep = chain_ok(diff, start, distance)
-        i, j, diff = i[keep], j[keep], diff[keep]
-        keep = linked(diff, distance)
-        return i[keep], j[keep]
-    leader, leaders = np.full(n, -1), []
-    todo = np.arange(n)
-    while len(todo):
-        c = todo[0]
-        near = todo[linked(fps[todo] ^ fps[c], distance)]
-        leader[near] = len(leaders)
-        leaders.append(c)
-        todo = todo[leader[todo] < 0]
-    leaders = np.array(leaders)
-    parent = union(np.arange(n), leaders[leader], np.arange(n))
-    out_i, out_j = [leaders[leader]], [np.arange(n)]
-    members = np.split(np.argsort(leader, kind="stable"), np.cumsum(np.bincount(leader))[:-1])
-    for x in range(len(leaders)):
-        near = x + 1 + np.flatnonzero(np.bitwise_count(fps[leaders[x + 1:]] ^ fps[leaders[x]]) <= 3 * distance)
-        for y in near:
-            if parent[leaders[x]] == parent[leaders[y]]:
-                continue
-            for k in range(0, len(members[x]), DENSE):
-                part = members[x][k:k + DENSE]
-                hit = np.argwhere(linked(fps[part][:, None] ^ fps[members[y]][None, :], distance))
-                if len(hit):
-                    i, j = part[hit[0, 0]], members[y][hit[0, 1]]  # a ball is connected by its leader
-                    parent = union(parent, np.array([i]), np.array([j]))
-                    out_i.append(np.array([i]))
-                    out_j.append(np.array([j]))
-                    break
-    i, j = np.concatenate(out_i), np.concatenate(out_j)
-    return i[i != j], j[i != j]
+    first = np.flatnonzero(np.concatenate([[True], (mask[1:] != mask[:-1]) | (bits[1:] != bits[:-1])])) if len(fp) else np.zeros(0, np.int64)
 
+    def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        diff = fp[i] ^ fp[j]
+        ok = linked(diff, distance)
+        at = np.flatnonzero(ok)
+        start = mask[i[at]] // MASKS
+        for s in np.unique(start):
+            own = at[start == s]
+            ok[own] = chain_ok(diff[own], int(s), distance)
+        return ok
 
-def links_of(mask: np.ndarray, bits: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within the buckets of rows sorted by (mask, bits). Small buckets are compared together:
-    each member with the next, the second next and so on."""
-    new = np.concatenate([[True], (mask[1:] != mask[:-1]) | (bits[1:] != bits[:-1])])
-    first = np.flatnonzero(new)
-    size = np.diff(np.concatenate([first, [len(fp)]]))
-    left = np.repeat(first + size, size) - np.arange(len(fp)) - 1   # members behind each one
-    left[np.repeat(size > DENSE, size)] = 0
-    out_a, out_b = [], []
-    at, step = np.flatnonzero(left > 0), 1
-    while len(at):
-        diff = fp[at] ^ fp[at + step]
-        keep = np.flatnonzero(linked(diff, 3 * distance))  # far pairs go first, cheaply
-        if len(keep):
-            diff, where = diff[keep], at[keep]
-            ok = np.zeros(len(keep), bool)
-            start = mask[where] // MASKS
-            for s in np.unique(start):
-                own = start == s
-                ok[own] = chain_ok(diff[own], int(s), distance)
-            where, diff = where[ok], diff[ok]
-            where = where[linked(diff, distance)]
-            out_a.append(fp[where])
-            out_b.append(fp[where + step])
-        step += 1
-        at = at[left[at] >= step]
-    for f, n in zip(first[size > DENSE], size[size > DENSE]):
-        own = fp[f:f + n]
-        i, j = bucket_links(own, int(mask[f]) // MASKS, distance)
-        out_a.append(own[i])
-        out_b.append(own[j])
-    none = np.zeros(0, np.uint64)
-    a, b = np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
-    pairs = np.unique(np.stack([a, b], 1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    i, j = forest(first, len(fp), near)
+    own = first_mask(fp[i] ^ fp[j], distance) == mask[i]
+    return fp[i[own]], fp[j[own]]
 
 
 def candidate_links(fps: DataFrame, distance: int) -> DataFrame:
     """(a, b): links between distinct fingerprints (column ``fp``) that connect them as all links do."""
     keyed = fps.select("fp", bucket_keys("fp", distance).alias("key")).select("key.mask", "key.bits", "fp")
-    keyed = keyed.repartition("mask", "bits").sortWithinPartitions("mask", "bits")
+    keyed = keyed.repartition("mask", "bits").sortWithinPartitions("mask", "bits", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, np.int64)] * 3
-
-        def links(mask, bits, fp):
-            a, b = links_of(mask, bits, fp.view(np.uint64), distance) if len(fp) else (np.zeros(0, np.uint64),) * 2
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
-
-        for batch in batches:
-            cols = [np.concatenate([r, c.to_numpy(zero_copy_only=False).astype(np.int64)]) for r, c in zip(rest, batch.columns)]
-            if not len(cols[0]):
-                continue
-            # the last bucket may go on in the next batch
-            same = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
-            cut = int(same[-1]) + 1 if len(same) else 0
-            rest = [c[cut:] for c in cols]
-            yield links(*[c[:cut] for c in cols])
-        yield links(*rest)
-
-    return keyed.mapInArrow(run, "a long, b long").distinct()
+        for table in whole_runs(batches, ["mask", "bits"]):
+            mask, bits, fp = (table.column(c).to_numpy() for c in ("mask", "bits", "fp"))
+            a, b = links_of(mask, bits, fp.view(np.uint64), distance)
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+
+    return keyed.mapInArrow(run, "a long, b long")
 
 
 def grouped(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

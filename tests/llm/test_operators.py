@@ -234,8 +234,7 @@ def test_ids_on_different_texts(spark):
 
 
 @pytest.mark.parametrize("distance", [1, 3, 4, 7])
-def test_no_link_is_missed(spark, distance, monkeypatch):
-    monkeypatch.setattr(simhash_dedup, "DENSE", 40)   # leaders and members, too
+def test_no_link_is_missed(spark, distance):
     rng = np.random.default_rng(distance)
     fps = set()
     for _ in range(6):
@@ -256,11 +255,47 @@ def test_no_link_is_missed(spark, distance, monkeypatch):
     assert components(len(fps), links) == components(len(fps), true.tolist())
 
 
-def test_dense_buckets_emit_few_links():
+def test_links_grow_with_a_group_not_with_its_square(spark):
+    """Near copies of one centre: links linear in their number, whatever it is, and each one once."""
     rng = np.random.default_rng(5)
-    v = np.unique(np.array([sum(1 << int(k) for k in rng.choice(20, 3, replace=False)) for _ in range(3000)], np.uint64))
-    i, j = simhash_dedup.bucket_links(v, 8, 4)
-    assert len(v) > simhash_dedup.DENSE and len(i) < 3 * len(v)
+    for size in (100, 200, 400, 800):
+        fps = {0x0123456789ABCDEF}
+        while len(fps) < size:
+            x = 0x0123456789ABCDEF
+            for k in rng.choice(64, int(rng.integers(1, 3)), replace=False):
+                x ^= 1 << int(k)
+            fps.add(x)
+        fps = sorted(fps)
+        at = {f - 2 ** 64 if f >> 63 else f: i for i, f in enumerate(fps)}
+        got = simhash_dedup.candidate_links(spark.createDataFrame([(f,) for f in at], "fp long"), 4).collect()
+        links = [(at[r.a], at[r.b]) for r in got]
+        assert len(set(links)) == len(links) < 12 * size   # a forest a mask, less what earlier masks gave
+        assert all((fps[a] ^ fps[b]).bit_count() <= 4 for a, b in links)
+        assert len(set(components(size, links))) == 1
+
+
+def test_forest_equals_all_pairs():
+    rng = np.random.default_rng(15)
+    x = rng.integers(0, 60, 400)
+    first = np.unique(np.concatenate([[0], rng.integers(0, 400, 30)]))
+    bucket = np.searchsorted(first, np.arange(400), "right")
+    i, j = common.forest(first, 400, lambda a, b: np.abs(x[a] - x[b]) <= 1)
+    pairs = [(a, b) for a in range(400) for b in range(a) if bucket[a] == bucket[b] and abs(x[a] - x[b]) <= 1]
+    comp = components(400, pairs)
+    assert components(400, list(zip(i.tolist(), j.tolist()))) == comp and len(i) == 400 - len(set(comp))
+    assert all(abs(x[a] - x[b]) <= 1 and bucket[a] == bucket[b] for a, b in zip(i, j))
+    assert [len(v) for v in common.forest(np.zeros(0, np.int64), 0, None)] == [0, 0]
+
+
+def test_whole_runs():
+    rng = np.random.default_rng(16)
+    key = np.sort(rng.integers(0, 30, 500))
+    cuts = [0, *sorted(rng.integers(0, 500, 12)), 500]
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[a:b] // 5), pa.array(key[a:b])], ["k", "l"]) for a, b in zip(cuts, cuts[1:])]
+    got = list(common.whole_runs(batches, ["k", "l"]))
+    assert np.concatenate([t.column("l").to_numpy() for t in got]).tolist() == key.tolist()
+    ends = [(t.column("l")[0].as_py(), t.column("l")[-1].as_py()) for t in got]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
 
 
 def test_connected_components(spark):
