@@ -19,7 +19,7 @@ them into the struct array. No Python, no shuffle; it streams with the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,34 +177,86 @@ def severity_expr(terms: list[Term], arrays: dict[int, tuple[str, str]]) -> Colu
 
 
 # ---------------------------------------------------------------------------
-# Join form: the dictionary as a (small, size-checked) broadcast table.
+# Join form: an inverted index of the dictionary by q-grams.
 # ---------------------------------------------------------------------------
 
+#: Characters of an index entry.
+GRAM = 3
+#: A literal of this many characters holds GRAM entries, one for each way a text's grams may fall on it.
+#: Shorter ones are looked for in each text.
+LONG_ENOUGH = 2 * GRAM - 1
+
+
+def longest_piece(t: Term) -> str:
+    """The longest literal that every match of a term contains, '' where none is known."""
+    return t.term if t.kind == "keyword" else max(literal_gate(t.term), key=len, default="")
+
+
 def terms_frame(spark: SparkSession, dictionary: ThreatDictionary) -> DataFrame:
-    rows = [(t.category, t.cat_ord, t.kind, t.term_ord, t.term,
-             java_regex(t.term) if t.kind == "pattern" else None,
-             literal_gate(t.term) if t.kind == "pattern" else [],
-             t.weight, t.sev_rank) for t in dictionary.terms()]
-    schema = ("category string, cat_ord int, kind string, term_ord int, term string, "
-              "rx string, gate array<string>, weight int, sev_rank int")
+    """One row per term; ``piece``: its longest literal (null without one)."""
+    rows = [(n, t.category, t.cat_ord, t.kind, t.term_ord, t.term,
+             java_regex(t.term) if t.kind == "pattern" else None, longest_piece(t) or None,
+             t.weight, t.sev_rank) for n, t in enumerate(dictionary.terms())]
+    schema = ("term_id int, category string, cat_ord int, kind string, term_ord int, term string, "
+              "rx string, piece string, weight int, sev_rank int")
     return spark.createDataFrame(rows, schema)
 
 
+def text_grams(text: str) -> str:
+    """The grams of a text side by side, as SQL: those that begin at characters 1, 4, 7, .. (linear in the text)."""
+    return f"regexp_extract_all({text}, '(?s).{{{GRAM}}}', 0)"
+
+
+def gram_index(terms: DataFrame, lowered: DataFrame) -> DataFrame:
+    """The terms of ``terms`` under GRAM grams of their piece that follow each other, of which a text that holds
+    the piece has exactly one among its grams: (gram, gram_at: its place in the piece, the term's columns).
+
+    Of a piece's places those are taken whose grams are rarest in all texts (``lowered``: column ``__lt``).
+    """
+    entries = (terms.filter(F.length("piece") >= LONG_ENOUGH)
+               .select("term_id", F.explode(F.expr(f"sequence(1, length(piece) - {GRAM - 1})")).alias("gram_at"), "piece")
+               .select("term_id", "gram_at", F.expr(f"substring(piece, gram_at, {GRAM})").alias("gram")))
+    # counts of the dictionary's grams in all texts; tasks add up first, one row a gram comes out
+    counts = (lowered.select(F.explode(F.expr(text_grams("__lt"))).alias("gram"))
+              .join(F.broadcast(entries.select("gram").distinct()), "gram").groupBy("gram").count())
+    ahead = Window.partitionBy("term_id").orderBy("gram_at").rowsBetween(0, GRAM - 1)
+    runs = (entries.join(F.broadcast(counts), "gram", "left")
+            .select("term_id", "gram_at", "gram", F.sum(F.coalesce("count", F.lit(0))).over(ahead).alias("n"), F.count("*").over(ahead).alias("whole")))
+    best = (runs.filter(F.col("whole") == GRAM).groupBy("term_id").agg(F.min(F.struct("n", "gram_at")).alias("best"))
+            .select("term_id", F.col("best.gram_at").alias("first")))
+    return (runs.select("term_id", "gram_at", "gram").join(F.broadcast(best), "term_id")
+            .filter(F.col("gram_at").between(F.col("first"), F.col("first") + GRAM - 1))
+            .select("term_id", "gram", "gram_at").join(F.broadcast(terms), "term_id"))
+
+
 def match_terms_join(docs: DataFrame, id_col: str, text: Column,
                      dictionary: ThreatDictionary) -> DataFrame:
-    """One row per (document, matched term): a broadcast theta join on contains / rlike.
+    """One row per (document, matched term), by an inverted index.
 
-    The broadcast side is the term table, whose size is bounded by the dictionary
-    (``ThreatDictionary.terms`` refuses more than 50,000 terms), never by the data.
+    A text's grams meet the terms in an equi join on the grams they are filed under; a hit counts where
+    the term's literal first stands in the text, so a term comes once a text and a pattern's regular
+    expression runs there only. Terms without a literal of LONG_ENOUGH characters (short keywords, patterns of
+    classes) are tested on each text. The index is broadcast: it has GRAM rows a term, and
+    ``ThreatDictionary.terms`` refuses more than 50,000 terms.
     """
     spark = docs.sparkSession
     terms = terms_frame(spark, dictionary)
     lowered = docs.select(F.col(id_col).alias("__id"), F.lower(text).alias("__lt")).filter("__lt <> ''")
-    cond = F.when(F.col("kind") == "keyword", F.col("__lt").contains(F.col("term"))).otherwise(
-        F.forall("gate", lambda g: F.col("__lt").contains(g)) & F.regexp_like(F.col("__lt"), F.col("rx")))
-    return (lowered.join(F.broadcast(terms), cond, "inner")
-            .select(F.col("__id").alias(id_col), "category", "cat_ord", "kind", "term_ord",
-                    "term", "weight", "sev_rank"))
+    index = gram_index(terms, lowered)
+    start = f"pos * {GRAM} + 2 - gram_at"
+    at_first = F.expr(f"substring(__lt, {start}, length(piece)) = piece AND locate(piece, __lt) = {start}")
+    # no lambda function here: the join would leave generated code and copy the text for every gram
+    is_match = F.col("rx").isNull() | F.regexp_like(F.col("__lt"), F.col("rx"))
+    out = ["category", "cat_ord", "kind", "term_ord", "term", "weight", "sev_rank"]
+    by_gram = (lowered.select("__id", "__lt", F.posexplode(F.expr(text_grams("__lt"))).alias("pos", "gram"))
+               .join(F.broadcast(index), "gram").filter(at_first).filter(is_match).select(F.col("__id").alias(id_col), *out))
+    rest = [(n, t) for n, t in enumerate(dictionary.terms()) if len(longest_piece(t)) < LONG_ENOUGH]
+    if not rest:
+        return by_gram
+    tested = [F.expr(f"CASE WHEN {_term_match_sql('__lt', t)} THEN array({n}) ELSE CAST(array() AS array<int>) END") for n, t in rest]
+    # explode_outer: a filter on the size of the tests' array would evaluate them twice
+    found = lowered.select("__id", F.explode_outer(F.flatten(F.array(*tested))).alias("term_id"))
+    return by_gram.unionByName(found.join(F.broadcast(terms), "term_id").select(F.col("__id").alias(id_col), *out))
 
 
 def detect_threats_join(docs: DataFrame, id_col: str, text: Column,
