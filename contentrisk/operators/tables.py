@@ -58,11 +58,27 @@ def rebalance_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
 Order = list[tuple[str, bool]]   # (column, ascending)
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """A hash of the whole row: the last, deterministic tie-break (maps by their sorted entries)."""
-    parts = [F.array_sort(F.map_entries(c)) if isinstance(f.dataType, T.MapType) else c
-             for f in df.schema.fields for c in [F.col(f"`{f.name}`")]]
-    return F.xxhash64(*parts)
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return isinstance(t, T.MapType) or isinstance(t, T.ArrayType) and _has_map(t.elementType)
+
+
+def without_maps(c: Column, t: T.DataType) -> Column:
+    """A value with its maps, at any depth, as arrays of entries in order, which can be hashed and compared."""
+    if not _has_map(t):
+        return c
+    if isinstance(t, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(
+            without_maps(e["key"], t.keyType).alias("key"), without_maps(e["value"], t.valueType).alias("value"))))
+    if isinstance(t, T.ArrayType):
+        return F.transform(c, lambda e: without_maps(e, t.elementType))
+    return F.when(c.isNotNull(), F.struct(*[without_maps(c.getField(f.name), f.dataType).alias(f"f{k}") for k, f in enumerate(t.fields)]))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row: the last, deterministic tie-break."""
+    return F.xxhash64(*[without_maps(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
 
 
 def dedupe_latest(df: DataFrame, key: str, order: Order | None = None) -> DataFrame:
@@ -74,9 +90,18 @@ def dedupe_latest(df: DataFrame, key: str, order: Order | None = None) -> DataFr
     Nulls come last where the order is descending; rows with a null key are one group.
     """
     by = [F.col(c).asc() if ascending else F.col(c).desc() for c, ascending in order or []]
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*by, "__row_hash"))
-    return (df.withColumn("__row_hash", _row_hash(df)).withColumn("__rn", first)
-            .where("__rn = 1").drop("__rn", "__row_hash"))
+    tie, rn = free_name(df, "row_hash"), free_name(df, "rn")
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*by, tie))
+    return df.withColumn(tie, row_hash(df)).withColumn(rn, first).where(F.col(rn) == 1).drop(rn, tie)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str,
