@@ -44,8 +44,35 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def lookup(rows: DataFrame, keyed: DataFrame, key: str, count: str) -> DataFrame:
-    """``rows`` joined to ``keyed`` (one row a key, ``count`` rows of ``rows`` each) on ``key``.
+def dealt(rows: DataFrame, keys: list[str], member: str, tile: int) -> DataFrame:
+    """``rows`` (a written table) with ``x`` and ``y``, for comparing the rows of equal ``keys`` in pieces: a
+    group of more than ``tile`` rows is cut in tiles by its ``member``, and a row comes with each pair of tiles."""
+    large = rows.groupBy(*keys).agg(F.count("*").alias("size")).filter(F.col("size") > tile)
+    large = write_table(large, "large-groups")
+    if large.isEmpty():
+        return rows.withColumns({"x": F.lit(0), "y": F.lit(0)})
+    return in_tiles(rows.join(small_side(large), keys, "left"), F.coalesce("size", F.lit(1)), member, tile)
+
+
+def in_tiles(rows: DataFrame, size, member: str, tile: int) -> DataFrame:
+    """As ``dealt``, where each row knows the ``size`` of its group."""
+    n = F.ceil(size / F.lit(tile)).cast("int")
+    own = F.pmod(F.xxhash64(member), F.col("tiles")).cast("int")
+    pairs = F.expr("explode(transform(sequence(0, tiles - 1), u -> struct(least(tile, u) AS x, greatest(tile, u) AS y)))")
+    return rows.withColumn("tiles", n).withColumn("tile", own).withColumn("p", pairs).select("*", "p.x", "p.y").drop("tiles", "tile", "p", "size")
+
+
+def run_starts(columns: list[np.ndarray]) -> np.ndarray:
+    """Where runs of equal values begin in sorted columns."""
+    n = len(columns[0])
+    if not n:
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]))
+
+
+def lookup(rows: DataFrame, keyed: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``keyed`` (one row a key, ``count`` rows of ``rows`` each) on ``key``. With
+    ``how="left"`` rows without one stay, and ``found`` tells them.
 
     Keys with over 1/HOT_PARTS of the rows, at most HOT_PARTS of them, are joined by a
     broadcast; the others by a shuffle in which no key holds more than that share. ``rows``
@@ -55,8 +82,11 @@ def lookup(rows: DataFrame, keyed: DataFrame, key: str, count: str) -> DataFrame
     hot = keyed.filter(F.col(count) * HOT_PARTS > F.lit(total)).drop(count)
     cold = keyed.filter(F.col(count) * HOT_PARTS <= F.lit(total)).drop(count)
     a = rows.join(F.broadcast(hot), key)
-    b = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
-    return a.unionByName(b)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    if how == "inner":
+        return a.unionByName(rest.join(cold, key))
+    b = rest.join(small_side(cold.withColumn("found", F.lit(True))), key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    return a.withColumn("found", F.lit(True)).unionByName(b)
 
 
 def popcount(c):
@@ -272,12 +302,13 @@ def map_texts(df: DataFrame, text: str, fields: list[T.StructField], make: Calla
     """``df`` with the columns that a function of its texts adds, in Arrow batches.
 
     ``make`` is called once a task and returns fn(texts: pa.Array) -> list of arrays, one a
-    field. Input columns of a result's name are renamed (``clear_names``); ``text`` is null-safe.
+    field. Input columns of a result's name are renamed (``clear_names``), the text column too;
+    ``text`` is null-safe.
     """
     names = [f.name for f in fields]
-    clash = {n.lower() for n in names} & {text.lower()}
-    assert not clash, f"a result has the text column's name: {clash}"
+    place = [c.lower() for c in df.columns].index(text.lower())
     df = clear_names(df, names)
+    text = df.columns[place]
     schema = T.StructType(df.schema.fields + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentrisk.llm.common import small_side
-from contentrisk.operators.tables import write_table
+from contentrisk.operators.tables import free_name, write_table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -158,6 +158,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item."""
-    leaks = write_table(contaminated(docs, benchmark, id_col, text_col).select(F.col("row").alias("__leak")).distinct(), "decon-leaks")
-    h = F.xxhash64(F.col(id_col), F.col(text_col))
-    return docs.join(small_side(leaks), h == F.col("__leak"), "left_anti")
+    leak = free_name(docs, "leak")
+    leaks = write_table(contaminated(docs, benchmark, id_col, text_col).select(F.col("row").alias(leak)).distinct(), "decon-leaks")
+    h = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    return docs.join(small_side(leaks), h == F.col(leak), "left_anti")

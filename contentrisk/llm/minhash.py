@@ -29,11 +29,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contentrisk.llm.common import connected_components, forest, lookup, slices, small_side, split_words, text_array, translated, whole_runs
+from contentrisk.llm.common import (connected_components, dealt, forest, in_tiles, lookup, run_starts, slices, small_side,
+                                    split_words, text_array, translated, whole_runs)
 from contentrisk.operators.tables import write_table
 
 SHINGLE, PERMUTATIONS, BANDS = 5, 64, 16
@@ -130,18 +132,27 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     the document that follows by id (after the last: the first), and how alike they are."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    # equal rows may stand on several tasks, so one of many copies is no task's whole load
+    # equal rows may stand on several tasks, so one of many copies is no task's whole load; texts travel packed
     order = ["id", "hash", "salt"]
-    in_order = (rows.select("id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("salt"))
-                .repartitionByRange(*order).sortWithinPartitions(*order).select("id", "hash", "text"))
+    keyed = rows.select("id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("salt"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            for part in slices(batch, "text"):
+                packed = pa.array([squeeze(t.encode()) for t in part.column("text").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in order], packed], [*order, "packed"])
+
+    in_order = keyed.mapInArrow(pack, f"id {kind}, hash long, salt long, packed binary").repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = last = schema = None   # of first and last: (id, hash, text, signature)
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             schema = pa.schema([(name, t or batch.schema.field("id").type) for name, t in [("id", None), *PAIR, *EDGE]])
-            for part in slices(batch, "text"):
-                texts = text_array(part.column("text"))
-                ids, hashes, sig, text = part.column("id").to_pylist(), part.column("hash").to_pylist(), signatures(texts), texts.to_pylist()
+            for part in slices(batch, "packed", 1 << 19):
+                text = [unpack(t).decode() for t in part.column("packed").to_pylist()]
+                ids, hashes, sig = part.column("id").to_pylist(), part.column("hash").to_pylist(), signatures(pa.array(text, pa.string()))
                 if last is None:
                     first = (ids[0], hashes[0], text[0])
                 else:
@@ -188,10 +199,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text_sha256 string, fingerprint string")
 
 
-def band_links(classes: DataFrame, candidate: float) -> DataFrame:
-    """(a, b): links among ``classes`` (class long, fingerprint string) that connect those which share a
+def band_links(classes: DataFrame, candidate: float, tile: int = TILE) -> DataFrame:
+    """(a, b): links among ``classes`` (class long, fingerprint binary) that connect those which share a
     band and agree in the share ``candidate`` of their values as all such pairs do."""
-    wide = 8 * PERMUTATIONS // BANDS
+    wide = 4 * PERMUTATIONS // BANDS
     bands = F.expr(f"explode(transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(fingerprint, b * {wide} + 1, {wide}))))")
     keys = classes.select(bands.alias("key"), "class").repartition("key").sortWithinPartitions("key")
 
@@ -204,16 +215,16 @@ def band_links(classes: DataFrame, candidate: float) -> DataFrame:
 
     met = write_table(keys.mapInArrow(shared, "key long, class long"), "minhash-bands")
     # one byte of each value is enough to tell the share of equal ones (1 in 256 are equal by chance)
-    low = F.expr(f"array_join(transform(sequence(0, {PERMUTATIONS - 1}), k -> substring(fingerprint, 8 * k + 7, 2)), '')")
-    members = (met.join(classes.select("class", F.unhex(low).alias("low")), "class")
-               .repartition("key").sortWithinPartitions("key", "class").select("key", "class", "low"))
+    low = F.expr(f"unhex(array_join(transform(sequence(1, {PERMUTATIONS}), k -> hex(substring(fingerprint, 4 * k, 1))), ''))")
+    members = dealt(met, ["key"], "class", tile).join(classes.select("class", low.alias("low")), "class")
+    members = members.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "class").select("key", "x", "y", "class", "low")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_runs(batches, ["key"]):
-            key, own = table.column("key").to_numpy(), table.column("class").to_numpy()
+        for table in whole_runs(batches, ["key", "x", "y"]):
+            own = table.column("class").to_numpy()
             low = np.frombuffer(b"".join(table.column("low").to_pylist()), np.uint8).reshape(-1, PERMUTATIONS)
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-            i, j = forest(first, len(key), lambda x, y: (low[x] == low[y]).mean(axis=1) >= candidate)
+            first = run_starts([table.column(c).to_numpy() for c in ("key", "x", "y")])
+            i, j = forest(first, len(own), lambda x, y: (low[x] == low[y]).mean(axis=1) >= candidate)
             yield pa.RecordBatch.from_arrays([pa.array(own[i]), pa.array(own[j])], ["a", "b"])
 
     return members.mapInArrow(linked, "a long, b long").distinct()
@@ -242,23 +253,18 @@ def verified_links(docs: DataFrame, text_col: str, groups: DataFrame, similarity
                 made = [np.unique(x).astype(np.uint32).tobytes() for x in np.split(h, np.cumsum(count)[:-1])]
                 yield pa.RecordBatch.from_arrays([part.column("class"), part.column("group"), part.column("size"), pa.array(made, pa.binary())], ["class", "group", "size", "shingles"])
 
-    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("text_sha256", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     found = texts.join(small_side(groups), "text_sha256").select("class", "group", "size", "text").mapInArrow(sets, "class long, group long, size long, shingles binary")
     one = found.groupBy("class", "group", "size").agg(F.any_value("shingles").alias("shingles"))
-    # a large group in tiles: each pair of tiles is compared by one task
-    dealt = one.withColumn("tiles", F.expr(f"(size + {tile - 1}) div {tile}")).withColumn("tile", F.expr("pmod(xxhash64(class), tiles)"))
-    sent = (dealt.select("group", "class", "shingles", "tile", F.expr("explode(transform(sequence(0, tiles - 1), u -> struct(least(tile, u) AS x, greatest(tile, u) AS y))) AS p"))
-            .select("group", "p.x", "p.y", "class", "shingles", "tile"))
     keys = ["group", "x", "y"]
-    sent = sent.repartition(*keys).sortWithinPartitions(*keys, "class")
+    sent = in_tiles(one, F.col("size"), "class", tile).repartition(*keys).sortWithinPartitions(*keys, "class").select(*keys, "class", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches, keys):
-            group, x, y, own, in_tile = (table.column(c).to_numpy() for c in ("group", "x", "y", "class", "tile"))
+            own = table.column("class").to_numpy()
             sets = [np.frombuffer(s, np.uint32) for s in table.column("shingles").to_pylist()]
-            new = (group[1:] != group[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-            first = np.flatnonzero(np.concatenate([[True], new])) if len(group) else np.zeros(0, np.int64)
-            i, j = forest(first, len(group), lambda p, q: np.array([alike(sets[m], sets[n], similarity) for m, n in zip(p, q)], bool))
+            first = run_starts([table.column(c).to_numpy() for c in keys])
+            i, j = forest(first, len(own), lambda p, q: np.array([alike(sets[m], sets[n], similarity) for m, n in zip(p, q)], bool))
             yield pa.RecordBatch.from_arrays([pa.array(own[i]), pa.array(own[j])], ["a", "b"])
 
     return sent.mapInArrow(run, "a long, b long")
@@ -266,9 +272,9 @@ def verified_links(docs: DataFrame, text_col: str, groups: DataFrame, similarity
 
 def near_duplicates(docs: DataFrame, prints: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
                     candidate: float = CANDIDATE, tile: int = TILE, shingle: int = SHINGLE) -> DataFrame:
-    """``prints`` (id, text_sha256, fingerprint, ... of ``docs``' texts; a written table) with ``component_id``:
+    """``prints`` (id, text_sha256, fingerprint, ... of ``docs``' texts, read several times) with ``component_id``:
     the smallest id reachable by texts of at least ``similarity``, its own included."""
-    one = prints.groupBy("text_sha256").agg(F.any_value("fingerprint").alias("fingerprint"), F.min("id").alias("low"), F.count("*").alias("n"))
+    one = prints.select("id", F.unhex("text_sha256").alias("text_sha256"), F.unhex("fingerprint").alias("fingerprint")).groupBy("text_sha256").agg(F.any_value("fingerprint").alias("fingerprint"), F.min("id").alias("low"), F.count("*").alias("n"))
     classes = write_table(one.withColumn("class", F.monotonically_increasing_id()), "minhash-classes")
     links = write_table(band_links(classes.select("class", "fingerprint"), candidate), "minhash-candidates")
     grouped = connected_components(links, "minhash-groups").select(F.col("node").alias("class"), F.col("component").alias("group"))
@@ -276,7 +282,10 @@ def near_duplicates(docs: DataFrame, prints: DataFrame, text_col: str = "text",
     groups = write_table(grouped.join(sizes, "group").join(classes.select("class", "text_sha256"), "class"), "minhash-members")
     sure = write_table(verified_links(docs, text_col, groups, similarity, tile, shingle), "minhash-links")
     comp = connected_components(sure, "minhash").select(F.col("node").alias("class"), "component")
-    tied = classes.select("class", "text_sha256", "low", "n").join(comp, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    tied = classes.select("class", "text_sha256", "low", "n").join(comp, "class", "left").selectExpr(
+        "class", "text_sha256", "low", "n", "component IS NOT NULL AS linked", "coalesce(component, class) AS component")
     least = tied.groupBy("component").agg(F.min("low").alias("component_id"))
-    keyed = write_table(tied.join(least, "component").select("text_sha256", "n", "component_id"), "minhash-keyed")
-    return lookup(prints, keyed, "text_sha256", "n")
+    keyed = tied.join(least, "component").select(F.lower(F.hex("text_sha256")).alias("text_sha256"), "n", "component_id", "linked")
+    # a text on one row that links with nothing is its row's own component; only the others are looked up
+    shared = write_table(keyed.filter("n > 1 OR linked").select("text_sha256", "n", F.col("component_id").alias("shared_id")), "minhash-keyed")
+    return lookup(prints, shared, "text_sha256", "n", "left").withColumn("component_id", F.expr("IF(found, shared_id, id)")).drop("found", "shared_id")

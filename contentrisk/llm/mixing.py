@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentrisk.llm.common import clear_names, small_side
-from contentrisk.operators.tables import write_table
+from contentrisk.operators.tables import free_name, write_table
 
 BLOCKS = 256
 BISECTIONS = 40
@@ -97,11 +97,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     those names are renamed. Texts are not shuffled where the plan (a few rows a block) is small."""
     p = write_table(plan(counted(docs, id_col, text_col, source_col), seed, **target), "mix-plan")
     by_block = p.groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("copy", "slot"))).alias("__copies"))
-    by_block = write_table(by_block.withColumnsRenamed({"source": "__source", "block": "__block"}), "mix-copies")
     docs = clear_names(docs, ["copy", "slot"])
-    on = F.col(source_col).eqNullSafe(F.col("__source")) & (F.expr(block_of(f"`{id_col}`")) == F.col("__block"))
-    out = docs.join(small_side(by_block), on).withColumn("__one", F.explode("__copies"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__one.copy").alias("copy"), F.col("__one.slot").alias("slot"))
+    source, block, copies, one = (free_name(docs, c) for c in ("source", "block", "copies", "one"))
+    by_block = write_table(by_block.withColumnsRenamed({"source": source, "block": block, "__copies": copies}), "mix-copies")
+    on = F.col(f"`{source_col}`").eqNullSafe(F.col(source)) & (F.expr(block_of(f"`{id_col}`")) == F.col(block))
+    out = docs.join(small_side(by_block), on).withColumn(one, F.explode(copies))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{one}.copy").alias("copy"), F.col(f"{one}.slot").alias("slot"))
 
 
 #: The same in another engine's SQL (source and id not null), for a repetition limit and no budget.

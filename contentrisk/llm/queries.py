@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from contentrisk.llm import (decontamination, embedding_dedup, licenses, minhash, mixing, packing, quality, simhash_dedup,
                              spelling, token_counts, toxicity, warc, whitening)
 from contentrisk.llm.common import read
-from contentrisk.operators.tables import write_table
 
 #: Vocabulary file of the token operators.
 VOCABULARY = os.environ.get("TOKENIZER_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -92,8 +91,7 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    prints = write_table(minhash.with_next(docs), "fingerprints")
-    return (minhash.near_duplicates(docs, prints).withColumnRenamed("id", "doc_id")
+    return (minhash.near_duplicates(docs, minhash.with_next(docs)).withColumnRenamed("id", "doc_id")
             .select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "component_id"))
 
 

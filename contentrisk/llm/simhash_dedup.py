@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contentrisk.llm.common import connected_components, forest, lookup, map_texts, small_side, whole_runs
-from contentrisk.operators.tables import write_table
+from contentrisk.operators.tables import free_name, row_hash, write_table
 
 SEED = 42
 SEGMENTS, WIDTH = 16, 4
@@ -176,22 +176,23 @@ def keep_one(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id
     """``docs`` with one row of each component: that with its smallest id (of several rows with that
     id, the first by a hash of the row). An id may stand on different texts, which are judged each by
     its own. Rows with a null id can't be named, and stay."""
-    found = grouped(docs, shingle, distance, id_col, text_col).filter("id IS NOT NULL").withColumnRenamed("id", "__id")
+    found = grouped(docs, shingle, distance, id_col, text_col).filter("id IS NOT NULL")
     # narrow: ids that go, and ids that come several times and stay; texts are shuffled only if these are many
-    ids = (found.groupBy("__id").agg(F.count_if(F.expr("__id <> component_id")).alias("goes"), F.count_if(F.expr("__id = component_id")).alias("stays"))
+    ids = (found.groupBy("id").agg(F.count_if(F.expr("id <> component_id")).alias("goes"), F.count_if(F.expr("id = component_id")).alias("stays"))
            .filter("goes > 0 OR stays > 1"))
-    ids = write_table(ids, "simhash-ids")
-    rows = docs.join(small_side(ids.filter("stays = 0").select("__id")), F.col(id_col) == F.col("__id"), "left_anti")
-    several = ids.filter("stays > 0").select("__id")
+    named_id = free_name(docs, "id")
+    ids = write_table(ids.withColumnRenamed("id", named_id), "simhash-ids")
+    own = F.col(f"`{id_col}`") == F.col(named_id)
+    rows = docs.join(small_side(ids.filter("stays = 0").select(named_id)), own, "left_anti")
+    several = ids.filter("stays > 0").select(named_id)
     if several.isEmpty():
         return rows
     several = small_side(several)
-    alone = rows.join(several, F.col(id_col) == F.col("__id"), "left_anti")
-    plain = [F.col(f"`{c}`") for c in docs.columns if not isinstance(docs.schema[c].dataType, T.MapType)]
-    repeated = (rows.join(several, F.col(id_col) == F.col("__id"), "left_semi")
-                .select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(*plain).alias("hash"),
-                        F.col(id_col).alias("own"), F.col(text_col).alias("text")))
-    named = found.filter("__id = component_id").join(several, "__id", "left_semi").select(F.col("__id").alias("own"), "fp", "group").distinct()
+    alone = rows.join(several, own, "left_anti")
+    repeated = (rows.join(several, own, "left_semi")
+                .select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_hash(docs).alias("hash"),
+                        F.col(f"`{id_col}`").alias("own"), F.col(f"`{text_col}`").alias("text")))
+    named = found.filter("id = component_id").join(several, F.col("id") == F.col(named_id), "left_semi").select(F.col("id").alias("own"), "fp", "group").distinct()
     first = (add_fingerprints(repeated, "text", shingle, "fp").join(named, ["own", "fp"])
              .groupBy("own", "group").agg(F.min_by("row", "hash").alias("row")).select("row.*"))
     return alone.unionByName(first)

@@ -12,8 +12,9 @@ Without labelled documents of both classes the score is the share of toxic ones
 
 from __future__ import annotations
 
-import re
+import pickle
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contentrisk.llm.common import KnownWords, gather, labelled_ids, labelled_sample, map_texts, split_words, translated
+from contentrisk.llm.common import KnownWords, gather, labelled_ids, labelled_sample, map_texts, raw, split_words, translated
 
-LETTERS = re.compile(r"[^\W\d_]+")
-ENDS = r"[.!?][^\pL\pN]*$"
-SPACES = bytes.maketrans(b"\n\t\r", b"   ")
+#: Characters beyond ASCII that are no letters (marks of a letter go with it).
+NO_LETTERS = r"[^\pL\pM\x00-\x7F]"
+#: ASCII letters in lower case, one space for any other ASCII character.
+ONLY_LETTERS = bytes(b if b >= 128 else b | 32 if chr(b).isalpha() else 32 for b in range(256))
+SENTENCE_ENDS = np.isin(np.arange(256), list(b".!?"))
 PREFIXES = range(4, 9)
 #: A sentence of more words is read as several sequences.
 MAX_SEQUENCE = 64
@@ -43,12 +46,6 @@ RESULT = [T.StructField("score", T.DoubleType()), T.StructField("n_toxic_tokens"
           T.StructField("spans", T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())])))]
 
 
-def bare(word: str) -> str:
-    """The longest run of letters, in lower case."""
-    word = word.lower()
-    return word if word.isalpha() else max(LETTERS.findall(word), key=len, default="")
-
-
 def features(w: str) -> list[str]:
     """The word itself and its beginnings."""
     n = len(w)
@@ -66,16 +63,29 @@ class Tokens:
 
 
 def tokens(texts: pa.Array) -> Tokens:
-    starts, word, words, length = split_words(translated(texts, SPACES))
+    """Every run of letters is a token, whatever stands beside it; a text without any has one empty token."""
+    texts = pc.replace_substring_regex(texts, NO_LETTERS, " ")   # a character each, so offsets stay
+    starts, word, words, length = split_words(translated(texts, ONLY_LETTERS))
     n = len(word)
-    ends = pc.match_substring_regex(words, ENDS).to_numpy(zero_copy_only=False)
     after = np.cumsum(length + 1)
     begin = after - length - 1
     begin -= np.repeat(begin[starts[:-1]] if n else begin, np.diff(starts))
-    first = np.zeros(n + 1, bool)
-    first[starts] = True
-    if n:
-        first[1:] |= ends[word]
+    # one character cuts a token from the next: where a sentence ends there, so does the sequence
+    last = np.zeros(n, bool)
+    last[starts[1:] - 1] = True
+    bytes_ = np.frombuffer(raw(texts)[0], np.uint8)
+    ends = last.copy()
+    ends[~last] = SENTENCE_ENDS[bytes_[np.frombuffer(ONLY_LETTERS, np.uint8)[bytes_] == 32]]
+    sentence = np.cumsum(ends) - ends
+    doc = np.repeat(np.arange(len(texts)), np.diff(starts))
+    keep = length > 0
+    none = np.bincount(doc[keep], minlength=len(texts)) == 0
+    keep[starts[:-1][none]] = True
+    word, begin, length, sentence, doc = word[keep], begin[keep], length[keep], sentence[keep], doc[keep]
+    starts = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)))])
+    n = len(word)
+    first = np.ones(n + 1, bool)
+    first[1:-1] = sentence[1:] != sentence[:-1] if n else first[1:-1]
     seq = np.flatnonzero(first)
     if n:  # long ones in runs
         at = np.arange(n) - np.repeat(seq[:-1], np.diff(seq))
@@ -146,7 +156,7 @@ class Model:
 
     def emission(self, word: str) -> float:
         get = self.weights.get
-        return self.bias + sum([get(f, 0.0) for f in features(bare(word))])
+        return self.bias + sum([get(f, 0.0) for f in features(word.lower())])
 
 
 def evidence(marg: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -202,7 +212,7 @@ def fit(texts: list[str | None], label: np.ndarray, rounds: int = 15, totals: tu
         p = np.clip(label.mean() if len(label) else 0.0, 1e-6, 1 - 1e-6)
         return Model(-9.0, {}, np.zeros((2, 2)), np.array([np.log(p / (1 - p)), 0.0, 0.0, 0.0]))
     t = tokens(pa.array([x for x, _ in kept], pa.string()))
-    bares = [bare(w) for w in t.words.to_pylist()]
+    bares = [w.lower() for w in t.words.to_pylist()]
     used, flat, size = numbered(bares)
     owner = np.repeat(np.arange(len(size)), size)
     marked = toxic_words(t, flat, size, len(used), label)
@@ -257,10 +267,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
           most: tuple[int, int] = SAMPLE) -> Model:
     """A model from at most ``most`` labelled documents with label 0 and 1 (whole texts). In the document's
     score the two classes count by their shares of all labelled ids."""
-    got = labelled_sample(docs, labels, label, id_col, text_col, most).toArrow()
-    rows = sorted(zip(got.column("label").to_pylist(), got.column("text").to_pylist()), key=lambda r: (r[0], r[1] or ""))
     count = dict(labelled_ids(labels, label, id_col).groupBy(F.col("lo").cast("int").alias("y")).count().filter("y IN (0, 1)").collect())
-    return fit([t for _, t in rows], np.array([y for y, _ in rows]), totals=(count.get(0, 0), count.get(1, 0)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(((y, x) for b in batches for y, x in zip(b.column("label").to_pylist(), b.column("text").to_pylist())), key=lambda r: (r[0], r[1] or ""))
+        model = fit([x for _, x in rows], np.array([y for y, _ in rows]), totals=(count.get(0, 0), count.get(1, 0)))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model.bias, model.weights, model.trans, model.doc))], pa.binary())], ["model"])
+
+    # the sample, of at most sum(most) texts, meets in one task; the model comes back
+    sample = labelled_sample(docs, labels, label, id_col, text_col, most)
+    return Model(*pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").first()["model"]))
 
 
 def scorer(model: Model):

@@ -139,6 +139,6 @@ def test_candidate_links_are_few(spark):
         t[int(rng.integers(0, 300))] = f"x{i}"
         rows.append((i, " ".join(t)))
     prints = minhash.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
-    classes = write_table(prints.select(F.col("id").alias("class"), "fingerprint"), "classes")
+    classes = write_table(prints.select(F.col("id").alias("class"), F.unhex("fingerprint").alias("fingerprint")), "classes")
     links = minhash.band_links(classes, minhash.CANDIDATE)
     assert links.count() < 500 * minhash.BANDS and links.agg(F.countDistinct("b")).first()[0] >= 490

@@ -66,6 +66,22 @@ def test_score_without_evidence_is_of_all_labels(spark):
     assert (abs(score - 0.1) < 0.05).all()
 
 
+def test_every_run_of_letters_is_a_token(spark):
+    text = ["considered-stemxab, well/stemxcd.Yes no", "\u4f60\u597d\uff0c\u50bb\u74dc", "", " .. 12", "a\u2014b c\u00a0d1\u00c9f!"]
+    t = toxicity.tokens(pa.array(text))
+    words = [t.words[int(w)].as_py() for w in t.word]
+    assert words == ["considered", "stemxab", "well", "stemxcd", "yes", "no", "\u4f60\u597d", "\u50bb\u74dc", "", "", "a", "b", "c", "d", "\u00c9f"]
+    assert t.starts.tolist() == [0, 6, 8, 9, 10, 15]
+    doc = np.repeat(np.arange(5), np.diff(t.starts))
+    assert [text[d][b:b + n].lower() for d, b, n in zip(doc, t.begin, t.length)] == [w.lower() for w in words]
+    assert t.seq.tolist() == [0, 4, 6, 8, 9, 10, 15]   # a sentence ends inside well/stemxcd.Yes
+    model = toxicity.fit(*sample())
+    rows = [(i, x) for i, x in enumerate(["abc-stemxab", "abc/stemxab", "abc\u2014stemxab", "abc\u00a0stemxab", "abc,stemxab", "abc-def"])]
+    got = toxicity.score_toxicity(docs(spark, rows), model).orderBy("doc_id").collect()
+    assert [r.n_toxic_tokens for r in got] == [1, 1, 1, 1, 1, 0]
+    assert all(r.text[s["begin"]:s["end"]] == "stemxab" for r in got for s in r.spans)
+
+
 def test_chain_equals_enumeration():
     rng = np.random.default_rng(1)
     seq = np.array([0, 4, 5, 8])
@@ -97,7 +113,7 @@ def test_toxicity(spark):
     assert len(got) == len(rows) and got[0]["score_in"] == "x" and got[0]["spans_in"] == 1
     by = [r["score"] for r in got]
     assert by[0] > 0.3 and by[0] == by[4] and max(by[1], by[2], by[3], by[5], by[6]) < 0.3 and by[2] == by[3]
-    assert [rows[0][1][s["begin"]:s["end"]] for s in got[0]["spans"]] == ["STEMXab!!", "stemxcd"]
+    assert [rows[0][1][s["begin"]:s["end"]] for s in got[0]["spans"]] == ["STEMXab", "stemxcd"]   # tokens are runs of letters
     assert toxicity.score_toxicity(df.limit(0), model).count() == 0
     held = sample(200)
     s = np.asarray(toxicity.scorer(model)(pa.array(held[0]))[0])
@@ -583,3 +599,22 @@ def test_loser_tree():
     for k in (0, 1, 2, 5, 8):
         runs = [sorted(rng.integers(0, 50, int(rng.integers(0, 30))).tolist()) for _ in range(k)]
         assert list(warc.loser_tree(runs)) == sorted(x for r in runs for x in r)
+
+
+def test_columns_of_internal_names(spark):
+    """Columns that bear an internal or a result's name, and maps inside other values, stay as they are."""
+    long = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, long, "s", 1, 2, 3, 4, 5, [{"a": 1}], ({"b": {"c": 2}},)), (1, long, "s", 1, 2, 3, 4, 5, [{"a": 1}], ({"b": {"c": 2}},)),
+            (2, long + " x", "t", 1, 2, 3, 4, 5, [None], (None,)), (3, "other", None, 1, 2, 3, 4, 5, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __id int, __leak int, __block int, __source int, __copies int, "
+                                     "m array<map<string,int>>, n struct<x: map<string,map<string,int>>>")
+    kept = simhash_dedup.keep_one(df, 4, 30 // 8)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) in ([1, 3], [1, 2, 3])
+    bench = spark.createDataFrame([(9, long)], "item_id long, text string")
+    clean = decontamination.decontaminate(df, bench)
+    assert clean.columns == df.columns and [r.doc_id for r in clean.collect()] == [3]
+    mixed = mixing.mix(df, repetition=2.0)
+    assert mixed.columns == [*df.columns, "copy", "slot"] and mixed.filter("__source = 4").count() == mixed.count() >= 4
+    named = df.select(F.col("text").alias("score"), F.col("doc_id").alias("spans"))
+    got = toxicity.score_toxicity(named, toxicity.fit(*sample()), "score").collect()
+    assert len(got) == 4 and got[0]["score_in"] == long and got[0]["spans_in"] == 1
