@@ -30,7 +30,11 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, repetition=REPETITION).select(*clear_back(docs, ["copy", "slot"]))
+    """The mixed rows in the order of their slots, which the written table keeps: its tasks' ranges of slots hold
+    the sources interleaved block by block, and so do the packed rows made of them."""
+    mixed = mixing.mix(docs, repetition=REPETITION)
+    order = [F.col("slot"), F.xxhash64("doc_id", "text")]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*clear_back(docs, ["copy", "slot"]))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
