@@ -29,12 +29,9 @@ from contentrisk.sources.landing import (
     scan_text_json,
 )
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
+from contentrisk.streaming.compaction import append_batch
 from contentrisk.streaming.enrichment import read_latest, start_image_enrichment, start_text_enrichment
 
-#: Where the batch job writes within an enriched table (the streams have folders of their own).
-BATCH_FOLDER = "stream=batch/batch_id=0"
-
-
 @dataclass
 class PipelineConfig:
     """The settings the reference keeps in its YAML file, as parameters."""
@@ -80,12 +77,11 @@ def run_batch_enrichment(spark: SparkSession, cfg: PipelineConfig, dictionary: T
                          engine: str = "arrow", extractor="html") -> tuple[DataFrame, DataFrame]:
     """Batch twin of the streams: enrich both raw tables into the enriched tables.
 
-    Batch rows go to a folder of their own in the layout that the streams use, so
-    neither overwrites the other; what comes back is the latest row per key of all.
+    Each run is a batch of its own in the layout that the streams use, so none overwrites
+    another; what comes back is the latest row per key of all.
     """
-    parts = ["threat_severity", "source"]
-    write_table(enrich_text(read_table(spark, cfg.table("text_raw"), TEXT_RAW), dictionary, engine=engine)
-                .drop("combined_text"), "text_enriched", parts, path=f"{cfg.table('text_enriched')}/{BATCH_FOLDER}")
+    append_batch(enrich_text(read_table(spark, cfg.table("text_raw"), TEXT_RAW), dictionary, engine=engine).drop("combined_text"),
+                 cfg.table("text_enriched"), "content_hash")
     images_raw = read_table(spark, cfg.table("images_raw"))
     if "content" not in images_raw.columns:
         if cfg.image_files:
@@ -93,7 +89,7 @@ def run_batch_enrichment(spark: SparkSession, cfg: PipelineConfig, dictionary: T
         else:   # metadata only: no bytes to extract from
             images_raw = images_raw.withColumn("content", F.lit(None).cast("binary"))
     images = enrich_images(images_raw, dictionary, extractor=extractor, engine=engine)
-    write_table(images, "images_enriched", parts, path=f"{cfg.table('images_enriched')}/{BATCH_FOLDER}")
+    append_batch(images, cfg.table("images_enriched"), "image_hash")
     return enriched(spark, cfg)
 
 

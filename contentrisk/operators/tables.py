@@ -17,7 +17,7 @@ from contentrisk.session import scratch_path
 
 
 #: Partition columns of the raw and enriched tables that hold text.
-STRING_PARTITIONS = ("source", "threat_severity", "stream")
+STRING_PARTITIONS = ("source", "threat_severity", "stream", "attempt")
 
 
 def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None,

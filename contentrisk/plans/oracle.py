@@ -224,6 +224,8 @@ FROM images_enriched""")
 SELECT id, source, content_hash, is_threat, threat_severity,
        array_to_string(threat_categories, '|') AS threat_categories
 FROM text_enriched""")
+    # whatever was enriched first, folded or written again: the last enrichment of each row counts
+    out["compacted_upserts"] = out["stream_enrich_text"]
     out["stream_enrich_images"] = _with("""x AS (SELECT 1)
 SELECT id, source, image_hash, ocr_success, text_length, is_threat, threat_severity,
        array_to_string(threat_categories, '|') AS threat_categories

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentrisk.functions.dictionary import analysis_dictionary
+from contentrisk.functions.dictionary import analysis_dictionary, reference_dictionary
 from contentrisk.functions.matching import detect_threats_join, flatten_match_strings
 from contentrisk.functions.matching_arrow import keyword_hits
 from contentrisk.functions.text import url_host
@@ -44,7 +44,8 @@ from contentrisk.sources.normalize import (
     union_sources,
     valid_content,
 )
-from contentrisk.streaming.enrichment import read_latest, start_image_enrichment, start_text_enrichment
+from contentrisk.streaming.compaction import append_batch, compact, read_latest
+from contentrisk.streaming.enrichment import start_image_enrichment, start_text_enrichment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -515,7 +516,37 @@ def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(metrics).agg(*[F.sum(c).alias(c) for c in ("records", "threats", "ocr_success")])
 
 
+def q_compacted_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch, compaction, a rerun of the batch, compaction, a stream, another rerun: read behind the snapshot.
+
+    The first run knows the published dictionary only; each later step enriches some languages anew, so the
+    table is right only if every step's rows replace those before.
+    """
+    pin_utc(spark)
+    raw = testdata.text_raw(spark, sf_dir)
+    target, snapshot, landed = (scratch_path(spark, n) for n in ("upserts", "upserts_snapshot", "upserts_raw"))
+
+    def batch(dictionary, days: int, *langs: str) -> None:
+        rows = raw.where(F.col("metadata")["lang"].isin(*langs)) if langs else raw
+        ts = F.col("ingestion_timestamp") + F.expr(f"INTERVAL {days} DAY")
+        append_batch(enrich_text(rows, dictionary, enrichment_ts=ts).drop("combined_text"), target, "content_hash")
+
+    batch(reference_dictionary(), 0)
+    compact(spark, target, "content_hash", snapshot)
+    batch(analysis_dictionary(), 1, "fr", "de")
+    compact(spark, target, "content_hash", snapshot)
+    raw.where(F.col("metadata")["lang"] == "es").write.mode("append").parquet(landed)
+    q = start_text_enrichment(spark, landed, target, analysis_dictionary(), trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    batch(analysis_dictionary(), 2, "en")
+    out = read_latest(spark, target, "content_hash", snapshot)
+    return out.select("id", "source", "content_hash", "is_threat", "threat_severity", _joined("threat_categories").alias("threat_categories"))
+
+
 QUERIES.update({
+    "compacted_upserts": q_compacted_upserts,
     "stream_enrich_text": q_stream_enrich_text,
     "stream_enrich_images": q_stream_enrich_images,
     "batch_metrics": q_batch_metrics,

@@ -3,14 +3,15 @@
 Source: the append-only raw table folder (file source, declared schema).
 Transform: the same ``enrich_text`` / ``enrich_images`` used in batch.
 Sink: ``foreachBatch`` writes each micro-batch, reduced to one row per key,
-into its own folder ``<target>/stream=<token>/batch_id=<n>/`` partitioned by
-(threat_severity, source), overwriting only that folder. A batch retried
+into its own folder ``<target>/stream=<token>/batch_id=<n>/attempt=<id>/`` partitioned by
+(threat_severity, source), overwriting only that batch's folder. A batch retried
 after a failure therefore replaces itself, and a replayed input file only
-adds rows that latest-wins reading collapses by key. ``read_latest`` gives
-the upserted table; ``compact`` folds it into one snapshot folder.
+adds rows that latest-wins reading collapses by key. ``read_latest`` and
+``compact`` (in ``compaction``) give the upserted table and fold it into a snapshot.
 
 ``token`` comes from the checkpoint path: batch ids restart at 0 with a new
-checkpoint, so each checkpoint writes under its own token.
+checkpoint, so each checkpoint writes under its own token. The batch job writes under
+the token ``batch``, each run as a batch of its own (``compaction.append_batch``).
 """
 
 from __future__ import annotations
@@ -26,14 +27,10 @@ from contentrisk.functions.dictionary import ThreatDictionary
 from contentrisk.operators.enrich import enrich_images, enrich_text
 from contentrisk.operators.extract import attach_content, same_path
 from contentrisk.operators.stats import batch_metrics
-from contentrisk.operators.tables import dedupe_latest, read_table, rebalance_for_write
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 from contentrisk.session import scratch_path
 from contentrisk.sources.landing import scan_binary_files
-
-# Latest-wins order: newest enrichment, then the later batch, then id.
-ORDER_LATEST = [("enrichment_timestamp", False), ("batch_id", False), ("id", True)]
-
+from contentrisk.streaming.compaction import compact, read_latest, write_batch  # noqa: F401
 
 def stream_token(checkpoint: str) -> str:
     return hashlib.md5(checkpoint.encode("utf-8")).hexdigest()[:12]
@@ -47,10 +44,7 @@ def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | N
         try:
             if batch.isEmpty():
                 return
-            one_per_key = dedupe_latest(batch, key, [("enrichment_timestamp", False), ("id", True)])
-            (rebalance_for_write(one_per_key, ["threat_severity", "source"]).write.mode("overwrite")
-             .partitionBy("threat_severity", "source")
-             .parquet(f"{target}/stream={token}/batch_id={batch_id}"))
+            write_batch(batch, target, token, batch_id, key)
             if metrics_path:
                 # the folder name carries batch_id (read back as a partition column)
                 batch_metrics(batch).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
@@ -122,41 +116,3 @@ def start_image_enrichment(spark: SparkSession, source: str, target: str, dictio
         enriched = enrich_images(stream, dictionary, extractor=extractor, content_col=content_col)
     return _start(enriched, target, checkpoint or scratch_path(spark, "ckpt_images"), "image_hash",
                   trigger or {"processingTime": "10 seconds"}, metrics_path, "image_enrichment", prepare)
-
-
-def read_latest(spark: SparkSession, target: str, key: str, snapshot: str | None = None) -> DataFrame:
-    """The upserted table: the latest row per key over every batch folder.
-
-    With ``snapshot`` (written by ``compact``), only batch folders newer than the
-    snapshot are read (a filter on the partition columns, so older folders are pruned)
-    and combined with it.
-    """
-    if snapshot is None:
-        return dedupe_latest(read_table(spark, target), key, ORDER_LATEST).drop("stream", "batch_id")
-    snap = read_table(spark, f"{snapshot}/rows")
-    # One row per stream token folded into the snapshot: bounded by the number of streams.
-    through = {r["stream"]: r["batch_id"] for r in spark.read.parquet(f"{snapshot}/through").collect()}
-    newer = F.lit(True)
-    if through:
-        newer = ~F.col("stream").isin(list(through))
-        for token, last in through.items():
-            newer = newer | ((F.col("stream") == token) & (F.col("batch_id") > last))
-    recent = read_table(spark, target).where(newer)
-    both = snap.unionByName(recent.select(*snap.columns))
-    return dedupe_latest(both, key, ORDER_LATEST).drop("stream", "batch_id")
-
-
-def compact(spark: SparkSession, target: str, key: str, snapshot: str) -> DataFrame:
-    """Fold all batches into a snapshot folder (new folder; the batch folders stay as they are).
-
-    Writes ``<snapshot>/rows`` (latest row per key, keeping its stream / batch_id) and
-    ``<snapshot>/through`` (the last batch folded per stream token), so that
-    ``read_latest(..., snapshot=...)`` only has to read newer batches.
-    """
-    all_rows = read_table(spark, target)
-    latest = dedupe_latest(all_rows, key, ORDER_LATEST)
-    rebalance_for_write(latest, ["threat_severity", "source"]).write.mode("overwrite") \
-        .partitionBy("threat_severity", "source").parquet(f"{snapshot}/rows")
-    all_rows.groupBy("stream").agg(F.max("batch_id").alias("batch_id")) \
-        .write.mode("overwrite").parquet(f"{snapshot}/through")
-    return read_table(spark, f"{snapshot}/rows").drop("stream", "batch_id")
