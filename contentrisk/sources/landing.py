@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 
 from contentrisk.functions.dictionary import ThreatDictionary
 from contentrisk.schemas import DICTIONARY_FILE, IMAGE_LANDING, TEXT_LANDING
+from contentrisk.sources.json_arrays import scan_json_arrays
 
 
 def scan_text_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Landed text records. ``multi_line=True`` for files holding one JSON array each."""
-    return spark.read.schema(TEXT_LANDING).option("multiLine", multi_line).json(path)
+    """Landed text records. ``multi_line=True`` for files holding one JSON array each, dealt over as many
+    tasks as their size makes splits (``json_arrays``)."""
+    return scan_json_arrays(spark, path, TEXT_LANDING) if multi_line else spark.read.schema(TEXT_LANDING).json(path)
 
 
 def scan_image_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    return spark.read.schema(IMAGE_LANDING).option("multiLine", multi_line).json(path)
+    return scan_json_arrays(spark, path, IMAGE_LANDING) if multi_line else spark.read.schema(IMAGE_LANDING).json(path)
 
 
 def scan_binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
