@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from contentrisk.functions.text import content_hash, image_hash
 from contentrisk.operators.enrich import TsSpec, ts_column
-from contentrisk.operators.tables import read_table, dedupe_latest, new_rows_only, rebalance_for_write
+from contentrisk.operators.key_filter import rows_of_new_keys
+from contentrisk.operators.tables import dedupe_latest, read_table, rebalance_for_write
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 
 
@@ -34,7 +35,8 @@ def load_raw(new: DataFrame, table_path: str, key: str, partition_by: str = "sou
     """Idempotent load: append only keys the table does not hold yet.
 
     The table folder stays append-only (a clean file-stream source); loading the
-    same landing files again appends nothing.
+    same landing files again appends nothing. What the table holds is told by a
+    filter beside it (``key_filter``), so a load doesn't read the table's keys.
     """
     spark = new.sparkSession
     try:
@@ -43,5 +45,5 @@ def load_raw(new: DataFrame, table_path: str, key: str, partition_by: str = "sou
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         existing = None   # no table yet
-    rows = dedupe_latest(new, key) if existing is None else new_rows_only(existing, new, key)
+    rows = dedupe_latest(new if existing is None else rows_of_new_keys(existing, table_path, new, key), key)
     rebalance_for_write(rows, [partition_by]).write.mode("append").partitionBy(partition_by).parquet(table_path)

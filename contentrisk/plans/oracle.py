@@ -288,6 +288,7 @@ src AS (SELECT id, source, content_hash FROM text_raw UNION ALL SELECT id, sourc
 SELECT * FROM tgt
 UNION ALL
 SELECT DISTINCT * FROM src WHERE content_hash NOT IN (SELECT content_hash FROM tgt)""")
+    out["load_raw"] = _with("x AS (SELECT 1)\nSELECT id, source, content_hash FROM text_raw")
     out["merge_upsert"] = _with(f"""fb AS (
   SELECT id, CASE WHEN {_any_contains('text', FALLBACK_A_WORDS)} THEN true ELSE false END AS hit FROM text_raw)
 SELECT r.id, r.content_hash,
@@ -393,6 +394,7 @@ FROM (SELECT 'page_' || CAST(page_id AS VARCHAR) AS id,
 WHERE {kinds}""")
     out["scan_text_json"] = _with("""x AS (SELECT 1)
 SELECT id, source, title, text, url, timestamp, NULL::VARCHAR AS author, lang FROM text_raw""")
+    out["scan_text_arrays"] = out["scan_text_json"]
     out["scan_image_json"] = _with("""x AS (SELECT 1)
 SELECT id, source, filepath, file_size, timestamp FROM images_raw""")
     return out

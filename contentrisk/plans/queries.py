@@ -25,10 +25,10 @@ from contentrisk.functions.text import url_host
 from contentrisk.operators import stats
 from contentrisk.operators.enrich import enrich_images, enrich_text
 from contentrisk.operators.extract import extract_text
-from contentrisk.operators.ingest import ingest_images, ingest_text
+from contentrisk.operators.ingest import ingest_images, ingest_text, load_raw
 from contentrisk.operators.partitioning import cores_beyond_splits, spread_for_cpu
 from contentrisk.operators.prepare import fallback_enrich, harmonize_schema
-from contentrisk.operators.tables import merge_insert_only, merge_upsert, write_table
+from contentrisk.operators.tables import merge_insert_only, merge_upsert, read_table, write_table
 from contentrisk.plans import analytics
 from contentrisk.schemas import IMAGE_LANDING, TEXT_LANDING
 from contentrisk.session import pin_utc, scratch_path
@@ -268,6 +268,16 @@ def q_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("id", "source", "content_hash")
 
 
+def q_load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed records loaded in parts that overlap, one of them twice, then all of them once more."""
+    raw = testdata.text_raw(spark, sf_dir)
+    path = scratch_path(spark, "raw_loads")
+    lang = F.col("metadata")["lang"]
+    for part in (raw.where(lang.isin("en", "fr")), raw.where(lang.isin("fr", "de")), raw.where(lang.isin("fr", "de")), raw):
+        load_raw(part, path, "content_hash")
+    return read_table(spark, path).select("id", "source", "content_hash")
+
+
 def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: fallback-classified rows; source: re-enriched fr/de rows one day later, replayed."""
     raw = testdata.text_raw(spark, sf_dir)
@@ -322,6 +332,7 @@ QUERIES.update({
     "ingest_images": q_ingest_images,
     "merge_insert_only": q_merge_insert_only,
     "merge_upsert": q_merge_upsert,
+    "load_raw": q_load_raw,
     "ingest_stats_text": q_ingest_stats_text,
     "ingest_stats_images": q_ingest_stats_images,
     "records_by_source": q_records_by_source,
@@ -455,6 +466,21 @@ def q_scan_text_json(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               F.col("metadata")["lang"].alias("lang"))
 
 
+def q_scan_text_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land text records as the collectors do, an indented JSON array a file, and read them by many tasks."""
+    path = scratch_path(spark, "landing_arrays")
+    records = text_landing(spark, sf_dir).select(F.to_json(F.struct(*TEXT_LANDING.fieldNames()), {"pretty": "true", "ignoreNullFields": "false"}).alias("value"))
+    # a file is what a task writes: the records with a comma behind each, between brackets
+    task = F.spark_partition_id()
+    records = records.repartition(2).select(task.alias("task"), F.lit(1).alias("line"), F.concat("value", F.lit(",")).alias("value"))
+    ends = records.select("task").distinct()
+    ends = (ends.select("task", F.lit(0).alias("line"), F.lit("[").alias("value"))
+            .unionByName(ends.select("task", F.lit(2).alias("line"), F.lit("{}]").alias("value"))))   # the last one is empty
+    records.unionByName(ends).repartition("task").sortWithinPartitions("task", "line").select("value").write.mode("overwrite").text(path)
+    return (scan_text_json(spark, path, multi_line=True).where("id IS NOT NULL")
+            .select("id", "source", "title", "text", "url", "timestamp", "author", F.col("metadata")["lang"].alias("lang")))
+
+
 def q_scan_image_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing_images")
     image_landing(spark, sf_dir).write.mode("overwrite").json(path)
@@ -471,6 +497,7 @@ QUERIES.update({
     "image_valid_filter": q_image_valid_filter,
     "collection_stats_images": q_collection_stats_images,
     "scan_text_json": q_scan_text_json,
+    "scan_text_arrays": q_scan_text_arrays,
     "scan_image_json": q_scan_image_json,
 })
 
