@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MB = 1024 * 1024
@@ -49,9 +49,14 @@ def severity_counts(enriched: DataFrame) -> DataFrame:
             .orderBy(F.desc("count"), "threat_severity"))
 
 
-def batch_metrics(batch: DataFrame) -> DataFrame:
-    """Per micro-batch: records, threats, successful extractions (one pass)."""
+def batch_counts(batch: DataFrame) -> list[Column]:
+    """Per micro-batch: records, threats, successful extractions, as aggregates that a write can observe."""
     cols = [F.count(F.lit(1)).alias("records"), F.count_if(F.col("is_threat")).alias("threats")]
     if "ocr_success" in batch.columns:
         cols.append(F.count_if(F.col("ocr_success")).alias("ocr_success"))
-    return batch.agg(*cols)
+    return cols
+
+
+def batch_metrics(batch: DataFrame) -> DataFrame:
+    """The same of a written batch, in one pass."""
+    return batch.agg(*batch_counts(batch))

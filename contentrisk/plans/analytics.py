@@ -7,10 +7,9 @@ double. Dates are UTC days of ``enrichment_timestamp``.
 
 Scale notes: every query is a scan -> filter -> (explode) -> partial hash
 aggregate -> shuffle of small per-partition partials. Windows and sorts only
-ever see aggregated rows (days x sources x categories), never raw rows. The
-"latest per category" query uses a ``min_by`` aggregate instead of a window
-over raw rows, so a category holding a third of all rows still costs one
-partial aggregate per task and a tiny shuffle.
+ever see aggregated rows (days x sources x categories), never raw rows; the
+"latest per category" query's window is cut to one narrow row per category and task
+before its shuffle.
 """
 
 from __future__ import annotations
@@ -74,16 +73,17 @@ def daily_threat_categories(text: DataFrame, images: DataFrame) -> DataFrame:
 def _latest_per_category(df: DataFrame, as_of: str | None, payload: list) -> DataFrame:
     """Top-1 per category by (enrichment_timestamp desc, id asc).
 
-    The latest time of each category comes from a hash aggregate of two columns; only rows
-    of that time (one per category and tie) carry a payload, and ``min_by`` combines those
-    map-side, so neither a hot category nor one large tie lands whole on one task.
+    ``row_number = 1`` over narrow columns: each task keeps one row a category before the shuffle
+    (WindowGroupLimit), whatever the ties, so a hot category never lands on one task. The winners, one row
+    a category of the dictionary, are broadcast to fetch their payload.
     """
     since = F.date_sub(F.current_date() if as_of is None else F.to_date(F.lit(as_of)), 7)
     recent = df.where((F.col("is_threat") == F.lit(True)) & (F.col("enrichment_timestamp") >= since))
-    exploded = recent.select("*", F.explode("threat_categories").alias("threat_category"))
-    top = exploded.groupBy("threat_category").agg(F.max("enrichment_timestamp").alias("enrichment_timestamp"))
-    best = (exploded.join(top, ["threat_category", "enrichment_timestamp"])
-            .groupBy("threat_category").agg(F.min_by(F.struct(*payload), F.col("id")).alias("best")))
+    exploded = recent.select("id", "enrichment_timestamp", F.explode("threat_categories").alias("threat_category"))
+    first = F.row_number().over(Window.partitionBy("threat_category").orderBy(F.desc("enrichment_timestamp"), "id"))
+    won = exploded.withColumn("rn", first).where("rn = 1").select("threat_category", F.col("id").alias("won_id"), F.col("enrichment_timestamp").alias("won_at"))
+    best = (recent.join(F.broadcast(won), F.col("id").eqNullSafe(F.col("won_id")) & (F.col("enrichment_timestamp") == F.col("won_at")))
+            .groupBy("threat_category").agg(F.first(F.struct(*payload)).alias("best")))   # of equal rows any
     return best.select("threat_category", "best.*")
 
 
@@ -145,8 +145,13 @@ def top_sources(text: DataFrame, images: DataFrame) -> DataFrame:
             .unionByName(_exploded_threats(images, "image", "source").drop("content_type")))
     counts = (both.groupBy("source", "threat_category").agg(F.count(F.lit(1)).alias("threat_count"))
               .where(F.col("threat_count") > 0))
-    rank = F.rank().over(Window.partitionBy("threat_category").orderBy(F.desc("threat_count")))
-    return (counts.select("threat_category", "source", "threat_count", rank.cast("bigint").alias("source_rank"))
+    # The rank is one more than the number of sources with a larger count, and depends on the count alone. The
+    # window orders the distinct counts of a category: of n rows, at most sqrt(2n), however many sources.
+    by_count = counts.groupBy("threat_category", "threat_count").agg(F.count(F.lit(1)).alias("sources"))
+    larger = Window.partitionBy("threat_category").orderBy(F.desc("threat_count")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = by_count.select("threat_category", "threat_count", (F.coalesce(F.sum("sources").over(larger), F.lit(0)) + 1).alias("source_rank"))
+    return (counts.join(ranks, ["threat_category", "threat_count"])
+            .select("threat_category", "source", "threat_count", "source_rank")
             .orderBy("threat_category", F.desc("threat_count"), "source"))
 
 

@@ -224,6 +224,10 @@ FROM images_enriched""")
 SELECT id, source, content_hash, is_threat, threat_severity,
        array_to_string(threat_categories, '|') AS threat_categories
 FROM text_enriched""")
+    out["maintained_stats"] = _with("""x AS (SELECT 1)
+SELECT 'severity' AS kind, threat_severity AS name, count(*) AS "count" FROM text_enriched GROUP BY ALL
+UNION ALL
+SELECT 'category', u.cat, count(*) FROM text_enriched t, unnest(t.threat_categories) AS u(cat) GROUP BY ALL""")
     # whatever was enriched first, folded or written again: the last enrichment of each row counts
     out["compacted_upserts"] = out["stream_enrich_text"]
     out["stream_enrich_images"] = _with("""x AS (SELECT 1)

@@ -44,8 +44,9 @@ from contentrisk.sources.normalize import (
     union_sources,
     valid_content,
 )
-from contentrisk.streaming.compaction import append_batch, compact, read_latest
+from contentrisk.streaming.compaction import BATCH_JOB, append_batch, compact, read_latest, write_batch
 from contentrisk.streaming.enrichment import start_image_enrichment, start_text_enrichment
+from contentrisk.streaming.maintained import category_distribution, maintained, severity_counts, write_deltas
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -572,7 +573,25 @@ def q_compacted_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "source", "content_hash", "is_threat", "threat_severity", _joined("threat_categories").alias("threat_categories"))
 
 
+def q_maintained_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by severity and threats by category, kept by deltas over batches that replace each other's rows."""
+    pin_utc(spark)
+    raw = testdata.text_raw(spark, sf_dir)
+    target, statistics = scratch_path(spark, "kept_table"), scratch_path(spark, "kept_stats")
+    steps = [(reference_dictionary(), ("en", "fr", "de", "es")), (analysis_dictionary(), ("fr", "de")), (analysis_dictionary(), ("en", "es"))]
+    for day, (dictionary, langs) in enumerate(steps):
+        ts = F.col("ingestion_timestamp") + F.expr(f"INTERVAL {day} DAY")
+        rows = enrich_text(raw.where(F.col("metadata")["lang"].isin(*langs)), dictionary, enrichment_ts=ts).drop("combined_text")
+        write_batch(rows, target, BATCH_JOB, day, "content_hash")
+        write_deltas(spark, target, statistics, BATCH_JOB, day, "content_hash")
+    kept = maintained(spark, statistics)
+    return (severity_counts(kept).select(F.lit("severity").alias("kind"), F.col("threat_severity").alias("name"), "count")
+            .unionByName(category_distribution(kept).select(F.lit("category").alias("kind"), F.col("category").alias("name"), "count"))
+            .where("count > 0"))
+
+
 QUERIES.update({
+    "maintained_stats": q_maintained_stats,
     "compacted_upserts": q_compacted_upserts,
     "stream_enrich_text": q_stream_enrich_text,
     "stream_enrich_images": q_stream_enrich_images,

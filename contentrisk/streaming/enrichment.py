@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -26,30 +26,36 @@ from pyspark.sql.streaming import StreamingQuery
 from contentrisk.functions.dictionary import ThreatDictionary
 from contentrisk.operators.enrich import enrich_images, enrich_text
 from contentrisk.operators.extract import attach_content, same_path
-from contentrisk.operators.stats import batch_metrics
+from contentrisk.operators.stats import batch_counts
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 from contentrisk.session import scratch_path
 from contentrisk.sources.landing import scan_binary_files
 from contentrisk.streaming.compaction import compact, read_latest, write_batch  # noqa: F401
+from contentrisk.streaming.maintained import write_deltas
 
 def stream_token(checkpoint: str) -> str:
     return hashlib.md5(checkpoint.encode("utf-8")).hexdigest()[:12]
 
 
-def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | None = None, prepare=None):
-    """foreachBatch function: ``prepare`` (if any), dedupe by key, write this batch's own folder, log metrics."""
+def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | None = None, prepare=None,
+                        statistics: str | None = None, snapshot: str | None = None):
+    """foreachBatch function: ``prepare`` (if any), dedupe by key, write this batch's own folder, log its metrics
+    and count it into the maintained ``statistics``. The metrics are observed while the rows are written, so a batch is
+    read and enriched once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = (prepare(batch) if prepare else batch).persist()
-        try:
-            if batch.isEmpty():
-                return
-            write_batch(batch, target, token, batch_id, key)
-            if metrics_path:
-                # the folder name carries batch_id (read back as a partition column)
-                batch_metrics(batch).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        batch = prepare(batch) if prepare else batch
+        spark, seen = batch.sparkSession, Observation()
+        write_batch(batch.observe(seen, *batch_counts(batch)), target, token, batch_id, key)
+        got = seen.get
+        if not got.get("records"):
+            return
+        if metrics_path:
+            # the folder name carries batch_id (read back as a partition column)
+            row = spark.createDataFrame([tuple(got.values())], ", ".join(f"{c} long" for c in got))
+            row.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
+        if statistics:
+            write_deltas(spark, target, statistics, token, batch_id, key, snapshot)
 
     return write
 

@@ -25,12 +25,19 @@ def test_analytics_push_filters_and_prune(spark):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
-def test_latest_per_category_combines_map_side(spark):
+def test_latest_per_category_is_cut_before_the_shuffle(spark):
     text, images = Q.enriched_tables(spark, SF_SMALL)
     p = plan(A.latest_threats(text, images))
-    assert "Window" not in p                   # top-1 as an aggregate, partial before the shuffle
-    assert "partial_min_by" in p
-    assert "partial_max(enrichment_timestamp" in p   # a hash aggregate finds the time; min_by sees its ties only
+    assert p.count("WindowGroupLimit") == 4    # of each table: one row a category and task, then one a category
+    assert "SortAggregate [threat_category" not in p and "preview" not in p.split("WindowGroupLimit")[-1].split("Exchange")[0]
+
+
+def test_rank_orders_counts_not_sources(spark):
+    text, images = Q.enriched_tables(spark, SF_SMALL)
+    p = plan(A.top_sources(text, images))
+    window = [line for line in p.splitlines() if " Window " in line or line.strip().startswith("+- Window")]
+    assert window and all("source#" not in line.split("windowspecdefinition")[1] for line in window)
+    assert "rank(" not in p
 
 
 def test_dedupe_orders_by_narrow_columns_and_cuts_copies_before_the_shuffle(spark):
