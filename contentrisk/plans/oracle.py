@@ -383,13 +383,25 @@ SELECT COUNT(*) AS total_samples,
        CAST(SUM(CASE WHEN contains(id, 'reddit') THEN 1 ELSE 0 END) AS BIGINT) AS reddit
 FROM collected""")
     out["image_catalog"] = _with(f"{c}\nSELECT * FROM catalog")
-    fams = ",\n       ".join(
-        f"CAST(SUM(CASE WHEN source = {q(f)} THEN 1 ELSE 0 END) AS BIGINT) AS {f}" for f in IMAGE_FAMILIES)
-    out["collection_stats_images"] = _with(f"""{c}
-SELECT COUNT(*) AS total_images,
-       {fams},
-       CAST(coalesce(SUM(file_size), 0) AS DOUBLE) / (1024 * 1024) AS total_size_mb
-FROM catalog""")
+    fams = ",\n       ".join(f"count(*) FILTER (WHERE page_id % {len(IMAGE_FAMILIES)} = {k}) AS {f}" for k, f in enumerate(IMAGE_FAMILIES))
+    out["collection_stats_images"] = _with(f"""x AS (SELECT 1)
+SELECT count(*) AS total_images, {fams}, coalesce(sum(strlen(html)), 0) / 1048576.0 AS total_size_mb FROM pages""")
+    rank = "row_number() OVER (PARTITION BY conv_id, role ORDER BY turn)"
+    out["first_items"] = _with(f"""{c},
+numbered AS (SELECT conv_id, turn, role, {rank} AS k FROM conversations)
+SELECT r.id, r.source, r.title FROM rss r
+JOIN numbered n ON r.id = 'news_' || md5('https://' || n.role || '.example.com/item/' || n.conv_id || '/' || n.turn) WHERE n.k <= 2
+UNION ALL
+SELECT s.id, s.source, s.title FROM social s JOIN numbered n ON s.id = 'reddit_' || n.conv_id || '_' || n.turn WHERE n.k <= 2""")
+    out["broken_payloads"] = _with(f"""{c},
+groups AS (SELECT DISTINCT conv_id, role FROM conversations),
+reasons(kind, name) AS (VALUES ('rss', 'unreadable'), ('rss', 'unreadable'), ('rss', 'no payload'),
+                        ('social', 'unreadable'), ('social', 'no items'), ('social', 'no payload'))
+SELECT 'record' AS kind, source AS name, count(*) AS n FROM collected GROUP BY ALL
+UNION ALL
+SELECT kind, name, count(*) FROM reasons, groups GROUP BY ALL
+UNION ALL
+SELECT 'wiki', u.name, count(*) FROM documents, (VALUES ('unreadable'), ('no payload')) AS u(name) GROUP BY ALL""")
     kinds = " OR ".join(f"starts_with(head, {q(o)})" for o in HTML_OPENINGS)
     out["image_valid_filter"] = _with(f"""x AS (SELECT 1)
 SELECT id, 'html' AS content_kind

@@ -35,12 +35,14 @@ from contentrisk.session import pin_utc, scratch_path
 from contentrisk.sources import testdata
 from contentrisk.sources.landing import dictionary_frame, keyword_lookup, scan_image_json, scan_text_json
 from contentrisk.sources.normalize import (
+    IMAGE_FAMILIES,
     collection_stats_images,
     collection_stats_text,
     image_catalog,
     normalize_rss,
     normalize_social,
     normalize_wiki,
+    rejected_payloads,
     union_sources,
     valid_content,
 )
@@ -249,13 +251,21 @@ def image_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testdata.images_raw(spark, sf_dir).select(*IMAGE_LANDING.fieldNames())
 
 
+def with_nulls(landing: DataFrame, *required: str) -> DataFrame:
+    """Every record, and beside it a copy without each of its required fields: those are not to be ingested."""
+    out = landing
+    for c in required:
+        out = out.unionByName(landing.withColumn(c, F.lit(None).cast("string")))
+    return out
+
+
 def q_ingest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ingest_text(text_landing(spark, sf_dir), as_of=testdata.TEST_AS_OF)
+    out = ingest_text(with_nulls(text_landing(spark, sf_dir), "id", "text", "source"), as_of=testdata.TEST_AS_OF)
     return out.select("id", "source", "title", "text", "timestamp", "ingestion_timestamp", "content_hash")
 
 
 def q_ingest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ingest_images(image_landing(spark, sf_dir), as_of=testdata.TEST_AS_OF)
+    out = ingest_images(with_nulls(image_landing(spark, sf_dir), "id", "filepath", "source"), as_of=testdata.TEST_AS_OF)
     return out.select("id", "source", "filepath", "file_size", "timestamp", "ingestion_timestamp",
                       "image_hash")
 
@@ -372,8 +382,11 @@ def social_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("role").alias("author"), F.col("turn").alias("score"),
         F.length("text").cast("bigint").alias("num_comments"),
         (F.col("turn") % 2 == 1).alias("is_video"))
-    listing = F.struct(F.struct(F.array(F.struct(child.alias("data"))).alias("children")).alias("data"))
-    return c.select(F.to_json(listing).alias("payload"), F.col("role").alias("subreddit"))
+    # a conversation's turns of one role are a listing's children, in order
+    own = c.select("conv_id", F.col("role").alias("subreddit"), F.struct("turn", F.struct(child.alias("data")).alias("child")).alias("c"))
+    children = F.transform(F.array_sort(F.collect_list("c")), lambda x: x["child"])
+    return (own.groupBy("conv_id", "subreddit").agg(children.alias("children"))
+            .select(F.to_json(F.struct(F.struct("children").alias("data"))).alias("payload"), "subreddit"))
 
 
 def _xml_escape(col: Column) -> Column:
@@ -399,9 +412,12 @@ def rss_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("turn") % 2 == 0, _xml_elem("pubDate", pub)),
         F.when(F.col("role") == "user", _xml_elem("author", _s("conv_id"))),
         F.lit("</item>"))
-    feed = F.concat(F.lit('<rss version="2.0"><channel><title>feed</title>'), item, F.lit("</channel></rss>"))
-    return c.select(feed.alias("payload"),
-                    F.concat(F.lit("https://"), F.col("role"), F.lit(".example.com/rss.xml")).alias("feed_url"))
+    # a conversation's turns of one role are a feed's items, in order
+    own = c.select("conv_id", "role", F.struct("turn", item.alias("item")).alias("i"))
+    items = F.array_join(F.transform(F.array_sort(F.collect_list("i")), lambda x: x["item"]), "")
+    feed = F.concat(F.lit('<rss version="2.0"><channel><title>feed</title>'), items, F.lit("</channel></rss>"))
+    return (own.groupBy("conv_id", "role").agg(feed.alias("payload"))
+            .select("payload", F.concat(F.lit("https://"), F.col("role"), F.lit(".example.com/rss.xml")).alias("feed_url")))
 
 
 def q_normalize_wiki(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,6 +440,29 @@ def q_normalize_rss(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("metadata")["category"].alias("category"))
 
 
+def q_first_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two items of each feed and listing."""
+    news = normalize_rss(rss_feeds(spark, sf_dir), collected_at=testdata.TEST_AS_OF, max_items=2)
+    return news.unionByName(normalize_social(social_listings(spark, sf_dir), max_items=2)).select("id", "source", "title")
+
+
+def with_broken(payloads: DataFrame) -> DataFrame:
+    """Every payload, and beside it a copy cut short, one that is an error message, and none."""
+    broken = F.explode(F.array(F.col("payload"), F.expr("left(payload, length(payload) - 9)"), F.lit('{"error": 429}'), F.lit(None).cast("string")))
+    return payloads.withColumn("payload", broken)
+
+
+def q_broken_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by source, and rejected payloads by kind and reason, of collections with broken payloads in them."""
+    wiki, feeds, listings = (with_broken(f(spark, sf_dir)) for f in (wiki_payloads, rss_feeds, social_listings))
+    records = union_sources(normalize_wiki(wiki.where("payload NOT LIKE '{\"error%' OR payload IS NULL"), collected_at=testdata.TEST_AS_OF),
+                            normalize_rss(feeds, collected_at=testdata.TEST_AS_OF), normalize_social(listings))
+    rejected = union_sources(rejected_payloads(feeds, "rss"), rejected_payloads(listings, "social"),
+                             rejected_payloads(wiki.where("payload NOT LIKE '{\"error%' OR payload IS NULL"), "wiki"))
+    return (records.groupBy("source").agg(F.count(F.lit(1)).alias("n")).select(F.lit("record").alias("kind"), F.col("source").alias("name"), "n")
+            .unionByName(rejected.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n")).select("kind", F.col("reason").alias("name"), "n")))
+
+
 def collected_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_sources(
         normalize_wiki(wiki_payloads(spark, sf_dir), collected_at=testdata.TEST_AS_OF),
@@ -456,7 +495,8 @@ def q_image_valid_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_collection_stats_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collection_stats_images(image_catalog(page_files(spark, sf_dir)))
+    family = F.element_at(F.lit(IMAGE_FAMILIES), (F.col("page_id") % len(IMAGE_FAMILIES) + 1).cast("int"))
+    return collection_stats_images(image_catalog(page_files(spark, sf_dir).withColumn("source", family)))
 
 
 def q_scan_text_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -492,6 +532,8 @@ QUERIES.update({
     "normalize_wiki": q_normalize_wiki,
     "normalize_social": q_normalize_social,
     "normalize_rss": q_normalize_rss,
+    "first_items": q_first_items,
+    "broken_payloads": q_broken_payloads,
     "union_sources": q_union_sources,
     "collection_stats_text": q_collection_stats_text,
     "image_catalog": q_image_catalog,

@@ -31,6 +31,8 @@ SOCIAL_META = {"type": "social_media", "platform": "reddit"}
 SOCIAL_URL_PREFIX = "https://reddit.com"
 UNKNOWN_AUTHOR = "Unknown"
 
+#: Where the parsers put a payload that they can't read.
+CORRUPT = "_corrupt_record"
 WIKI_SCHEMA = ("pageid bigint, title string, extract string, description string, "
                "content_urls struct<desktop: struct<page: string>>")
 RSS_SCHEMA = ("channel struct<item: array<struct<title: string, description: string, link: string, "
@@ -40,6 +42,37 @@ LISTING_SCHEMA = ("data struct<children: array<struct<data: struct<id: string, t
                   "score: bigint, num_comments: bigint, is_video: boolean>>>>")
 
 
+#: By kind of payload: its schema, its parser, and the part that lists its items.
+PAYLOADS = {
+    "wiki": (WIKI_SCHEMA, F.from_json, None),
+    "rss": (RSS_SCHEMA, F.from_xml, "channel"),
+    "social": (LISTING_SCHEMA, F.from_json, "data.children"),
+}
+
+
+def parsed_payloads(payloads: DataFrame, kind: str, payload_col: str = "payload") -> DataFrame:
+    """``payloads`` with ``_parsed`` and ``_reason``: null, or why the payload gives no records ('no payload',
+    'unreadable', or 'no items' where the part that lists them is missing, as in an error message)."""
+    payload, options = F.col(payload_col), {"columnNameOfCorruptRecord": CORRUPT}
+    schema, parse, items = PAYLOADS[kind]
+    parsed = parse(payload, f"{schema}, {CORRUPT} string", options)
+    missing = F.col(f"_parsed.{items}").isNull() if items else F.lit(False)
+    return payloads.withColumn("_parsed", parsed).withColumn("_reason", (
+        F.when(payload.isNull() | (F.trim(payload) == ""), "no payload")
+        .when(F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull(), "unreadable")
+        .when(missing, "no items")))
+
+
+def readable(payloads: DataFrame, kind: str, payload_col: str) -> DataFrame:
+    return parsed_payloads(payloads, kind, payload_col).where("_reason IS NULL")
+
+
+def rejected_payloads(payloads: DataFrame, kind: str, payload_col: str = "payload") -> DataFrame:
+    """The side table of what a normaliser leaves out: the input's columns, ``kind`` and ``reason``."""
+    return (parsed_payloads(payloads, kind, payload_col).where("_reason IS NOT NULL")
+            .select(*payloads.columns, F.lit(kind).alias("kind"), F.col("_reason").alias("reason")))
+
+
 def _meta(const: dict, **cols: Column) -> Column:
     kv = []
     for k, v in const.items():
@@ -56,9 +89,9 @@ def _landing(**cols: Column) -> list[Column]:
 
 def normalize_wiki(payloads: DataFrame, payload_col: str = "payload",
                    collected_at: TsSpec = None) -> DataFrame:
-    """Article-summary JSON -> text record; missing fields become ''."""
-    a = F.from_json(F.col(payload_col), WIKI_SCHEMA)
-    df = payloads.select(a.alias("a"), ts_column(collected_at).alias("_ts"))
+    """Article-summary JSON -> text record; missing fields become ''. Unreadable payloads give no record
+    (``rejected_payloads`` has them)."""
+    df = readable(payloads, "wiki", payload_col).select(F.col("_parsed").alias("a"), ts_column(collected_at).alias("_ts"))
     return df.select(*_landing(
         id=F.concat(F.lit("wiki_"), F.coalesce(F.col("a.pageid").cast("string"), F.lit(""))),
         source=F.lit(WIKI_SOURCE),
@@ -77,9 +110,8 @@ def normalize_rss(feeds: DataFrame, payload_col: str = "payload", feed_url_col:
 
     Ids are ``news_`` + md5(link): stable across runs, so re-landing a feed is idempotent.
     """
-    f = F.from_xml(F.col(payload_col), RSS_SCHEMA)
-    items = feeds.select(F.col(feed_url_col).alias("_feed"), ts_column(collected_at).alias("_ts"),
-                         F.posexplode(f["channel"]["item"]).alias("_pos", "i"))
+    items = readable(feeds, "rss", payload_col).select(F.col(feed_url_col).alias("_feed"), ts_column(collected_at).alias("_ts"),
+                                                       F.posexplode("_parsed.channel.item").alias("_pos", "i"))
     if max_items is not None:
         items = items.where(F.col("_pos") < max_items)
     link = F.coalesce("i.link", F.lit(""))
@@ -98,9 +130,8 @@ def normalize_rss(feeds: DataFrame, payload_col: str = "payload", feed_url_col:
 def normalize_social(listings: DataFrame, payload_col: str = "payload",
                      subreddit_col: str = "subreddit", max_items: int | None = None) -> DataFrame:
     """Listing JSON -> one record per child post; empty self-text falls back to the title."""
-    lst = F.from_json(F.col(payload_col), LISTING_SCHEMA)
-    posts = listings.select(F.col(subreddit_col).alias("_sub"),
-                            F.posexplode(lst["data"]["children"]).alias("_pos", "c"))
+    posts = readable(listings, "social", payload_col).select(F.col(subreddit_col).alias("_sub"),
+                                                             F.posexplode("_parsed.data.children").alias("_pos", "c"))
     if max_items is not None:
         posts = posts.where(F.col("_pos") < max_items)
     d = "c.data."

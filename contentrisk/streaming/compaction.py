@@ -39,11 +39,13 @@ BATCH_JOB = "batch"
 Folder = tuple[str, int, str]
 
 
-def write_batch(rows: DataFrame, target: str, token: str, batch_id: int, key: str) -> None:
-    """Write one batch, reduced to one row per key, in place of any earlier attempt at it."""
+def write_batch(rows: DataFrame, target: str, token: str, batch_id: int, key: str) -> bool:
+    """Write one batch, reduced to one row per key, in place of any earlier attempt at it. Were there any rows?"""
+    path = f"{target}/stream={token}/batch_id={batch_id}"
     one_per_key = dedupe_latest(rows, key, [("enrichment_timestamp", False), ("id", True)])
     (rebalance_for_write(one_per_key, PARTITIONS).withColumn("attempt", F.lit(uuid.uuid4().hex)).write.mode("overwrite")
-     .partitionBy("attempt", *PARTITIONS).parquet(f"{target}/stream={token}/batch_id={batch_id}"))
+     .partitionBy("attempt", *PARTITIONS).parquet(path))
+    return bool(rows.sparkSession.read.schema(rows.schema).parquet(path).inputFiles())   # a listing, no job
 
 
 def append_batch(rows: DataFrame, target: str, key: str) -> None:

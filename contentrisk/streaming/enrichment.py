@@ -46,12 +46,11 @@ def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | N
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = prepare(batch) if prepare else batch
         spark, seen = batch.sparkSession, Observation()
-        write_batch(batch.observe(seen, *batch_counts(batch)), target, token, batch_id, key)
-        got = seen.get
-        if not got.get("records"):
-            return
+        if not write_batch(batch.observe(seen, *batch_counts(batch)), target, token, batch_id, key):
+            return   # an empty batch
         if metrics_path:
             # the folder name carries batch_id (read back as a partition column)
+            got = seen.get
             row = spark.createDataFrame([tuple(got.values())], ", ".join(f"{c} long" for c in got))
             row.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
         if statistics:

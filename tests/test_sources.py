@@ -18,6 +18,7 @@ from contentrisk.sources.normalize import (
     normalize_rss,
     normalize_social,
     normalize_wiki,
+    rejected_payloads,
     parse_event_ts,
     valid_content,
 )
@@ -82,6 +83,20 @@ def test_normalisers(spark):
     assert posts[1].metadata["is_video"] == "true" and posts[0].timestamp == "1970-01-01T00:00:00"
 
 
+def test_unreadable_payloads_are_told_apart(spark):
+    bad = [(None,), ("",), (" ",), ("not json{",), ('{"pageid": 1',), ("5",)]
+    wiki = spark.createDataFrame([*bad, ('{"pageid": 7, "title": "A", "extract": "b"}',), ("{}",)], "payload string")
+    assert sorted(r.id for r in normalize_wiki(wiki, collected_at="2024-01-31").collect()) == ["wiki_", "wiki_7"]   # {}: an article without fields
+    got = [(r.payload, r.kind, r.reason) for r in rejected_payloads(wiki, "wiki").collect()]
+    assert got == [(p, "wiki", "no payload" if not (p or "").strip() else "unreadable") for p, in bad]
+    listings = spark.createDataFrame([(p, "s") for p, in [*bad, ('{"error": 429}',), ('{"data": {"children": []}}',)]], "payload string, subreddit string")
+    assert normalize_social(listings).count() == 0
+    assert [r.reason for r in rejected_payloads(listings, "social").collect()] == ["no payload"] * 3 + ["unreadable"] * 3 + ["no items"]
+    feeds = spark.createDataFrame([(p, "u") for p in (None, "<rss><channel><item>", "<rss><error/></rss>", "junk", "<rss><channel><item><link>l</link></item></channel></rss>")], "payload string, feed_url string")
+    assert normalize_rss(feeds, collected_at="2024-01-31").count() == 1
+    assert [r.reason for r in rejected_payloads(feeds, "rss").collect()] == ["no payload", "unreadable", "no items", "unreadable"]
+
+
 def test_content_validity_and_pluggable_extractor(spark):
     png = bytes.fromhex("89504E470D0A1A0A") + b"rest"
     df = spark.createDataFrame([("a", png), ("b", b"\x00\x01junk"), ("c", b"<!DOCTYPE html><p>x</p>")],
