@@ -386,6 +386,18 @@ FROM collected""")
     fams = ",\n       ".join(f"count(*) FILTER (WHERE page_id % {len(IMAGE_FAMILIES)} = {k}) AS {f}" for k, f in enumerate(IMAGE_FAMILIES))
     out["collection_stats_images"] = _with(f"""x AS (SELECT 1)
 SELECT count(*) AS total_images, {fams}, coalesce(sum(strlen(html)), 0) / 1048576.0 AS total_size_mb FROM pages""")
+    sized = "page_id % 60000 + 1 AS width, length(coalesce(html, '')) % 60000 + 1 AS height"
+    out["image_headers"] = _with(f"""x AS (SELECT 1)
+SELECT page_id, 'whole' AS state, k.kind, CAST(width AS INTEGER) AS width, CAST(height AS INTEGER) AS height
+FROM (SELECT page_id, {sized} FROM pages), (VALUES ('png'), ('jpeg'), ('gif')) AS k(kind)""")
+    families = ", ".join(q(f) for f in IMAGE_FAMILIES)
+    out["image_landing"] = _with(f"""x AS (SELECT 1),
+own AS (SELECT *, [{families}][page_id % {len(IMAGE_FAMILIES)} + 1] AS source, {sized} FROM pages)
+SELECT source || '_' || kind AS id_prefix, source, url, url || '/' || kind || '/whole' AS filepath, width || 'x' || height AS dimensions,
+       kind AS category, '{TEST_AS_OF}T00:00:00' AS timestamp,
+       CASE source WHEN 'unsplash' THEN 'Unsplash License' WHEN 'picsum' THEN 'Creative Commons CC0' ELSE 'Free to use' END AS license,
+       CASE WHEN source IN ('unsplash', 'picsum') THEN kind END AS search_term
+FROM own, (VALUES ('png'), ('jpeg'), ('gif')) AS k(kind)""")
     rank = "row_number() OVER (PARTITION BY conv_id, role ORDER BY turn)"
     out["first_items"] = _with(f"""{c},
 numbered AS (SELECT conv_id, turn, role, {rank} AS k FROM conversations)

@@ -33,12 +33,14 @@ from contentrisk.plans import analytics
 from contentrisk.schemas import IMAGE_LANDING, TEXT_LANDING
 from contentrisk.session import pin_utc, scratch_path
 from contentrisk.sources import testdata
+from contentrisk.sources.image_headers import whole_images
 from contentrisk.sources.landing import dictionary_frame, keyword_lookup, scan_image_json, scan_text_json
 from contentrisk.sources.normalize import (
     IMAGE_FAMILIES,
     collection_stats_images,
     collection_stats_text,
     image_catalog,
+    image_landing,
     normalize_rss,
     normalize_social,
     normalize_wiki,
@@ -247,7 +249,7 @@ def text_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testdata.text_raw(spark, sf_dir).select(*TEXT_LANDING.fieldNames())
 
 
-def image_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testdata.images_raw(spark, sf_dir).select(*IMAGE_LANDING.fieldNames())
 
 
@@ -265,7 +267,7 @@ def q_ingest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ingest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ingest_images(with_nulls(image_landing(spark, sf_dir), "id", "filepath", "source"), as_of=testdata.TEST_AS_OF)
+    out = ingest_images(with_nulls(landed_images(spark, sf_dir), "id", "filepath", "source"), as_of=testdata.TEST_AS_OF)
     return out.select("id", "source", "filepath", "file_size", "timestamp", "ingestion_timestamp",
                       "image_hash")
 
@@ -494,6 +496,52 @@ def q_image_valid_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ok.select(F.concat(F.lit("page_"), _s("page_id")).alias("id"), "content_kind")
 
 
+def _be(value: str, n: int) -> str:
+    """``n`` bytes of a number, the highest first, as SQL."""
+    return f"unhex(lpad(hex(cast({value} AS bigint)), {2 * n}, '0'))"
+
+
+def _le16(value: str) -> str:
+    return f"unhex(concat(lpad(hex({value} % 256), 2, '0'), lpad(hex({value} div 256), 2, '0')))"
+
+
+def _png_chunk(name: str, data: str) -> str:
+    body = f"concat(cast('{name}' AS binary), {data})"
+    return f"concat({_be(f'octet_length({data})', 4)}, {body}, {_be(f'crc32({body})', 4)})"
+
+
+def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's bytes, and images made of them: a PNG, a JPEG and a GIF file with the page as their data,
+    and each cut short by a byte. Width and height come from the page's number and length."""
+    p = testdata.table(spark, sf_dir, "pages").select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    p = p.withColumns({"w": F.expr("cast(page_id % 60000 + 1 AS int)"), "h": F.expr("cast(length(html) % 60000 + 1 AS int)"),
+                       "data": F.expr("cast(html AS binary)"), "some": F.expr("cast(left(html, 10000) AS binary)")})
+    size, nothing = f"concat({_be('w', 4)}, {_be('h', 4)}, unhex('0802000000'))", "unhex('')"
+    png = f"concat(unhex('89504E470D0A1A0A'), {_png_chunk('IHDR', size)}, {_png_chunk('IDAT', 'data')}, {_png_chunk('IEND', nothing)})"
+    jpeg = (f"concat(unhex('FFD8FFFE'), {_be('octet_length(some) + 2', 2)}, some, unhex('FFC0001108'), {_be('h', 2)}, {_be('w', 2)}, "
+            "unhex('03012200021101031101FFDA0008010100003F0012FF0034FFD056FFD9'))")
+    gif = (f"concat(cast('GIF89a' AS binary), {_le16('w')}, {_le16('h')}, unhex('800000000000FFFFFF21F90400000000002C00000000'), "
+           f"{_le16('w')}, {_le16('h')}, unhex('0002024C01003B'))")
+    made = F.expr(f"explode(map('png', {png}, 'jpeg', {jpeg}, 'gif', {gif}, 'html', data))").alias("kind", "whole")
+    cut = F.expr("explode(array(struct('whole' AS state, whole AS content), struct('cut' AS state, substring(whole, 1, length(whole) - 1) AS content)))")
+    return (p.select("page_id", "url", made).withColumn("c", cut)
+            .select("page_id", "url", "kind", "c.state", "c.content", F.concat_ws("/", "url", "kind", "c.state").alias("path")))
+
+
+def q_image_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kind and size of the whole images among all pages' files."""
+    return whole_images(page_images(spark, sf_dir)).select("page_id", "state", "header.kind", "header.width", "header.height")
+
+
+def q_image_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing records of all pages' files, ingested as raw images."""
+    family = F.element_at(F.lit(IMAGE_FAMILIES), (F.col("page_id") % len(IMAGE_FAMILIES) + 1).cast("int"))
+    files = page_images(spark, sf_dir).withColumn("source", family)
+    raw = ingest_images(image_landing(files, category_col="kind", collected_at=testdata.TEST_AS_OF), as_of=testdata.TEST_AS_OF)
+    return raw.select(F.regexp_extract("id", "^(.*)_[0-9a-f]{8}$", 1).alias("id_prefix"), "source", "url", "filepath", "dimensions", "category", "timestamp",
+                      F.col("metadata")["license"].alias("license"), F.col("metadata")["search_term"].alias("search_term"))
+
+
 def q_collection_stats_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     family = F.element_at(F.lit(IMAGE_FAMILIES), (F.col("page_id") % len(IMAGE_FAMILIES) + 1).cast("int"))
     return collection_stats_images(image_catalog(page_files(spark, sf_dir).withColumn("source", family)))
@@ -524,7 +572,7 @@ def q_scan_text_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_scan_image_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing_images")
-    image_landing(spark, sf_dir).write.mode("overwrite").json(path)
+    landed_images(spark, sf_dir).write.mode("overwrite").json(path)
     return scan_image_json(spark, path).select("id", "source", "filepath", "file_size", "timestamp")
 
 
@@ -538,6 +586,8 @@ QUERIES.update({
     "collection_stats_text": q_collection_stats_text,
     "image_catalog": q_image_catalog,
     "image_valid_filter": q_image_valid_filter,
+    "image_headers": q_image_headers,
+    "image_landing": q_image_landing,
     "collection_stats_images": q_collection_stats_images,
     "scan_text_json": q_scan_text_json,
     "scan_text_arrays": q_scan_text_arrays,

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from contentrisk.functions.text import url_host
 from contentrisk.operators.enrich import TsSpec, ts_column
-from contentrisk.schemas import TEXT_LANDING
+from contentrisk.schemas import IMAGE_LANDING, TEXT_LANDING
+from contentrisk.sources.image_headers import whole_images
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -206,6 +207,31 @@ def image_catalog(files: DataFrame, source_col: str = "source", category_col: st
     )
 
 
+# What the collectors note of an image's source; the last for any other.
+IMAGE_META = {
+    "unsplash": {"platform": "unsplash", "license": "Unsplash License", "attribution_required": "true"},
+    "picsum": {"platform": "Lorem Picsum", "image_type": "placeholder", "license": "Creative Commons CC0", "attribution_required": "false"},
+    None: {"image_type": "placeholder", "license": "Free to use", "attribution_required": "false"},
+}
+
+
+def image_landing(files: DataFrame, source_col: str = "source", url_col: str = "url", category_col: str | None = None,
+                  content_col: str = "content", path_col: str = "path", collected_at: TsSpec = None) -> DataFrame:
+    """Landed images -> the landing records that ``ingest_images`` takes: one for each whole image, with its
+    size from its own header. Cut files and other bytes give none."""
+    source = F.col(source_col)
+    category = F.lit(None).cast("string") if category_col is None else F.col(category_col)
+    meta = F.map_concat(F.create_map(F.lit("platform"), source), _meta(IMAGE_META[None]))
+    for name, own in IMAGE_META.items():
+        if name:
+            meta = F.when(source == name, _meta(own) if category_col is None else _meta(own, search_term=category)).otherwise(meta)
+    h = F.md5(content_col)
+    cols = {"id": F.concat_ws("_", source, category, F.substring(h, 1, 8)), "source": source, "url": F.col(url_col), "filepath": F.col(path_col),
+            "file_size": F.octet_length(content_col), "timestamp": F.date_format(ts_column(collected_at), ISO), "metadata": meta,
+            "dimensions": F.concat_ws("x", "header.width", "header.height"), "category": category}
+    return whole_images(files, content_col).select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in IMAGE_LANDING.fields])
+
+
 def collection_stats_text(records: DataFrame) -> DataFrame:
     """Records per source family: wikipedia by source, news / reddit by id."""
     return records.agg(
