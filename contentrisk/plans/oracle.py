@@ -234,6 +234,7 @@ SELECT 'category', u.cat, count(*) FROM text_enriched t, unnest(t.threat_categor
 SELECT id, source, image_hash, ocr_success, text_length, is_threat, threat_severity,
        array_to_string(threat_categories, '|') AS threat_categories
 FROM images_enriched""")
+    out["stream_first_seen"] = _with("x AS (SELECT 1)\nSELECT id, content_hash, 1 AS rows_written FROM text_raw")
     # the stream sees every page twice (landed, then replayed)
     out["batch_metrics"] = _with("""x AS (SELECT 1)
 SELECT 2 * COUNT(*) AS records, CAST(2 * SUM(CASE WHEN is_threat THEN 1 ELSE 0 END) AS BIGINT) AS threats,

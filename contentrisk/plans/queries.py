@@ -627,6 +627,13 @@ def q_stream_enrich_images(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "threat_severity", _joined("threat_categories").alias("threat_categories"))
 
 
+def q_stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream writes of records that are landed twice, all batch folders together: each once."""
+    pin_utc(spark)
+    target = _run_stream(start_text_enrichment, spark, testdata.text_raw(spark, sf_dir), "stream_seen", horizon="1 day")
+    return read_table(spark, target).groupBy("id", "content_hash").agg(F.count(F.lit(1)).alias("rows_written"))
+
+
 def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The per-batch metrics, summed: how files are dealt into batches doesn't change the sums."""
     pin_utc(spark)
@@ -687,5 +694,6 @@ QUERIES.update({
     "compacted_upserts": q_compacted_upserts,
     "stream_enrich_text": q_stream_enrich_text,
     "stream_enrich_images": q_stream_enrich_images,
+    "stream_first_seen": q_stream_first_seen,
     "batch_metrics": q_batch_metrics,
 })

@@ -27,6 +27,7 @@ from contentrisk.functions.dictionary import ThreatDictionary
 from contentrisk.operators.enrich import enrich_images, enrich_text
 from contentrisk.operators.extract import attach_content, same_path
 from contentrisk.operators.stats import batch_counts
+from contentrisk.operators.tables import free_name
 from contentrisk.schemas import IMAGE_RAW, TEXT_RAW
 from contentrisk.session import scratch_path
 from contentrisk.sources.landing import scan_binary_files
@@ -71,13 +72,27 @@ def _start(enriched: DataFrame, target: str, checkpoint: str, key: str,
             .start())
 
 
+def first_seen(stream: DataFrame, key: str, horizon: str | None) -> DataFrame:
+    """The rows whose key the stream hasn't had within ``horizon`` (as '2 days'; None: all rows).
+
+    Keys are kept in the stream's state, checkpointed with it, until the horizon has passed since they were seen.
+    The clock is the batch's own time, so no row is ever late: none is dropped but for its key. State is a key and
+    a time each; a cluster with many keys chooses its state store (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    if horizon is None:
+        return stream
+    seen = free_name(stream, "seen_at")
+    return stream.withColumn(seen, F.current_timestamp()).withWatermark(seen, horizon).dropDuplicatesWithinWatermark([key]).drop(seen)
+
+
 def start_text_enrichment(spark: SparkSession, source: str, target: str, dictionary: ThreatDictionary,
                           checkpoint: str | None = None, trigger: dict | None = None,
-                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+                          max_files_per_trigger: int | None = None, horizon: str | None = None) -> StreamingQuery:
+    """Text stream. With ``horizon`` a record landed again within it writes nothing (``first_seen``)."""
     reader = spark.readStream.schema(TEXT_RAW)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    enriched = enrich_text(reader.parquet(source), dictionary).drop("combined_text")
+    enriched = enrich_text(first_seen(reader.parquet(source), "content_hash", horizon), dictionary).drop("combined_text")
     return _start(enriched, target, checkpoint or scratch_path(spark, "ckpt_text"), "content_hash",
                   trigger or {"processingTime": "10 seconds"}, None, "text_enrichment")
 
@@ -98,7 +113,7 @@ def start_image_enrichment(spark: SparkSession, source: str, target: str, dictio
                            extractor="html", content_col: str = "content",
                            metrics_path: str | None = None,
                            max_files_per_trigger: int | None = None,
-                           image_files: str | None = None) -> StreamingQuery:
+                           image_files: str | None = None, horizon: str | None = None) -> StreamingQuery:
     """Image stream. Content comes from the raw table's ``content`` column or, when
     ``image_files`` is given, from the landed files that the batch's rows name, read when
     the batch runs (a static side of the join would fix its listing when the stream starts)."""
@@ -109,7 +124,7 @@ def start_image_enrichment(spark: SparkSession, source: str, target: str, dictio
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source)
+    stream = first_seen(reader.parquet(source), "image_hash", horizon)
     prepare = None
     if image_files:
         def prepare(batch: DataFrame) -> DataFrame:

@@ -136,3 +136,21 @@ def test_image_stream_joins_landed_bytes(spark):
     assert q.exception() is None
     got = {r.id: (r.extracted_text, r.threat_severity) for r in read_latest(spark, target, "image_hash").collect()}
     assert got == {"img1": ("worthless trash", "high"), "img2": ("fine", "benign")}
+
+
+def test_replays_within_the_horizon_write_nothing(spark):
+    source, target, ckpt = (scratch_path(spark, n) for n in ("hsrc", "htgt", "hckpt"))
+
+    def go():
+        q = start_text_enrichment(spark, source, target, analysis_dictionary(), checkpoint=ckpt, trigger={"availableNow": True},
+                                  max_files_per_trigger=1, horizon="1 day")
+        q.awaitTermination()
+        assert q.exception() is None
+        return sorted(r.id for r in spark.read.parquet(target).collect())
+
+    rows = raw_rows(spark, [("1", "s", "you idiot"), ("2", "s", "nice day")]).coalesce(1)
+    rows.write.mode("append").parquet(source)
+    rows.write.mode("append").parquet(source)                    # replayed
+    assert go() == ["1", "2"]                                    # of all batch folders together
+    rows.unionByName(raw_rows(spark, [("3", "s", "new")])).coalesce(1).write.mode("append").parquet(source)
+    assert go() == ["1", "2", "3"]                               # the state outlives a restart
