@@ -55,6 +55,19 @@ def rebalance_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by)
 
 
+def write_clustered(df: DataFrame, path: str, by: str, mode: str = "append") -> DataFrame:
+    """Write rows so that near values of ``by`` stand together: files, and the row groups in them, hold ranges of
+    it, so a scan with a filter on ``by`` skips the others by their statistics.
+
+    Range bounds are sampled, so a hot day is dealt over many files; rows of one value, of any number, are
+    told apart by their hash.
+    """
+    tie = free_name(df, "tie")
+    keyed = df.withColumn(tie, row_hash(df))
+    keyed.repartitionByRange(by, tie).sortWithinPartitions(by, tie).drop(tie).write.mode(mode).parquet(path)
+    return read_table(df.sparkSession, path)
+
+
 Order = list[tuple[str, bool]]   # (column, ascending)
 
 

@@ -387,6 +387,14 @@ FROM collected""")
     fams = ",\n       ".join(f"count(*) FILTER (WHERE page_id % {len(IMAGE_FAMILIES)} = {k}) AS {f}" for k, f in enumerate(IMAGE_FAMILIES))
     out["collection_stats_images"] = _with(f"""x AS (SELECT 1)
 SELECT count(*) AS total_images, {fams}, coalesce(sum(strlen(html)), 0) / 1048576.0 AS total_size_mb FROM pages""")
+    spoken = "(TIMESTAMP '1970-01-01' + to_seconds(1704067200 + conv_id * 3600 + turn * 60))"
+    out["recent_events"] = _with(f"""x AS (SELECT 1),
+own AS (
+  SELECT {AS_OF}::TIMESTAMP AS at_time, {q(WIKI_SOURCE)} AS source FROM documents
+  UNION ALL SELECT CASE WHEN turn % 2 = 0 THEN {spoken} ELSE {AS_OF}::TIMESTAMP END, role || '.example.com' FROM conversations
+  UNION ALL SELECT {spoken}, 'reddit_r_' || role FROM conversations)
+SELECT CAST(at_time AS DATE) AS event_date, source, count(*) AS n, min(at_time) AS first_time
+FROM own WHERE at_time >= {AS_OF} - INTERVAL 3 DAY GROUP BY ALL""")
     sized = "page_id % 60000 + 1 AS width, length(coalesce(html, '')) % 60000 + 1 AS height"
     out["image_headers"] = _with(f"""x AS (SELECT 1)
 SELECT page_id, 'whole' AS state, k.kind, CAST(width AS INTEGER) AS width, CAST(height AS INTEGER) AS height

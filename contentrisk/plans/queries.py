@@ -28,7 +28,7 @@ from contentrisk.operators.extract import extract_text
 from contentrisk.operators.ingest import ingest_images, ingest_text, load_raw
 from contentrisk.operators.partitioning import cores_beyond_splits, spread_for_cpu
 from contentrisk.operators.prepare import fallback_enrich, harmonize_schema
-from contentrisk.operators.tables import merge_insert_only, merge_upsert, read_table, write_table
+from contentrisk.operators.tables import merge_insert_only, merge_upsert, read_table, write_clustered, write_table
 from contentrisk.plans import analytics
 from contentrisk.schemas import IMAGE_LANDING, TEXT_LANDING
 from contentrisk.session import pin_utc, scratch_path
@@ -44,9 +44,11 @@ from contentrisk.sources.normalize import (
     normalize_rss,
     normalize_social,
     normalize_wiki,
+    recent,
     rejected_payloads,
     union_sources,
     valid_content,
+    with_event_time,
 )
 from contentrisk.streaming.compaction import BATCH_JOB, append_batch, compact, read_latest, write_batch
 from contentrisk.streaming.enrichment import start_image_enrichment, start_text_enrichment
@@ -476,6 +478,14 @@ def q_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collected_text(spark, sf_dir).select("id", "source", "title", "text")
 
 
+def q_recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collected records of the last three days, by day and source, from a table that lies in the order of time."""
+    pin_utc(spark)
+    table = write_clustered(with_event_time(collected_text(spark, sf_dir)), scratch_path(spark, "events"), "event_time")
+    return (recent(table, 3, testdata.TEST_AS_OF).groupBy(F.to_date("event_time").alias("event_date"), "source")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("event_time").alias("first_time")))
+
+
 def q_collection_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collection_stats_text(collected_text(spark, sf_dir))
 
@@ -583,6 +593,7 @@ QUERIES.update({
     "first_items": q_first_items,
     "broken_payloads": q_broken_payloads,
     "union_sources": q_union_sources,
+    "recent_events": q_recent_events,
     "collection_stats_text": q_collection_stats_text,
     "image_catalog": q_image_catalog,
     "image_valid_filter": q_image_valid_filter,

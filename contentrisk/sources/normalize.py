@@ -265,3 +265,15 @@ def parse_event_ts(col: Column) -> Column:
     return F.coalesce(iso,
                       F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss z")),
                       F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss Z")))
+
+
+def with_event_time(records: DataFrame, out_col: str = "event_time") -> DataFrame:
+    """Landing records with the instant of their ``timestamp`` (null where it is in no known format); the string
+    stays as landed. Write them with ``tables.write_clustered(..., by=out_col)`` for scans of recent records."""
+    return records.withColumn(out_col, parse_event_ts(F.col("timestamp")))
+
+
+def recent(records: DataFrame, days: int, as_of: str | None = None, col: str = "event_time") -> DataFrame:
+    """The records of the last ``days`` days before ``as_of`` (today), by a filter that reaches the scan."""
+    day = F.current_date() if as_of is None else F.to_date(F.lit(as_of))
+    return records.where(F.col(col) >= F.date_sub(day, days).cast("timestamp"))

@@ -161,3 +161,22 @@ def test_attach_content_then_extract(spark):
     out = {r.id: (r.extracted_text, r.ocr_success, r.threat_severity)
            for r in enrich_images(joined, analysis_dictionary(), extractor=ocr).collect()}
     assert out == {"a": ("you idiot", True, "medium"), "b": ("", False, "benign")}
+
+
+def test_recent_scans_skip_files_and_row_groups(spark):
+    from contentrisk.operators.tables import write_clustered
+    from contentrisk.sources.normalize import recent, with_event_time
+
+    rows = spark.range(4000).selectExpr("cast(id AS string) AS id", "date_format(timestamp_seconds(1704067200 + id * 600), \"yyyy-MM-dd'T'HH:mm:ss\") AS timestamp")
+    mixed = rows.unionByName(spark.createDataFrame([("x", "no time"), ("y", "Sun, 28 Jan 2024 10:00:00 GMT"), ("z", None)], "id string, timestamp string"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table = write_clustered(with_event_time(mixed).repartition(5), scratch_path(spark, "clustered"), "event_time")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    late = recent(table, 2, "2024-01-28")
+    assert late.count() == 1 + sum(1704067200 + k * 600 >= 1706227200 for k in range(4000)) and "y" in {r.id for r in late.collect()}
+    files = table.select(F.input_file_name()).distinct().count()
+    assert files >= 6 and late.select(F.input_file_name()).distinct().count() <= 2      # rows of the range lie together
+    p = late._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(event_time), GreaterThanOrEqual(event_time," in p
