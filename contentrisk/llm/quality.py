@@ -165,7 +165,8 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 60, bins: int = 32, pairs: i
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
           most: tuple[int, int] = SAMPLE) -> Model:
     """A model from the features of at most ``most`` labelled documents with label 0 and 1 (whole
-    texts). The labels' shares are put right for documents by the base."""
+    texts). The base is that of the sample, in which both labels count as they were drawn: up to ``most``
+    of each, so a score of a half is where a text is as likely of either label, not of the commoner one."""
     fields = [T.StructField("x", T.ArrayType(T.DoubleType()))]
 
     def make():

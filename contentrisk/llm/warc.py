@@ -11,7 +11,9 @@ URL key (host reversed), timestamp, place in the archive.
 
 Index: each task sorts its captures by URL key, timestamp and id, a run; runs are dealt by range of
 that whole key, so a URL with any share of all captures spreads over ranges, and within a range the
-runs are merged k ways by a loser tree. Ranges in order are the globally ordered capture histories.
+runs are merged k ways by a loser tree. Ranges in order are the globally ordered capture histories. There
+are as many ranges as keep each to about ``RANGE`` captures, so what a task holds doesn't grow with the
+archive; Spark's shuffle brings a range's runs together sorted by run.
 
 Null payloads and empty ones are responses of no bytes; null URLs have an empty key. Repeated rows are
 captures of their own (all but one revisits if long enough; of equal ids one is the response).
@@ -42,6 +44,8 @@ RECORDS = 20_000
 #: Second 0 of pages without a date of their own: they get this plus a second a page id.
 EPOCH = 1_704_067_200
 VERSION = b"WARC/1.1"
+#: Captures of a range of the index, on average: what one task merges in memory.
+RANGE = 50_000
 #: Bytes given to the decompressor at a time.
 PIECE = 8192
 KEY = ["urlkey", "captured_at", "page_id", "row"]
@@ -73,15 +77,17 @@ def header_safe(text: str | None) -> str:
     return "".join(c if c >= " " and c != "\x7f" else "%%%02X" % ord(c) for c in text or "")
 
 
-def record(row: int, page_id, url, date: str, payload: bytes, digest: str, refers_to) -> bytes:
-    """One record; a revisit holds no payload but its size and digest."""
-    kind, block = ("response", payload) if refers_to is None else ("revisit", b"")
+def record(row: int, page_id, url, date: str, payload: bytes, digest: str, first_row: int | None, first_id: int | None) -> bytes:
+    """One record; a revisit holds no payload but its size and digest, and names the record that does."""
+    kind, block = ("response", payload) if first_row is None else ("revisit", b"")
     head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:page:{row}>"), ("WARC-Date", date), ("WARC-Target-URI", header_safe(url)),
             ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Payload-Length", str(len(payload)))]
     if page_id is not None:
         head.append(("X-Page-ID", str(page_id)))
-    if refers_to is not None:
-        head += [("WARC-Refers-To", f"<urn:page-id:{refers_to}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
+    if first_row is not None:
+        head += [("WARC-Refers-To", f"<urn:page:{first_row}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
+        if first_id is not None:
+            head.append(("X-Refers-To-Page-ID", str(first_id)))
     head += [("Content-Type", "text/html"), ("Content-Length", str(len(block)))]
     return VERSION + b"\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode("utf-8", "surrogatepass") + b"\r\n" + block + b"\r\n\r\n"
 
@@ -123,6 +129,7 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST, id_col: str =
     rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
                         F.date_format(F.to_utc_timestamp(date, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    rows = write_table(rows, "warc-pages")   # a row's number is given once, whatever the input is made of
     twice = write_table(decisions(rows, least), "warc-twice")
     keyed = rows.withColumn("digest", F.sha2("html", 256))
     few = small_side(twice.drop("n"))
@@ -132,18 +139,19 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST, id_col: str =
         # many payloads come again: theirs by hot and cold digests, the rest as they are
         known = lookup(keyed, twice, "digest", "n").unionByName(
             keyed.join(twice.select("digest"), "digest", "left_anti"), allowMissingColumns=True)
-    known = known.withColumn("refers_to", F.expr(f"CASE WHEN octet_length(html) >= {least} AND row <> first_row THEN first END"))
+    again = f"octet_length(html) >= {least} AND row <> first_row"
+    known = known.withColumns({"first_row": F.expr(f"CASE WHEN {again} THEN first_row END"), "first": F.expr(f"CASE WHEN {again} THEN first END")})
+    columns = ["row", "id", "url", "date", "html", "first_row", "first"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = []
-            for row, i, url, day, html, refers, again in zip(*[b.column(c).to_pylist() for c in ("row", "id", "url", "date", "html", "refers_to", "again")]):
+            for row, i, url, day, html, first_row, first_id in zip(*[b.column(c).to_pylist() for c in columns]):
                 payload = html.encode("utf-8", "surrogatepass")
-                made.append(member(record(row, i, url, day, payload, hashlib.sha256(payload).hexdigest(), refers if refers is not None or not again else "")))
+                made.append(member(record(row, i, url, day, payload, hashlib.sha256(payload).hexdigest(), first_row, first_id)))
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
-    known = known.withColumn("again", F.expr(f"coalesce(octet_length(html) >= {least} AND row <> first_row, false)"))
-    out = known.select("row", "id", "url", "date", "html", "refers_to", "again").mapInArrow(run, "record binary")
+    out = known.select(*columns).mapInArrow(run, "record binary")
     (out.select(F.col("record").cast("string").alias("value")).write.mode("overwrite")
      .option("lineSep", SEPARATOR).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", RECORDS).text(path))
 
@@ -165,7 +173,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
                     digest = hashlib.sha256(block).hexdigest() if new else h["WARC-Payload-Digest"].removeprefix("sha256:")
                     if new and f"sha256:{digest}" != h["WARC-Payload-Digest"]:
                         raise ValueError(f"{name}: payload differs from its digest, at byte {at}")
-                    to = h.get("WARC-Refers-To", "").removeprefix("<urn:page-id:").removesuffix(">")
+                    to = h.get("X-Refers-To-Page-ID")
                     rows.append((int(h["WARC-Record-ID"].removeprefix("<urn:page:").removesuffix(">")), int(h["X-Page-ID"]) if "X-Page-ID" in h else None,
                                  h["WARC-Target-URI"], url_key(h["WARC-Target-URI"]), h["WARC-Date"], len(block) if new else int(h["X-Payload-Length"]),
                                  digest, h["WARC-Type"], int(to) if to else None, name.rsplit("/", 1)[-1], at, size))
@@ -222,7 +230,7 @@ def merge_index(captures: DataFrame, path: str | None = None) -> DataFrame:
     # runs: what one task read, sorted; written, so that merging reads finished runs
     runs = base.withColumn("run", F.spark_partition_id().cast("long")).sortWithinPartitions(*KEY)
     runs = write_table(runs, "warc-runs")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, -(-runs.count() // RANGE))
     ranged = runs.repartitionByRange(n, *KEY).sortWithinPartitions("run", *KEY)   # each range: its runs, one after the other
     names = [f.split()[0] for f in CAPTURE.split(", ")]
 

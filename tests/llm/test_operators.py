@@ -594,6 +594,24 @@ def test_warc_with_many_repeats(spark, monkeypatch):
     assert got == {i: (i % 7 if i >= 7 else None) for i in range(60)}
 
 
+def test_revisits_name_the_record_and_ranges_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE", 7)
+    rows = [(i, f"http://h/{i % 5}", f"{i % 6}" * 150) for i in range(40)] + [(None, "http://h/n", "n" * 200), (None, "http://h/n", "n" * 200)]
+    path = str(tmp_path / "warc")
+    got = warc.archive(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), path).collect()
+    ids, refers = {}, []
+    for f in (tmp_path / "warc").glob("part-*"):
+        for _, _, h, _ in warc.records(f.read_bytes()):
+            ids[h["WARC-Record-ID"]] = (h["WARC-Type"], h["WARC-Payload-Digest"])
+            if "WARC-Refers-To" in h:
+                refers.append((h["WARC-Refers-To"], h["WARC-Payload-Digest"]))
+    assert len(ids) == 42 and len(refers) == 34 + 1
+    assert all(ids[to] == ("response", digest) for to, digest in refers)
+    assert len({r.shard for r in got}) >= 4
+    order = [(r.urlkey, r.captured_at, -1 if r.page_id is None else r.page_id) for r in sorted(got, key=lambda r: (r.shard, r.place))]
+    assert order == sorted(order)
+
+
 def test_loser_tree():
     rng = np.random.default_rng(11)
     for k in (0, 1, 2, 5, 8):
