@@ -40,7 +40,7 @@ from contentrisk.sources.normalize import (
     collection_stats_images,
     collection_stats_text,
     image_catalog,
-    image_landing,
+    image_landing as image_records,
     normalize_rss,
     normalize_social,
     normalize_wiki,
@@ -251,7 +251,7 @@ def text_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testdata.text_raw(spark, sf_dir).select(*TEXT_LANDING.fieldNames())
 
 
-def landed_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+def image_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testdata.images_raw(spark, sf_dir).select(*IMAGE_LANDING.fieldNames())
 
 
@@ -269,7 +269,7 @@ def q_ingest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ingest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ingest_images(with_nulls(landed_images(spark, sf_dir), "id", "filepath", "source"), as_of=testdata.TEST_AS_OF)
+    out = ingest_images(with_nulls(image_landing(spark, sf_dir), "id", "filepath", "source"), as_of=testdata.TEST_AS_OF)
     return out.select("id", "source", "filepath", "file_size", "timestamp", "ingestion_timestamp",
                       "image_hash")
 
@@ -547,7 +547,7 @@ def q_image_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing records of all pages' files, ingested as raw images."""
     family = F.element_at(F.lit(IMAGE_FAMILIES), (F.col("page_id") % len(IMAGE_FAMILIES) + 1).cast("int"))
     files = page_images(spark, sf_dir).withColumn("source", family)
-    raw = ingest_images(image_landing(files, category_col="kind", collected_at=testdata.TEST_AS_OF), as_of=testdata.TEST_AS_OF)
+    raw = ingest_images(image_records(files, category_col="kind", collected_at=testdata.TEST_AS_OF), as_of=testdata.TEST_AS_OF)
     return raw.select(F.regexp_extract("id", "^(.*)_[0-9a-f]{8}$", 1).alias("id_prefix"), "source", "url", "filepath", "dimensions", "category", "timestamp",
                       F.col("metadata")["license"].alias("license"), F.col("metadata")["search_term"].alias("search_term"))
 
@@ -582,7 +582,7 @@ def q_scan_text_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_scan_image_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing_images")
-    landed_images(spark, sf_dir).write.mode("overwrite").json(path)
+    image_landing(spark, sf_dir).write.mode("overwrite").json(path)
     return scan_image_json(spark, path).select("id", "source", "filepath", "file_size", "timestamp")
 
 
