@@ -56,3 +56,14 @@ def test_recency_filter_reaches_the_scan(spark):
 def test_enrichment_has_no_python(spark):
     p = plan(Q.text_enriched(spark, SF_SMALL, engine="native").select("id", "threat_severity", F.size("detected_threats")))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_join_form_is_an_equi_join(spark):
+    p = plan(Q.QUERIES["detect_threats_join"](spark, SF_SMALL))
+    assert "NestedLoop" not in p and "CartesianProduct" not in p and "ArrowEvalPython" not in p
+    assert "BroadcastHashJoin [gram" in p
+
+
+def test_default_engine_returns_term_numbers_alone(spark):
+    p = plan(Q.text_enriched(spark, SF_SMALL).select("id", "detected_threats", "threat_severity"))
+    assert p.count("ArrowEvalPython") == 1 and "search(" in p
