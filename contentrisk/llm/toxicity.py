@@ -276,7 +276,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
 
     # the sample, of at most sum(most) texts, meets in one task; the model comes back
     sample = labelled_sample(docs, labels, label, id_col, text_col, most)
-    return Model(*pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").first()["model"]))
+    made = sample.coalesce(1).mapInArrow(run, "model binary").first()
+    return Model(*pickle.loads(made["model"])) if made else fit([], np.array([]))   # no partitions: no sample
 
 
 def scorer(model: Model):
