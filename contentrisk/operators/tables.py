@@ -94,18 +94,24 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[without_maps(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
 
 
-def dedupe_latest(df: DataFrame, key: str, order: Order | None = None) -> DataFrame:
+def dedupe_latest(df: DataFrame, key: str, order: Order | None = None, within: str | None = None, tie: str | None = None) -> DataFrame:
     """One row per key: the first by ``order`` (latest-wins when ordered by time descending).
 
     Ordered by narrow columns only, and the rows are carried once. ``rn = 1`` lets Spark
     keep one row per key and task before the shuffle (WindowGroupLimit), so a key with a
     huge group of copies (a file replayed many times) never lands whole on one task.
     Nulls come last where the order is descending; rows with a null key are one group.
+
+    ``within``: a column, made of the key, by which the rows are dealt already, so that they needn't be shuffled
+    again. ``tie``: the column that holds ``row_hash``, if it was made before. Both are dropped.
     """
     by = [F.col(c).asc() if ascending else F.col(c).desc() for c, ascending in order or []]
-    tie, rn = free_name(df, "row_hash"), free_name(df, "rn")
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*by, tie))
-    return df.withColumn(tie, row_hash(df)).withColumn(rn, first).where(F.col(rn) == 1).drop(rn, tie)
+    if tie is None:
+        tie = free_name(df, "row_hash")
+        df = df.withColumn(tie, row_hash(df.drop(within) if within else df))
+    rn = free_name(df, "rn")
+    first = F.row_number().over(Window.partitionBy(*([within] if within else []), key).orderBy(*by, tie))
+    return df.withColumn(rn, first).where(F.col(rn) == 1).drop(rn, tie, *([within] if within else []))
 
 
 def free_name(df: DataFrame, name: str) -> str:

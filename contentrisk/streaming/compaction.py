@@ -20,30 +20,57 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentrisk.operators.tables import dedupe_latest, read_table, rebalance_for_write
+from contentrisk.operators.tables import dedupe_latest, free_name, read_table, rebalance_for_write, row_hash, write_table
 
 # Latest-wins order: newest enrichment, then the later batch, then id.
 ORDER_LATEST = [("enrichment_timestamp", False), ("batch_id", False), ("id", True)]
+# The same within a batch.
+ORDER_IN_BATCH = [("enrichment_timestamp", False), ("id", True)]
 FOLDER = ["stream", "batch_id", "attempt"]
 PARTITIONS = ["threat_severity", "source"]
 #: Buckets of a new snapshot; an old one keeps its own number.
 BUCKETS = 64
+#: Keys that come again in a batch are broadcast up to this many; beyond, all of its rows are compared.
+BROADCAST_KEYS = 100_000
 #: The token of the batch job's folders.
 BATCH_JOB = "batch"
 
 Folder = tuple[str, int, str]
 
 
-def write_batch(rows: DataFrame, target: str, token: str, batch_id: int, key: str) -> bool:
-    """Write one batch, reduced to one row per key, in place of any earlier attempt at it. Were there any rows?"""
+def one_per_key(rows: DataFrame, key: str, watch: Callable[[DataFrame], DataFrame] = lambda part: part, count_first: bool = True) -> DataFrame:
+    """``rows`` reduced to one row per key.
+
+    The keys are counted first, which makes no other column, and only rows of keys that come again are compared;
+    the others are not shuffled for it. ``count_first=False`` for rows that should be made once, or
+    that are dealt by their key already. ``watch`` is put on the rows (in parts) before any is dropped.
+    """
+    if count_first:
+        again = free_name(rows, "again")
+        keys = rows.groupBy(F.col(key).alias(again)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(again)
+        keys = write_table(keys, "keys-again")
+        found = keys.count()
+        if not found:
+            return watch(rows)
+        if found <= BROADCAST_KEYS:
+            once, several = (rows.join(F.broadcast(keys), F.col(key).eqNullSafe(F.col(again)), how) for how in ("left_anti", "left_semi"))
+            return watch(once).unionByName(dedupe_latest(watch(several), key, ORDER_IN_BATCH))
+    return dedupe_latest(watch(rows), key, ORDER_IN_BATCH)
+
+
+def write_batch(rows: DataFrame, target: str, token: str, batch_id: int, key: str,
+                watch: Callable[[DataFrame], DataFrame] = lambda part: part, count_first: bool = True) -> bool:
+    """Write one batch, reduced to one row per key (``one_per_key``), in place of any earlier attempt at it. Were there
+    any rows?"""
     path = f"{target}/stream={token}/batch_id={batch_id}"
-    one_per_key = dedupe_latest(rows, key, [("enrichment_timestamp", False), ("id", True)])
-    (rebalance_for_write(one_per_key, PARTITIONS).withColumn("attempt", F.lit(uuid.uuid4().hex)).write.mode("overwrite")
+    reduced = one_per_key(rows, key, watch, count_first)
+    (rebalance_for_write(reduced, PARTITIONS).withColumn("attempt", F.lit(uuid.uuid4().hex)).write.mode("overwrite")
      .partitionBy("attempt", *PARTITIONS).parquet(path))
     return bool(rows.sparkSession.read.schema(rows.schema).parquet(path).inputFiles())   # a listing, no job
 
@@ -120,9 +147,14 @@ def compact(spark: SparkSession, target: str, key: str, snapshot: str, buckets:
         touched = {r["bucket"] for r in rows.select(bucket.alias("bucket")).distinct().collect()}   # one row a bucket
         before = snapshot_rows(spark, snapshot, at, touched)
         both = rows if before is None else rows.unionByName(before, allowMissingColumns=True)
-        latest = dedupe_latest(both, key, ORDER_LATEST).withColumn("bucket", bucket)
+        # dealt by parts of the buckets, a few for each task: one shuffle brings a key's rows together and a bucket's
+        # rows to few files
+        part = free_name(both, "part")
+        parts = len(at) * max(1, -(-4 * int(spark.conf.get("spark.sql.shuffle.partitions")) // len(at)))
+        dealt = both.withColumn(part, F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")).repartition(part)
+        latest = dedupe_latest(dealt, key, ORDER_LATEST, within=part).withColumn("bucket", bucket)
         gen += 1
-        rebalance_for_write(latest, ["bucket"]).write.mode("overwrite").partitionBy("bucket").parquet(f"{snapshot}/rows/gen={gen}")
+        latest.write.mode("overwrite").partitionBy("bucket").parquet(f"{snapshot}/rows/gen={gen}")
         at = {b: gen if b in touched else g for b, g in at.items()}
         spark.createDataFrame(sorted(present), "stream string, batch_id int, attempt string").coalesce(1).write.mode("overwrite").parquet(f"{snapshot}/folded/gen={gen}")
         spark.createDataFrame(sorted(at.items()), "bucket int, at_gen int").coalesce(1).write.mode("overwrite").parquet(f"{snapshot}/manifest/gen={gen}")
@@ -147,6 +179,10 @@ def read_latest(spark: SparkSession, target: str, key: str, snapshot: str | None
         return dedupe_latest(recent, key, ORDER_LATEST).drop(*FOLDER)
     keys = recent.select(F.col(key).alias("__new_key")).distinct()
     same = F.col(key).eqNullSafe(F.col("__new_key"))
-    changed = recent.unionByName(snap.join(keys, same, "left_semi"), allowMissingColumns=True)
-    latest = dedupe_latest(changed, key, ORDER_LATEST)
+    # hashed before the join, and joined by an inner one, below which Spark doesn't push the hash's columns: a reader
+    # of a few columns shuffles these alone
+    both = recent.withColumn("__old", F.lit(False)).unionByName(snap.withColumn("__old", F.lit(True)), allowMissingColumns=True)
+    hashed = both.withColumn("__tie", row_hash(both.drop("__old")))
+    held = hashed.filter("__old").join(keys, same).drop("__new_key")
+    latest = dedupe_latest(hashed.filter("NOT __old").unionByName(held).drop("__old"), key, ORDER_LATEST, tie="__tie")
     return snap.join(keys, same, "left_anti").unionByName(latest, allowMissingColumns=True).drop(*FOLDER)

@@ -1,10 +1,12 @@
 """The snapshot of an upserted table: incremental, by buckets, and right whatever is run again."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from contentrisk.operators.tables import dedupe_latest
 from contentrisk.session import scratch_path
 from contentrisk.streaming import compaction as C
 
@@ -88,3 +90,49 @@ def test_folded_folders_are_not_read(spark, paths):
     new = C.folders(spark, target) - C.folded(spark, snap, 1)
     assert [f[:2] for f in new] == [("batch", 2)]
     assert len(C.read_table(spark, target).filter(C.in_folders(new)).select(F.input_file_name()).distinct().collect()) == 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def exchanged(df):
+    """The columns that each shuffle carries."""
+    return [line.split(": [", 1)[1] for node in plan(df).split("\n\n") if re.match(r"\(\d+\) Exchange", node.strip()) for line in node.splitlines() if line.startswith("Input")]
+
+
+def test_only_rows_of_keys_that_come_again_are_compared(spark, monkeypatch):
+    once = rows(spark, "abcdef", "low", 1)
+    single = C.one_per_key(once, "content_hash")
+    assert state(single) == dict.fromkeys("abcdef", "low") and not exchanged(single)
+    null = rows(spark, "n", "low", 1).withColumn("content_hash", F.lit(None).cast("string"))
+    both = once.unionByName(rows(spark, "ab", "high", 2)).unionByName(rows(spark, "b", "medium", 1)).unionByName(null).unionByName(null.withColumn("threat_severity", F.lit("high")).withColumn("id", F.lit("m")))
+    want = dict.fromkeys("cdef", "low") | {"a": "high", "b": "high", "m": "high"}
+    assert state(C.one_per_key(both, "content_hash")) == want == state(C.one_per_key(both, "content_hash", count_first=False))
+    monkeypatch.setattr(C, "BROADCAST_KEYS", 2)   # three keys come again
+    assert state(C.one_per_key(both, "content_hash")) == want
+
+
+def test_rows_are_compared_where_they_are_dealt(spark):
+    both = rows(spark, "abc", "low", 1).unionByName(rows(spark, "bc", "high", 2))
+    dealt = both.withColumn("part", F.pmod(F.xxhash64("content_hash"), F.lit(16))).repartition("part")
+    latest = dedupe_latest(dealt, "content_hash", [("enrichment_timestamp", False)], within="part")
+    assert len(exchanged(latest)) == 1 and latest.columns == both.columns
+    assert state(latest) == {"a": "low", "b": "high", "c": "high"}
+
+
+def test_narrow_reads_shuffle_no_wide_columns(spark, paths):
+    target, snap = paths
+    text = F.concat(F.lit("text of "), F.col("id"))
+    C.append_batch(rows(spark, "abc", "low", 1).withColumn("text", text), target, "content_hash")
+    C.compact(spark, target, "content_hash", snap, 4)
+    C.append_batch(rows(spark, "bd", "high", 2).withColumn("text", text), target, "content_hash")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        out = C.read_latest(spark, target, "content_hash", snap).select("id", "threat_severity")
+        carried = exchanged(out)
+        assert carried and not any("text" in columns for columns in carried)
+        assert state(out) == {"a": "low", "b": "high", "c": "low", "d": "high"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
