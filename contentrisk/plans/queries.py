@@ -607,18 +607,21 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------------------
-# Streaming: landing + replay of the same file, availableNow, latest-wins read.
+# Streaming: landing + replay of the same files, availableNow, latest-wins read.
 # ---------------------------------------------------------------------------
 
 def _run_stream(start, spark: SparkSession, raw: DataFrame, name: str, **kw) -> str:
-    source, target = scratch_path(spark, f"{name}_raw"), scratch_path(spark, f"{name}_enriched")
-    raw.write.mode("append").parquet(source)      # the landed file
-    raw.write.mode("append").parquet(source)      # the same records landed again (a replay)
-    q = start(spark, source, target, analysis_dictionary(), trigger={"availableNow": True},
-              max_files_per_trigger=1, **kw)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    """Records are landed, then landed again (a replay); the stream takes in what has landed, the second time from
+    its checkpoint. A batch holds all files of a landing: a file a batch would leave all cores but one idle, and
+    each batch has its own cost (offsets, state, a folder of files by severity and source)."""
+    source, target, checkpoint = (scratch_path(spark, f"{name}_{part}") for part in ("raw", "enriched", "checkpoint"))
+    raw = spread_for_cpu(raw, cores_beyond_splits(raw))
+    for _ in range(2):
+        raw.write.mode("append").parquet(source)
+        q = start(spark, source, target, analysis_dictionary(), checkpoint=checkpoint, trigger={"availableNow": True}, **kw)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"stream {name} failed: {q.exception()}")
     return target
 
 

@@ -17,6 +17,7 @@ the token ``batch``, each run as a batch of its own (``compaction.append_batch``
 from __future__ import annotations
 
 import hashlib
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,20 +40,27 @@ def stream_token(checkpoint: str) -> str:
 
 
 def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | None = None, prepare=None,
-                        statistics: str | None = None, snapshot: str | None = None):
+                        statistics: str | None = None, snapshot: str | None = None, stateful: bool = False):
     """foreachBatch function: ``prepare`` (if any), dedupe by key, write this batch's own folder, log its metrics
     and count it into the maintained ``statistics``. The metrics are observed while the rows are written, so a batch is
-    read and enriched once."""
+    enriched once: what ``prepare`` makes beside the key is not made for the count of the keys. A batch of a ``stateful``
+    stream is read once, too, and comes dealt by its key."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = prepare(batch) if prepare else batch
-        spark, seen = batch.sparkSession, Observation()
-        if not write_batch(batch.observe(seen, *batch_counts(batch)), target, token, batch_id, key):
-            return   # an empty batch
+        spark, seen = batch.sparkSession, []
+
+        def watch(part: DataFrame) -> DataFrame:
+            seen.append(Observation())
+            return part.observe(seen[-1], *batch_counts(part))
+
+        with adaptive(spark) if stateful else nullcontext():
+            batch = prepare(batch) if prepare else batch
+            if not write_batch(batch, target, token, batch_id, key, watch, count_first=prepare is not None and not stateful):
+                return   # an empty batch
         if metrics_path:
             # the folder name carries batch_id (read back as a partition column)
-            got = seen.get
-            row = spark.createDataFrame([tuple(got.values())], ", ".join(f"{c} long" for c in got))
+            got = [part.get for part in seen]
+            row = spark.createDataFrame([tuple(sum(part[c] for part in got) for c in got[0])], ", ".join(f"{c} long" for c in got[0]))
             row.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
         if statistics:
             write_deltas(spark, target, statistics, token, batch_id, key, snapshot)
@@ -60,10 +68,23 @@ def upsert_batch_writer(target: str, token: str, key: str, metrics_path: str | N
     return write
 
 
-def _start(enriched: DataFrame, target: str, checkpoint: str, key: str,
-           trigger: dict, metrics_path: str | None, name: str, prepare=None) -> StreamingQuery:
-    writer = upsert_batch_writer(target, stream_token(checkpoint), key, metrics_path, prepare)
-    return (enriched.writeStream
+@contextmanager
+def adaptive(spark: SparkSession):
+    """Spark runs streams with state without adaptive execution. The write of a batch comes after the state, and needs
+    it: without, a hot source of the rebalanced rows is written by one task."""
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)   # the stream's next batch is planned in this session
+
+
+def _start(stream: DataFrame, target: str, checkpoint: str, key: str,
+           trigger: dict, metrics_path: str | None, name: str, prepare, stateful: bool) -> StreamingQuery:
+    writer = upsert_batch_writer(target, stream_token(checkpoint), key, metrics_path, prepare, stateful=stateful)
+    return (stream.writeStream
             .queryName(name)
             .foreachBatch(writer)
             .outputMode("update")
@@ -92,9 +113,13 @@ def start_text_enrichment(spark: SparkSession, source: str, target: str, diction
     reader = spark.readStream.schema(TEXT_RAW)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    enriched = enrich_text(first_seen(reader.parquet(source), "content_hash", horizon), dictionary).drop("combined_text")
-    return _start(enriched, target, checkpoint or scratch_path(spark, "ckpt_text"), "content_hash",
-                  trigger or {"processingTime": "10 seconds"}, None, "text_enrichment")
+    stream = first_seen(reader.parquet(source), "content_hash", horizon)
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return enrich_text(batch, dictionary).drop("combined_text")
+
+    return _start(stream, target, checkpoint or scratch_path(spark, "ckpt_text"), "content_hash",
+                  trigger or {"processingTime": "10 seconds"}, None, "text_enrichment", prepare, horizon is not None)
 
 
 def batch_files(batch: DataFrame, image_files: str) -> DataFrame:
@@ -125,14 +150,11 @@ def start_image_enrichment(spark: SparkSession, source: str, target: str, dictio
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = first_seen(reader.parquet(source), "image_hash", horizon)
-    prepare = None
-    if image_files:
-        def prepare(batch: DataFrame) -> DataFrame:
-            files = batch_files(batch, image_files)
-            with_bytes = attach_content(batch, files, content_col=content_col)
-            return enrich_images(with_bytes, dictionary, extractor=extractor, content_col=content_col)
-        enriched = stream
-    else:
-        enriched = enrich_images(stream, dictionary, extractor=extractor, content_col=content_col)
-    return _start(enriched, target, checkpoint or scratch_path(spark, "ckpt_images"), "image_hash",
-                  trigger or {"processingTime": "10 seconds"}, metrics_path, "image_enrichment", prepare)
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        if image_files:
+            batch = attach_content(batch, batch_files(batch, image_files), content_col=content_col)
+        return enrich_images(batch, dictionary, extractor=extractor, content_col=content_col)
+
+    return _start(stream, target, checkpoint or scratch_path(spark, "ckpt_images"), "image_hash",
+                  trigger or {"processingTime": "10 seconds"}, metrics_path, "image_enrichment", prepare, horizon is not None)

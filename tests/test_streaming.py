@@ -154,3 +154,28 @@ def test_replays_within_the_horizon_write_nothing(spark):
     assert go() == ["1", "2"]                                    # of all batch folders together
     rows.unionByName(raw_rows(spark, [("3", "s", "new")])).coalesce(1).write.mode("append").parquet(source)
     assert go() == ["1", "2", "3"]                               # the state outlives a restart
+
+
+def test_a_landing_of_many_files_is_one_batch(spark):
+    from contentrisk.plans.queries import _run_stream
+
+    rows = raw_rows(spark, [(str(k), "s", "you idiot" if k % 3 else "fine") for k in range(30)]).repartition(7)
+    for horizon, batches in ((None, {0, 1}), ("1 day", {0})):
+        target = _run_stream(start_text_enrichment, spark, rows, "many", horizon=horizon)
+        written = spark.read.parquet(target)
+        assert {r.batch_id for r in written.select("batch_id").distinct().collect()} == batches      # a file a batch: 14
+        assert written.count() == 30 * len(batches) and read_latest(spark, target, "content_hash").count() == 30
+
+
+def test_the_write_behind_state_is_adaptive(spark):
+    from contentrisk.streaming.enrichment import adaptive
+
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "false")
+        with adaptive(spark):
+            assert spark.conf.get(name) == "true"
+        assert spark.conf.get(name) == "false"
+    finally:
+        spark.conf.set(name, before)
