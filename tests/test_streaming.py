@@ -167,6 +167,23 @@ def test_a_landing_of_many_files_is_one_batch(spark):
         assert written.count() == 30 * len(batches) and read_latest(spark, target, "content_hash").count() == 30
 
 
+def test_image_landings_are_batches_whose_metrics_count_copies(spark):
+    from contentrisk.operators.ingest import ingest_images
+    from contentrisk.plans.queries import _run_stream
+    from contentrisk.streaming.enrichment import start_image_enrichment
+
+    meta = spark.createDataFrame(
+        [(f"img{k}", "s", None, f"/p{k}.html", 10, "2024-01-01T00:00:00", None, None, None) for k in [*range(12), 3, 3, 5]],
+        "id string, source string, url string, filepath string, file_size bigint, timestamp string, "
+        "metadata map<string,string>, dimensions string, category string")
+    content = F.when(F.col("id") == "img3", "<p>worthless trash</p>").otherwise("<p>fine</p>")
+    raw = ingest_images(meta, as_of="2024-01-01").withColumn("content", content).repartition(5)
+    metrics = scratch_path(spark, "metrics")
+    target = _run_stream(start_image_enrichment, spark, raw, "images", metrics_path=metrics)
+    assert sorted(tuple(r) for r in spark.read.parquet(metrics).collect()) == [(15, 3, 15, 0), (15, 3, 15, 1)]
+    assert spark.read.parquet(target).count() == 2 * 12      # one row a key and batch
+
+
 def test_the_write_behind_state_is_adaptive(spark):
     from contentrisk.streaming.enrichment import adaptive
 
