@@ -34,7 +34,7 @@ from contentrisk.schemas import IMAGE_LANDING, TEXT_LANDING
 from contentrisk.session import pin_utc, scratch_path
 from contentrisk.sources import testdata
 from contentrisk.sources.image_headers import whole_images
-from contentrisk.sources.landing import dictionary_frame, keyword_lookup, scan_image_json, scan_text_json
+from contentrisk.sources.landing import dictionary_frame, keyword_lookup, land_json_arrays, scan_image_json, scan_text_json
 from contentrisk.sources.normalize import (
     IMAGE_FAMILIES,
     collection_stats_images,
@@ -568,14 +568,8 @@ def q_scan_text_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_scan_text_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land text records as the collectors do, an indented JSON array a file, and read them by many tasks."""
     path = scratch_path(spark, "landing_arrays")
-    records = text_landing(spark, sf_dir).select(F.to_json(F.struct(*TEXT_LANDING.fieldNames()), {"pretty": "true", "ignoreNullFields": "false"}).alias("value"))
-    # a file is what a task writes: the records with a comma behind each, between brackets
-    task = F.spark_partition_id()
-    records = records.repartition(2).select(task.alias("task"), F.lit(1).alias("line"), F.concat("value", F.lit(",")).alias("value"))
-    ends = records.select("task").distinct()
-    ends = (ends.select("task", F.lit(0).alias("line"), F.lit("[").alias("value"))
-            .unionByName(ends.select("task", F.lit(2).alias("line"), F.lit("{}]").alias("value"))))   # the last one is empty
-    records.unionByName(ends).repartition("task").sortWithinPartitions("task", "line").select("value").write.mode("overwrite").text(path)
+    records = text_landing(spark, sf_dir).select(*TEXT_LANDING.fieldNames())
+    land_json_arrays(spread_for_cpu(records, cores_beyond_splits(records)), path)
     return (scan_text_json(spark, path, multi_line=True).where("id IS NOT NULL")
             .select("id", "source", "title", "text", "url", "timestamp", "author", F.col("metadata")["lang"].alias("lang")))
 

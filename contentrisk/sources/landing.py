@@ -7,6 +7,10 @@ add columns. Records missing required fields are dropped by the ingest filter.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +42,27 @@ def land_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def land_json_arrays(df: DataFrame, path: str) -> None:
+    """Write records as the collectors do, an indented JSON array a file. A file is what a task writes of its own
+    partition, so no task holds more than that; an empty partition makes an empty file."""
+    records = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"pretty": "true", "ignoreNullFields": "false"}).alias("value"))
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's records: ``[`` in front of the first, a comma in front of the others, ``]`` behind."""
+        begun = False
+        for batch in batches:
+            for rows in (batch.slice(0, 1), batch.slice(1)):
+                if rows.num_rows:
+                    before = "," if begun else "["
+                    values = pc.binary_join_element_wise(pa.scalar(before), rows.column(0).cast(pa.string()), "")
+                    yield pa.RecordBatch.from_arrays([values], ["value"])
+                    begun = True
+        if begun:
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], ["value"])
+
+    records.mapInArrow(bracketed, "value string").write.mode("append").text(path)
+
+
 def load_dictionary(spark: SparkSession, path: str, as_of=None) -> DataFrame:
     """Dictionary file -> one row per category (patterns default to [])."""
     raw = spark.read.schema(DICTIONARY_FILE).option("multiLine", True).json(path)

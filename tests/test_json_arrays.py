@@ -59,3 +59,22 @@ def test_a_record_longer_than_many_splits(spark, small_splits):
     with open(os.path.join(path, "a.json"), "w") as f:
         json.dump(rows, f)
     assert sorted(r.text for r in J.scan_json_arrays(spark, path, TEXT_LANDING).collect()) == sorted(r["text"] for r in rows)
+
+
+def test_arrays_are_landed_by_the_tasks_that_hold_the_records(spark, monkeypatch):
+    from contentrisk.plans import queries as Q
+    from contentrisk.sources.landing import land_json_arrays
+
+    path = scratch_path(spark, "landed").replace("file:", "")
+    rows = [r | {"id": f"{k:03d}"} for k, r in enumerate(records(40))]
+    land_json_arrays(spark.createDataFrame(rows, TEXT_LANDING).repartition(5), path)
+    files = [f for f in os.listdir(path) if f.endswith(".txt") and os.path.getsize(f"{path}/{f}")]
+    assert len(files) == 5
+    landed = [r for f in files for r in json.load(open(f"{path}/{f}", encoding="utf-8"))]
+    assert sorted(landed, key=lambda r: r["id"]) == rows
+    assert canon(scan_text_json(spark, path, multi_line=True)) == sorted(json.dumps(r, sort_keys=True) for r in rows)
+    # the query's files are as many as its tasks, not two whatever the input
+    made = []
+    monkeypatch.setattr(Q, "scratch_path", lambda s, name: made.append(scratch_path(s, name)) or made[-1])
+    assert Q.q_scan_text_arrays(spark, "/root/testdata/sf0.001").count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    assert len(spark.read.text(made[0]).inputFiles()) >= spark.sparkContext.defaultParallelism
