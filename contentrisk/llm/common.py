@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,8 +98,8 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
 
     ``edges`` has long columns ``a`` and ``b``; nodes without edges don't appear. Alternating
     large-star and small-star rounds, each a few joins on narrow rows; every round is written
-    to the shared folder, so that a lost executor costs one round. The neighbours of a node are
-    never gathered: a round takes each node's minimum by an aggregate and joins it back.
+    to the shared folder, so that a lost executor costs one round, and counted as it is written. The neighbours of
+    a node are never gathered: a round takes each node's minimum by an aggregate and joins it back.
     """
     spark = edges.sparkSession
 
@@ -107,12 +107,13 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
         return (df.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                 .distinct())
 
-    def state(df):
-        r = df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return tuple(r)
+    def written(df, k):
+        """The edges as a table, their number and a sum of their hashes."""
+        seen = Observation()
+        out = write_table(canonical(df).observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")), f"{name}-cc{k}")
+        return out, (seen.get["n"], seen.get["hashes"])
 
-    e = write_table(canonical(edges), f"{name}-cc0")
-    now = state(e)
+    e, now = written(edges, 0)
     if not now[0]:
         return spark.createDataFrame([], "node long, component long")
     for k in range(1, max_rounds):
@@ -124,8 +125,8 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b")
         small = small.select("a", F.col("m").alias("b")).unionByName(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
-        e = write_table(canonical(small), f"{name}-cc{k}")
-        last, now = now, state(e)
+        last = now
+        e, now = written(small, k)
         if now == last:
             break
     else:

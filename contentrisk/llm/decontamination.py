@@ -65,12 +65,11 @@ def block(k: int) -> str:
 def item_keys(radius: int = RADIUS):
     """(block number, value) under which an item's fingerprint is found: each block's value with
     up to its share of bits turned."""
-    keys = []
-    for k, share in enumerate(shares(radius)):
-        for n in range(share + 1):
-            for bits in combinations(range(BLOCK_BITS), n):
-                keys.append(f"{k * 2 ** BLOCK_BITS}L + ({block(k)} ^ {sum(1 << b for b in bits)}L)")
-    return F.explode(F.expr(f"array({', '.join(keys)})"))
+    # block k with the bits m turned: k * 256 + m is the key of a block of zeros; a literal array, whatever its length
+    turned = [k * 2 ** BLOCK_BITS + sum(1 << b for b in bits) for k, share in enumerate(shares(radius))
+              for n in range(share + 1) for bits in combinations(range(BLOCK_BITS), n)]
+    own = f"(shiftrightunsigned(fp, cast({BLOCK_BITS} * shiftright(t, {BLOCK_BITS}) as int)) & {2 ** BLOCK_BITS - 1}L)"
+    return F.explode(F.expr(f"transform(from_json('{turned}', 'array<bigint>'), t -> t ^ {own})"))
 
 
 def window_keys():
@@ -121,7 +120,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     window) and ``begin`` (its first word; the earliest of equal ones), one row a document and item."""
     items = write_table(item_shingles(benchmark, item_col, item_text_col), "decon-items")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("id", "text"))
-    found = write_table(windows(texts.drop("id"), items).distinct(), "decon-windows")
+    found = windows(texts.drop("id"), items).distinct()
     # the shingles of those windows, from the few documents that have them
     by_row = write_table(found.groupBy("row").agg(F.collect_list(F.struct("length", "m", "begin")).alias("windows")), "decon-rows")
     # only their hashes may be broadcast; the window lists, of any length, meet the texts by a shuffle on the hash

@@ -30,7 +30,8 @@ def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return read_table(spark, path) if partition_by else spark.read.parquet(path)
+    # the schema is known: to infer it again takes a listing and a job of its own, also from the driver's memory
+    return read_table(spark, path) if partition_by else spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

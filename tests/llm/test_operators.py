@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import math
 import re
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from contentrisk.llm import (common, decontamination, embedding_dedup, licenses, mixing, packing, quality,
                              simhash_dedup, token_counts, tokens, toxicity, warc)
 from contentrisk.llm.queries import VOCABULARY
+from contentrisk.operators.tables import write_table
 
 DOC = "doc_id long, text string, source string"
 
@@ -314,6 +316,28 @@ def test_whole_runs():
     assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
 
 
+def test_item_keys_are_one_literal_in_the_plan(spark):
+    fps = spark.createDataFrame([(0x0123456789ABCDEF,), (-1,), (None,)], "fp long")
+    keyed = fps.select("fp", decontamination.item_keys().alias("key"))
+    assert keyed._jdf.queryExecution().analyzed().toString().count("shiftrightunsigned") == 1      # not one a key
+    want = {k * 256 + (((fp >> 8 * k) & 255) ^ sum(1 << b for b in bits)) for fp in (0x0123456789ABCDEF,) for k, share in enumerate(decontamination.shares())
+            for n in range(share + 1) for bits in combinations(range(8), n)}
+    assert {r.key for r in keyed.filter("fp > 0").collect()} == want
+    assert keyed.filter("fp IS NULL").count() == len(want)      # nulls, as many as keys
+
+
+def test_a_round_of_components_is_counted_as_it_is_written(spark):
+    edges = write_table(spark.createDataFrame([(1, 2), (2, 3), (3, 4), (7, 9), (9, 9)], "a long, b long"), "edges")
+    spark.sparkContext.setJobGroup("rounds", "")
+    try:
+        for none in (edges.filter("a > 100"), edges.limit(0)):
+            assert common.connected_components(none, "t").count() == 0
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("rounds")) < 10     # 13 with a job for the schema and one for the count
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.node: r.component for r in common.connected_components(edges, "t").collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 7: 7, 9: 7}
+
+
 def test_connected_components(spark):
     rng = np.random.default_rng(6)
     e = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1060)]

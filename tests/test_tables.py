@@ -1,7 +1,7 @@
 import datetime as dt
 
 from contentrisk.operators.ingest import ingest_text, load_raw
-from contentrisk.operators.tables import merge_insert_only, merge_upsert
+from contentrisk.operators.tables import merge_insert_only, merge_upsert, write_table
 from contentrisk.session import scratch_path
 
 S = "k string, v string, ts timestamp"
@@ -39,3 +39,16 @@ def test_load_raw_is_idempotent(spark):
     out = spark.read.parquet(path)
     assert out.count() == 1
     assert out.first().content_hash == spark.sql("select md5('1||hello||s') h").first().h
+
+
+def test_a_written_table_is_not_read_for_its_schema(spark):
+    df = spark.range(10).selectExpr("id", "cast(id AS string) AS `a b`", "array(struct(id AS x)) AS s", "map('k', id) AS m")
+    spark.sparkContext.setJobGroup("written", "")
+    try:
+        out = write_table(df, "written")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("written")) == 1      # the write
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert out.schema == spark.read.parquet(out.inputFiles()[0].rsplit("/", 1)[0]).schema
+    assert out.orderBy("id").collect() == df.orderBy("id").collect()
+    assert write_table(df.limit(0), "none").collect() == []
